@@ -1,0 +1,119 @@
+"""Skew-safe joins.
+
+Design rule: any key may hold a third of all rows.  A plain shuffle join on
+such a key sends that third to one task.  The helpers here
+
+* pre-aggregate first (partial/map-side aggregation collapses a hot key to
+  one row per map task before the shuffle),
+* find the *hot* keys — keys holding more than ``hot_share`` of the rows.
+  There can be at most ``1 / hot_share`` of them, so that set has a proven
+  size bound and may be broadcast,
+* salt only the hot keys: their rows on the big side are spread over
+  ``buckets`` salt values by a deterministic row hash (so a retried task
+  re-creates exactly the same salts), and the one-row-per-key lookup side
+  is replicated once per salt for hot keys only.
+
+AQE skew-join splitting stays enabled as a second line of defence.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_SHARE = 0.001        # a key with > 0.1 % of the rows is hot -> <= 1000 hot keys
+SALT_BUCKETS = 32
+SMALL_ROWS = 1_000_000   # broadcast a lookup side only if proven to hold <= this many rows
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], count_col: str = "_n",
+             hot_share: float = HOT_SHARE) -> DataFrame:
+    """Keys whose count exceeds ``hot_share`` of the total (<= 1/hot_share rows)."""
+    total = counts.select(F.sum(count_col)).scalar()
+    return (counts.where(F.col(count_col) > total * F.lit(hot_share))
+            .select(*keys).withColumn("_hot", F.lit(True)))
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
+                counts: DataFrame | None = None, buckets: int = SALT_BUCKETS,
+                hot_share: float = HOT_SHARE, null_safe: bool = False) -> DataFrame:
+    """Join a possibly skewed ``big`` to ``small`` (at most one row per key).
+
+    ``counts`` — optional per-key row counts of ``big`` (column ``_n``); computed
+    with a partial aggregation when not given.  ``how`` is one of left, inner,
+    left_semi, left_anti.  ``null_safe`` matches NULL keys to NULL keys.
+    """
+    keys = list(keys)
+    if counts is None:
+        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(counts, keys, "_n", hot_share)
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_hot"))
+
+    def eq(left: DataFrame, k: str, right_col: str) -> Column:
+        return left[k].eqNullSafe(F.col(right_col)) if null_safe else left[k] == F.col(right_col)
+
+    def hot_flag(df: DataFrame) -> DataFrame:
+        cond = [eq(df, k, f"_h_{k}") for k in keys]
+        return df.join(hot, cond, "left").drop(*[f"_h_{k}" for k in keys])
+
+    row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(buckets))
+    b = (hot_flag(big)
+         .withColumn("_salt", F.when(F.col("_hot"), row_hash).otherwise(F.lit(0)).cast("int"))
+         .drop("_hot"))
+    s = small.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in keys else F.col(f"`{c}`")
+                       for c in small.columns])
+    hot_r = hot.select(*[F.col(f"_h_{k}").alias(f"_hr_{k}") for k in keys], "_hot")
+    cond_s = [(F.col(f"_r_{k}").eqNullSafe(F.col(f"_hr_{k}")) if null_safe
+               else F.col(f"_r_{k}") == F.col(f"_hr_{k}")) for k in keys]
+    s = (s.join(hot_r, cond_s, "left").drop(*[f"_hr_{k}" for k in keys])
+         .withColumn("_r_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                          .otherwise(F.array(F.lit(0)))))
+         .drop("_hot"))
+    cond = [eq(b, k, f"_r_{k}") for k in keys]
+    cond.append(b["_salt"] == F.col("_r_salt"))
+    out = b.join(s, cond, how)
+    drop = ["_salt"] + ([] if how in ("left_semi", "left_anti")
+                        else [f"_r_{k}" for k in keys] + ["_r_salt"])
+    return out.drop(*drop)
+
+
+def proven_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows (checked, early-stopping)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
+                max_rows: int = SMALL_ROWS, small_is_bounded: bool = False,
+                null_safe: bool = False) -> DataFrame:
+    """Join ``big`` to a one-row-per-key ``small`` side.
+
+    Broadcast only when the small side's size is bounded by construction
+    (``small_is_bounded``) or checked to be at most ``max_rows``; otherwise a
+    salted shuffle join that stays balanced under key skew.
+    """
+    keys = list(keys)
+    if small_is_bounded or proven_small(small, max_rows):
+        if null_safe:
+            sm = small.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in keys else F.col(f"`{c}`")
+                                for c in small.columns])
+            cond = [big[k].eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+            out = big.join(F.broadcast(sm), cond, how)
+            return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
+        return big.join(F.broadcast(small), keys, how)
+    return salted_join(big, small, keys, how, null_safe=null_safe)
+
+
+def attach_group_aggs(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
+                      null_safe: bool = False) -> DataFrame:
+    """Attach per-group aggregates to every row without a skewed window.
+
+    Equivalent to ``agg(...) over (partition by keys)`` but the aggregation is
+    partial-then-final (a hot key costs one row per map task) and the join
+    back salts only the hot keys.
+    """
+    keys = list(keys)
+    agg = df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_n"))
+    counts = agg.select(*keys, "_n")
+    return salted_join(df, agg.drop("_n"), keys, "left", counts=counts, null_safe=null_safe)
