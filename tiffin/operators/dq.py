@@ -8,8 +8,8 @@
 
 Each test is a one-row aggregate; all tests are a ``unionByName`` of those,
 so the whole suite is one DataFrame the caller collects once (37 rows).
-Relationship tests use the hot-key-salted anti join: a foreign key that
-holds a third of the child rows does not land in one task.
+Relationship tests aggregate the child to distinct keys before the anti
+join, so a foreign key holding a third of the child rows is one row by then.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.operators.skew import salted_join
 
 
 @dataclass(frozen=True)
@@ -78,42 +77,66 @@ def star_tests() -> list[Test]:
     return tests
 
 
+def _key_counts(df: DataFrame, col: str) -> DataFrame:
+    """Rows per distinct value (partial aggregation: a hot value costs one row per task)."""
+    return df.groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _missing_parents(test: Test, star: dict[str, DataFrame]) -> DataFrame:
+    """Relationship violations as (_k, rows).
+
+    The child is aggregated to distinct keys *before* the anti join, so both
+    join sides hold distinct keys: no key can be skewed and no salting is needed.
+    """
+    child = _key_counts(star[test.model], test.column).where(F.col("_k").isNotNull())
+    parent = star[test.to].select(F.col(test.field).alias("_k")).where(F.col("_k").isNotNull()).distinct()
+    return child.join(parent, "_k", "left_anti")
+
+
 def _violations(test: Test, star: dict[str, DataFrame]) -> DataFrame:
     """Failing rows of one test as (value, rows): NULL value for not_null."""
-    df = star[test.model]
-    c = F.col(test.column)
+    if test.kind == "relationships":
+        v = _missing_parents(test, star)
+        return v.select(F.col("_k").cast("string").alias("value"), "rows")
+    counts = _key_counts(star[test.model], test.column)
     if test.kind == "not_null":
-        return df.where(c.isNull()).select(F.lit(None).cast("string").alias("value"), F.lit(1).alias("_one")) \
-                 .groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
-    if test.kind == "unique":
-        return (df.where(c.isNotNull()).groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("rows"))
-                .where(F.col("rows") > 1).select(F.col("_v").cast("string").alias("value"), "rows"))
-    child = df.select(c.alias("_k")).where(F.col("_k").isNotNull())
-    parent = star[test.to].select(F.col(test.field).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    missing = salted_join(child, parent, ["_k"], "left_anti")
-    return missing.groupBy("_k").agg(F.count(F.lit(1)).alias("rows")) \
-        .select(F.col("_k").cast("string").alias("value"), "rows")
+        return counts.where(F.col("_k").isNull()).select(F.lit(None).cast("string").alias("value"), "rows")
+    return counts.where(F.col("_k").isNotNull() & (F.col("rows") > 1)) \
+                 .select(F.col("_k").cast("string").alias("value"), "rows")
 
 
-def _failures(test: Test, star: dict[str, DataFrame]) -> DataFrame:
-    df = star[test.model]
-    c = F.col(test.column)
-    if test.kind == "not_null":
-        agg = df.agg(F.count_if(c.isNull()).alias("failures"))
-    elif test.kind == "unique":
-        agg = _violations(test, star).agg(F.count(F.lit(1)).alias("failures"))
-    else:
-        agg = _violations(test, star).agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("failures"))
-    return agg.select(F.lit(test.name).alias("test_name"), F.lit(test.kind).alias("test_type"),
-                      F.lit(test.model).alias("model"), F.lit(test.column).alias("column_name"),
-                      F.col("failures").cast("long").alias("failures"))
+def _row(name: str, kind: str, model: str, column: str, failures) -> list:
+    return [F.lit(name).alias("test_name"), F.lit(kind).alias("test_type"), F.lit(model).alias("model"),
+            F.lit(column).alias("column_name"), failures.cast("long").alias("failures")]
+
+
+def _pk_tests(model: str, column: str, star: dict[str, DataFrame], kinds: set[str]) -> list[DataFrame]:
+    """not_null and unique of one key from a single aggregation over the model."""
+    counts = _key_counts(star[model], column)
+    agg = counts.agg(F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("rows"))), F.lit(0)).alias("nn"),
+                     F.count_if(F.col("_k").isNotNull() & (F.col("rows") > 1)).alias("uq"))
+    out = []
+    for kind, col in (("not_null", "nn"), ("unique", "uq")):
+        if kind in kinds:
+            out.append(agg.select(*_row(Test(kind, model, column).name, kind, model, column, F.col(col))))
+    return out
 
 
 def run_tests(star: dict[str, DataFrame], tests: list[Test] | None = None) -> DataFrame:
     """(test_name, test_type, model, column_name, failures, status)."""
     tests = tests if tests is not None else star_tests()
     tests = [t for t in tests if t.model in star and (t.to is None or t.to in star)]
-    frames = [_failures(t, star) for t in tests]
+    frames: list[DataFrame] = []
+    pk: dict[tuple[str, str], set[str]] = {}
+    for t in tests:
+        if t.kind in ("not_null", "unique"):
+            pk.setdefault((t.model, t.column), set()).add(t.kind)
+    for (m, c), kinds in pk.items():
+        frames += _pk_tests(m, c, star, kinds)
+    for t in tests:
+        if t.kind == "relationships":
+            agg = _missing_parents(t, star).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("f"))
+            frames.append(agg.select(*_row(t.name, t.kind, t.model, t.column, F.col("f"))))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -36,6 +36,23 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], count_col: str = "_n",
             .select(*keys).withColumn("_hot", F.lit(True)))
 
 
+def skew_mode(df: DataFrame) -> str:
+    """``salt`` (default: explicit hot-key salting) or ``aqe`` (rely on AQE skew-join splits).
+
+    Set with the session conf ``spark.tiffin.skew.mode``.
+    """
+    return df.sparkSession.conf.get("spark.tiffin.skew.mode", "salt")
+
+
+def _rename(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").alias(f"{prefix}{c}") if c in keys else F.col(f"`{c}`")
+                       for c in df.columns])
+
+
+def _eq(left: Column, right: Column, null_safe: bool) -> Column:
+    return left.eqNullSafe(right) if null_safe else left == right
+
+
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
                 counts: DataFrame | None = None, buckets: int = SALT_BUCKETS,
                 hot_share: float = HOT_SHARE, null_safe: bool = False) -> DataFrame:
@@ -46,36 +63,28 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     left_semi, left_anti.  ``null_safe`` matches NULL keys to NULL keys.
     """
     keys = list(keys)
+    s0 = _rename(small, keys, "_r_")
+    if skew_mode(big) == "aqe":
+        cond = [_eq(big[k], F.col(f"_r_{k}"), null_safe) for k in keys]
+        out = big.join(s0, cond, how)
+        return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
     if counts is None:
         counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(counts, keys, "_n", hot_share)
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_hot"))
-
-    def eq(left: DataFrame, k: str, right_col: str) -> Column:
-        return left[k].eqNullSafe(F.col(right_col)) if null_safe else left[k] == F.col(right_col)
-
-    def hot_flag(df: DataFrame) -> DataFrame:
-        cond = [eq(df, k, f"_h_{k}") for k in keys]
-        return df.join(hot, cond, "left").drop(*[f"_h_{k}" for k in keys])
+    hot = F.broadcast(_rename(hot_keys(counts, keys, "_n", hot_share), keys, "_h_"))
 
+    # big side: hot rows spread over `buckets` salts by a deterministic row hash
     row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(buckets))
-    b = (hot_flag(big)
-         .withColumn("_salt", F.when(F.col("_hot"), row_hash).otherwise(F.lit(0)).cast("int"))
-         .drop("_hot"))
-    s = small.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in keys else F.col(f"`{c}`")
-                       for c in small.columns])
-    hot_r = hot.select(*[F.col(f"_h_{k}").alias(f"_hr_{k}") for k in keys], "_hot")
-    cond_s = [(F.col(f"_r_{k}").eqNullSafe(F.col(f"_hr_{k}")) if null_safe
-               else F.col(f"_r_{k}") == F.col(f"_hr_{k}")) for k in keys]
-    s = (s.join(hot_r, cond_s, "left").drop(*[f"_hr_{k}" for k in keys])
-         .withColumn("_r_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                          .otherwise(F.array(F.lit(0)))))
-         .drop("_hot"))
-    cond = [eq(b, k, f"_r_{k}") for k in keys]
-    cond.append(b["_salt"] == F.col("_r_salt"))
+    b = big.join(hot, [_eq(big[k], F.col(f"_h_{k}"), null_safe) for k in keys], "left")
+    b = b.select(*[big[f"`{c}`"] for c in big.columns],
+                 F.when(F.col("_hot"), row_hash).otherwise(F.lit(0)).cast("int").alias("_salt"))
+    # lookup side: hot keys replicated once per salt, cold keys once
+    s = s0.join(hot, [_eq(F.col(f"_r_{k}"), F.col(f"_h_{k}"), null_safe) for k in keys], "left")
+    s = s.select(*[F.col(f"`{c}`") for c in s0.columns],
+                 F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                           .otherwise(F.array(F.lit(0)))).alias("_r_salt"))
+    cond = [_eq(b[k], F.col(f"_r_{k}"), null_safe) for k in keys] + [b["_salt"] == F.col("_r_salt")]
     out = b.join(s, cond, how)
-    drop = ["_salt"] + ([] if how in ("left_semi", "left_anti")
-                        else [f"_r_{k}" for k in keys] + ["_r_salt"])
+    drop = ["_salt"] + ([] if how in ("left_semi", "left_anti") else [f"_r_{k}" for k in keys] + ["_r_salt"])
     return out.drop(*drop)
 
 
@@ -85,24 +94,31 @@ def proven_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
 
 
 def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
-                max_rows: int = SMALL_ROWS, small_is_bounded: bool = False,
-                null_safe: bool = False) -> DataFrame:
-    """Join ``big`` to a one-row-per-key ``small`` side.
-
-    Broadcast only when the small side's size is bounded by construction
-    (``small_is_bounded``) or checked to be at most ``max_rows``; otherwise a
-    salted shuffle join that stays balanced under key skew.
+                mode: str = "auto", max_rows: int = SMALL_ROWS, null_safe: bool = False) -> DataFrame:
+    """Join ``big`` to a one-row-per-key ``small`` side (a dimension lookup).
+
+    ``mode``:
+    * ``auto``    — plain join; Spark broadcasts only below its size thresholds
+      (static estimate, then AQE on the *measured* shuffle size) and AQE splits
+      skewed partitions of ``big`` otherwise;
+    * ``bounded`` — ``small`` is bounded by construction: broadcast;
+    * ``checked`` — count ``small`` (early-stopping); broadcast if <= max_rows,
+      else salted;
+    * ``salted``  — hot-key salted shuffle join (large lookup side, skewed big side).
     """
     keys = list(keys)
-    if small_is_bounded or proven_small(small, max_rows):
-        if null_safe:
-            sm = small.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in keys else F.col(f"`{c}`")
-                                for c in small.columns])
-            cond = [big[k].eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-            out = big.join(F.broadcast(sm), cond, how)
-            return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
-        return big.join(F.broadcast(small), keys, how)
-    return salted_join(big, small, keys, how, null_safe=null_safe)
+    if mode == "checked":
+        mode = "bounded" if proven_small(small, max_rows) else "salted"
+    if mode == "salted":
+        return salted_join(big, small, keys, how, null_safe=null_safe)
+    side = F.broadcast(small) if mode == "bounded" else small
+    if null_safe:
+        sm = side.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in keys else F.col(f"`{c}`")
+                           for c in small.columns])
+        cond = [big[k].eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+        out = big.join(sm, cond, how)
+        return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
+    return big.join(side, keys, how)
 
 
 def attach_group_aggs(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],

@@ -186,7 +186,7 @@ def entity_report(tagged: DataFrame, entity: str, reason_col: str = REASON) -> D
 
 def rejection_report(tagged: dict[str, DataFrame]) -> DataFrame:
     """One row per entity (union of one-row aggregates)."""
-    frames = [entity_report(df, name) for name, df in tagged.items()]
+    frames = [entity_report(tagged[name], name) for name in ENTITIES if name in tagged]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -215,7 +215,7 @@ def reason_histogram(tagged: dict[str, DataFrame], reason_col: str = REASON) ->
     """(entity, reason, rows) over the quarantined rows."""
     frames = [rejected(df, reason_col).groupBy(reason_col).agg(F.count(F.lit(1)).alias("rows"))
               .select(F.lit(name).alias("entity"), F.col(reason_col).alias("reject_reason"), "rows")
-              for name, df in tagged.items()]
+              for name, df in ((n, tagged[n]) for n in ENTITIES if n in tagged)]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -97,7 +97,6 @@ def validation_runs_by_year(tagged_orders: DataFrame, reason_col: str = "reject_
 def test_runs_by_year(raw_orders: DataFrame, customers: DataFrame, restaurants: DataFrame) -> DataFrame:
     """A test-run log derived from data: per order year, four order-level tests
     (not_null and unique order_id, customer and restaurant relationships)."""
-    from tiffin.operators.skew import salted_join
     y = F.year("order_date").alias("y")
     o = raw_orders.where(F.col("order_date").isNotNull()).select(y, "order_id", "customer_id", "restaurant_id")
     nn = o.groupBy("y").agg(F.count_if(F.col("order_id").isNull()).alias("f_nn"))
@@ -105,9 +104,10 @@ def test_runs_by_year(raw_orders: DataFrame, customers: DataFrame, restaurants:
           .where(F.col("n") > 1).groupBy("y").agg(F.count(F.lit(1)).alias("f_uq")))
 
     def rel(col: str, parent: DataFrame, pcol: str, out: str) -> DataFrame:
-        child = o.where(F.col(col).isNotNull()).select("y", col)
+        # aggregate to distinct (year, key) first: the anti join then sees no skew
+        child = o.where(F.col(col).isNotNull()).groupBy("y", col).agg(F.count(F.lit(1)).alias("n"))
         keys = parent.select(F.col(pcol).alias(col)).where(F.col(col).isNotNull()).distinct()
-        return salted_join(child, keys, [col], "left_anti").groupBy("y").agg(F.count(F.lit(1)).alias(out))
+        return child.join(keys, col, "left_anti").groupBy("y").agg(F.sum("n").alias(out))
 
     rc = rel("customer_id", customers, "customer_id", "f_rc")
     rr = rel("restaurant_id", restaurants, "restaurant_id", "f_rr")
