@@ -66,7 +66,19 @@ def test_salted_join_matches_plain_join_under_skew(spark, t01):
     o = fx.orders(t01).select("order_id", "restaurant_id")
     r = fx.restaurants(t01).select("restaurant_id", F.col("url"))
     plain = sorted(o.join(r, "restaurant_id", "left").select("order_id", "url").collect())
-    salted = salted_join(o, r, ["restaurant_id"], "left", hot_share=0.001)
+    salted = salted_join(o, r, ["restaurant_id"], "left", hot_rows=20)
     assert sorted(salted.select("order_id", "url").collect()) == plain
-    anti = salted_join(o, r.where(F.col("restaurant_id") > 100), ["restaurant_id"], "left_anti")
+    anti = salted_join(o, r.where(F.col("restaurant_id") > 100), ["restaurant_id"], "left_anti", hot_rows=20)
     assert anti.count() == o.join(r.where(F.col("restaurant_id") > 100), "restaurant_id", "left_anti").count()
+
+
+def test_orders_golden_with_hot_key_salting(spark, t01):
+    # force the salted path: every restaurant with > 20 orders is treated as hot
+    spark.conf.set("spark.tiffin.skew.hotRows", "20")
+    try:
+        o = V.validate_orders(fx.orders_dirty(t01), fx.restaurants(t01), fx.customers(t01))
+        c = counts(o)
+    finally:
+        spark.conf.unset("spark.tiffin.skew.hotRows")
+    assert (c[None], c["duplicate_order_id"], c["orphan_customer_id"], c["orphan_restaurant_id"]) == (14317, 300, 344, 184)
+    assert o.count() == 15300

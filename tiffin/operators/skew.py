@@ -5,9 +5,10 @@ such a key sends that third to one task.  The helpers here
 
 * pre-aggregate first (partial/map-side aggregation collapses a hot key to
   one row per map task before the shuffle),
-* find the *hot* keys — keys holding more than ``hot_share`` of the rows.
-  There can be at most ``1 / hot_share`` of them, so that set has a proven
-  size bound and may be broadcast,
+* find the *hot* keys — keys holding more rows than one task should
+  process (``spark.tiffin.skew.hotRows``, default 1,000,000); only the
+  heaviest ``spark.tiffin.skew.maxHotKeys`` (default 10,000) are kept, so the
+  set has a hard size bound and may be broadcast,
 * salt only the hot keys: their rows on the big side are spread over
   ``buckets`` salt values by a deterministic row hash (so a retried task
   re-creates exactly the same salts), and the one-row-per-key lookup side
@@ -23,16 +24,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001        # a key with > 0.1 % of the rows is hot -> <= 1000 hot keys
 SALT_BUCKETS = 32
-SMALL_ROWS = 1_000_000   # broadcast a lookup side only if proven to hold <= this many rows
+HOT_ROWS = 1_000_000     # a key with more rows than one task should process is hot
+MAX_HOT_KEYS = 10_000    # at most this many hot keys are salted -> bounded broadcast
+SMALL_ROWS = 1_000_000   # checked lookups broadcast only at or below this many rows
+
+
+def _conf_int(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(name, str(default)))
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], count_col: str = "_n",
-             hot_share: float = HOT_SHARE) -> DataFrame:
-    """Keys whose count exceeds ``hot_share`` of the total (<= 1/hot_share rows)."""
-    total = counts.select(F.sum(count_col)).scalar()
-    return (counts.where(F.col(count_col) > total * F.lit(hot_share))
+             hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """The heaviest keys holding more than ``hot_rows`` rows, at most ``max_keys`` of them.
+
+    The result has a hard size bound (``max_keys`` rows) so it may be
+    broadcast.  Classification only steers performance: a hot key left
+    out of the set still joins correctly, through the ordinary shuffle.
+    """
+    return (counts.where(F.col(count_col) > F.lit(hot_rows))
+            .orderBy(F.desc(count_col)).limit(max_keys)
             .select(*keys).withColumn("_hot", F.lit(True)))
 
 
@@ -55,7 +66,7 @@ def _eq(left: Column, right: Column, null_safe: bool) -> Column:
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
                 counts: DataFrame | None = None, buckets: int = SALT_BUCKETS,
-                hot_share: float = HOT_SHARE, null_safe: bool = False) -> DataFrame:
+                hot_rows: int | None = None, null_safe: bool = False) -> DataFrame:
     """Join a possibly skewed ``big`` to ``small`` (at most one row per key).
 
     ``counts`` — optional per-key row counts of ``big`` (column ``_n``); computed
@@ -70,7 +81,10 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
         return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
     if counts is None:
         counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(_rename(hot_keys(counts, keys, "_n", hot_share), keys, "_h_"))
+    if hot_rows is None:
+        hot_rows = _conf_int(big, "spark.tiffin.skew.hotRows", HOT_ROWS)
+    max_keys = _conf_int(big, "spark.tiffin.skew.maxHotKeys", MAX_HOT_KEYS)
+    hot = F.broadcast(_rename(hot_keys(counts, keys, "_n", hot_rows, max_keys), keys, "_h_"))
 
     # big side: hot rows spread over `buckets` salts by a deterministic row hash
     row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(buckets))

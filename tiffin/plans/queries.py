@@ -17,6 +17,7 @@ from tiffin.functions.numeric import cents
 from tiffin.operators import dq, generate, model, profile, reviews, transform, validate
 from tiffin.operators.skew import lookup_join
 from tiffin.plans import health, kpi
+from tiffin.session import cut_lineage
 from tiffin.sources import fixtures as fx
 
 # Fixture parameter: tier thresholds scaled to the fixture's order totals.
@@ -43,8 +44,15 @@ def validate_all_lazy(raw) -> Lazy:
     """The V11 cascade, building each entity's plan only when asked for."""
     out: Lazy
 
+    cache: dict[str, DataFrame] = {}
+
     def vo():
-        return validate.valid(out["orders"]).select("order_id")
+        # valid order keys feed three child validations: materialise once
+        if "vo" not in cache:
+            # (reliable checkpoint in the shared folder: the children plan against a
+            # materialised key set instead of re-analysing the whole order cascade)
+            cache["vo"] = cut_lineage(validate.valid(out["orders"]).select("order_id"))
+        return cache["vo"]
     out = Lazy({
         "restaurants": lambda: validate.validate_restaurants(raw["restaurants"]),
         "customers": lambda: validate.validate_customers(raw["customers"]),
@@ -76,7 +84,8 @@ class Ctx:
             "order_items": lambda: transform.clean_order_items(fx.order_items(t)),
             "payments": lambda: transform.clean_payments(fx.payments(t)),
             "deliveries": lambda: transform.clean_deliveries(fx.deliveries(t)),
-            "reviews": lambda: reviews.parsed_reviews(reviews.with_parsed(fx.reviews_raw(t))),
+            # parsed once (Arrow UDF), reused by the id assignment and its size check
+            "reviews": lambda: reviews.parsed_reviews(reviews.with_parsed(fx.reviews_raw(t))).persist(),
         })
         self.star = self._star(self.staging)
         kpi_staging = Lazy(dict(self.staging._b, deliveries=lambda: transform.clean_deliveries(fx.deliveries_at_scale(t))))
