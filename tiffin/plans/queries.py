@@ -304,6 +304,32 @@ def q_allocate_residual(spark, sf_dir):
     return generate.allocate_residual(lines, "order_id", "order_item_id", "w", "total_cents")
 
 
+def q_anchored_amounts(spark, sf_dir):
+    """G3 + G4: each order's weighted-chosen restaurant and its anchored amount."""
+    c = Ctx(spark, sf_dir)
+    r = generate.impute(c.staging["restaurants"]).select("restaurant_id", "weight", "cost_filled")
+    o = c.staging["orders"].select("order_id", "party_size")
+    pick = generate.weighted_assignment(r.select("restaurant_id", "weight"), o.select("order_id"),
+                                        "restaurant_id", "weight", "order_id")
+    j = lookup_join(lookup_join(pick, o, ["order_id"], "inner"), r.select("restaurant_id", "cost_filled"),
+                    ["restaurant_id"], "inner")
+    cents_ = generate.anchored_amount_cents(F.col("cost_filled"), F.col("party_size"), F.col("order_id"))
+    return j.select("order_id", "restaurant_id", "party_size",
+                    (cents_.cast("decimal(38,0)") / 100).cast("decimal(18,2)").alias("amount"))
+
+
+def q_derived_deliveries(spark, sf_dir):
+    """One delivery per non-cancelled order, minutes floored at 10."""
+    o = Ctx(spark, sf_dir).staging["orders"]
+    d = generate.status_children(o, "order_status", kpi.CANCELLED, (F.col("order_id") * 13) % 50)
+    return d.select(F.col("order_id").alias("delivery_id"), "order_id", "delivery_time_minutes")
+
+
+def q_latest_validation_run(spark, sf_dir):
+    """Q24: the latest run of the validation log."""
+    return health.latest(_runs(Ctx(spark, sf_dir))[0])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # validation (V)
     **{f"validate_{e}": _validation(e) for e in validate.ENTITIES},
@@ -359,4 +385,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "impute_stats": q_impute_stats,
     "weighted_assignment": q_weighted_assignment,
     "allocate_residual": q_allocate_residual,
+    "anchored_amounts": q_anchored_amounts,
+    "derived_deliveries": q_derived_deliveries,
+    "latest_validation_run": q_latest_validation_run,
 }
