@@ -85,3 +85,14 @@ def test_delivery_buckets(spark, minutes, bucket):
     from tiffin.plans import kpi
     df = spark.createDataFrame([(minutes,)], "delivery_time_minutes int")
     assert kpi.delivery_time_buckets({"fact_deliveries": df}).first()["bucket"] == bucket
+
+
+def test_leaderboards_by_id_split_shared_names(spark):
+    from tiffin.plans import kpi
+    fo = spark.createDataFrame([(1, 10, "Delivered", 5.0), (2, 11, "Delivered", 7.0), (3, 11, "Cancelled", 1.0)],
+                               "order_id long, restaurant_id long, order_status string, order_total double")
+    dr = spark.createDataFrame([(10, "Twin"), (11, "Twin")], "restaurant_id long, restaurant_name string")
+    star = {"fact_orders": fo, "dim_restaurant": dr}
+    assert [(r["restaurant"], r["orders"]) for r in kpi.top_restaurants(star).collect()] == [("Twin", 2)]
+    by_id = [(r["restaurant_id"], r["orders"]) for r in kpi.top_restaurants(star, by="id").collect()]
+    assert by_id == [(11, 1), (10, 1)]

@@ -88,15 +88,20 @@ def top_cuisines(star: dict[str, DataFrame], n: int = 10) -> DataFrame:
             .orderBy(F.desc("orders"), F.asc("cuisine")).limit(n))
 
 
-def top_restaurants(star: dict[str, DataFrame], n: int = 10) -> DataFrame:
-    """Q8: delivered orders and revenue by restaurant *name* (branches merge), top n by revenue."""
+def top_restaurants(star: dict[str, DataFrame], n: int = 10, by: str = "name") -> DataFrame:
+    """Q8: delivered orders and revenue by restaurant *name* (branches merge), top n by revenue.
+
+    ``by="id"`` ranks individual restaurants instead (names are not keys).
+    """
     per_r = (_delivered(star["fact_orders"]).groupBy("restaurant_id")
              .agg(F.count(F.lit(1)).alias("_orders"), F.sum("order_total").alias("_rev")))
     names = star["dim_restaurant"].select("restaurant_id", "restaurant_name")
     j = lookup_join(per_r, names, ["restaurant_id"], "inner")
-    return (j.groupBy(F.col("restaurant_name").alias("restaurant"))
+    keys = [F.col("restaurant_name").alias("restaurant")] + ([F.col("restaurant_id")] if by == "id" else [])
+    return (j.groupBy(*keys)
             .agg(F.sum("_orders").cast("long").alias("orders"), F.sum("_rev").cast("decimal(38,2)").alias("revenue"))
-            .orderBy(F.desc("revenue"), F.asc("restaurant")).limit(n))
+            .orderBy(F.desc("revenue"), F.asc("restaurant"), *([F.asc("restaurant_id")] if by == "id" else []))
+            .limit(n))
 
 
 # ------------------------------------------------------- customer insights
@@ -200,16 +205,21 @@ def delivery_time_buckets(star: dict[str, DataFrame]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("deliveries")).orderBy("bucket_order"))
 
 
-def partner_leaderboard(star: dict[str, DataFrame], n: int = 10) -> DataFrame:
-    """Q22: deliveries and avg minutes (1 dp) by partner *name*, top n by deliveries."""
+def partner_leaderboard(star: dict[str, DataFrame], n: int = 10, by: str = "name") -> DataFrame:
+    """Q22: deliveries and avg minutes (1 dp) by partner *name*, top n by deliveries.
+
+    ``by="id"`` ranks individual partners instead (two partners may share a name).
+    """
     per_p = (star["fact_deliveries"].groupBy("delivery_partner_id")
              .agg(F.count(F.lit(1)).alias("_n"), F.sum("delivery_time_minutes").alias("_min"),
                   F.count("delivery_time_minutes").alias("_n_min")))
     j = lookup_join(per_p, star["dim_delivery_partner"], ["delivery_partner_id"], "inner")
-    agg = (j.groupBy(F.col("delivery_partner_name").alias("partner"))
+    keys = [F.col("delivery_partner_name").alias("partner")] + ([F.col("delivery_partner_id")] if by == "id" else [])
+    agg = (j.groupBy(*keys)
            .agg(F.sum("_n").cast("long").alias("deliveries"), F.sum("_min").alias("_min"), F.sum("_n_min").alias("_n_min")))
-    return (agg.select("partner", "deliveries", round_ratio("_min", "_n_min", 1).alias("avg_minutes"))
-            .orderBy(F.desc("deliveries"), F.asc("partner")).limit(n))
+    cols = ["partner"] + (["delivery_partner_id"] if by == "id" else [])
+    return (agg.select(*cols, "deliveries", round_ratio("_min", "_n_min", 1).alias("avg_minutes"))
+            .orderBy(F.desc("deliveries"), *[F.asc(c) for c in cols]).limit(n))
 
 
 def online_vs_offline(star: dict[str, DataFrame]) -> DataFrame:
