@@ -58,10 +58,15 @@ def parse_review_list(raw: str | None):
 
 
 @F.pandas_udf(REVIEW_TYPE)
-def parse_reviews(s: pd.Series) -> pd.Series:
+def _parse_reviews(s: pd.Series) -> pd.Series:
     return s.map(parse_review_list)
 
 
+# Marked non-deterministic only so the optimizer never copies the call into
+# both the NULL filter and the explode (which would parse every list twice).
+parse_reviews = _parse_reviews.asNondeterministic()
+
+
 def with_parsed(df: DataFrame, col: str = "reviews_list") -> DataFrame:
     return df.select("restaurant_id", parse_reviews(F.col(col)).alias("parsed"))
 
