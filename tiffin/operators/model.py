@@ -99,9 +99,18 @@ def time_period(hour_col) -> F.Column:
     return expr.otherwise(F.lit(OTHER_BAND))
 
 
-def dim_time(spark: SparkSession) -> DataFrame:
-    """M8: hours 0-23 with their meal band."""
+def dim_time(spark: SparkSession, observed_hours: DataFrame | None = None) -> DataFrame:
+    """M8: hours 0-23 with their meal band.
+
+    With ``observed_hours`` (a one-column frame of hours from the orders) the
+    dimension also covers any observed hour outside 0-23, so every order's
+    hour key resolves (the distinct hours are a partial aggregation).
+    """
     h = spark.range(0, 24).select(F.col("id").cast("int").alias("hour"))
+    if observed_hours is not None:
+        seen = observed_hours.select(F.col(observed_hours.columns[0]).cast("int").alias("hour")) \
+                             .where(F.col("hour").isNotNull())
+        h = h.unionByName(seen).distinct()
     return h.select(F.col("hour").alias("hour_id"), F.col("hour").alias("hour_of_day"),
                     time_period(F.col("hour")).alias("time_period"))
 
@@ -158,7 +167,7 @@ def build_star(staging: dict[str, DataFrame], spark: SparkSession) -> dict[str,
         "dim_customer": dim_customer(staging["customers"]),
         "dim_delivery_partner": dim_delivery_partner(staging["deliveries"]),
         "dim_date": dim_date(staging["orders"]),
-        "dim_time": dim_time(spark),
+        "dim_time": dim_time(spark, staging["orders"].select("order_hour")),
         "fact_orders": fact_orders(staging["orders"], rest),
         "fact_order_items": fact_order_items(staging["order_items"]),
         "fact_payments": fact_payments(staging["payments"]),

@@ -105,7 +105,7 @@ class Ctx:
             "dim_customer": lambda: model.dim_customer(st["customers"]),
             "dim_delivery_partner": lambda: model.dim_delivery_partner(st["deliveries"]),
             "dim_date": lambda: model.dim_date(st["orders"]),
-            "dim_time": lambda: model.dim_time(spark),
+            "dim_time": lambda: model.dim_time(spark, st["orders"].select("order_hour")),
             "fact_orders": lambda: model.fact_orders(st["orders"], get("dim_restaurant")),
             "fact_order_items": lambda: model.fact_order_items(st["order_items"]),
             "fact_payments": lambda: model.fact_payments(st["payments"]),
