@@ -7,7 +7,6 @@ tests, a laptop) do we fall back to a fresh directory under /tmp.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,14 +64,3 @@ def cut_lineage(df):
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
