@@ -82,3 +82,19 @@ def test_orders_golden_with_hot_key_salting(spark, t01):
         spark.conf.unset("spark.tiffin.skew.hotRows")
     assert (c[None], c["duplicate_order_id"], c["orphan_customer_id"], c["orphan_restaurant_id"]) == (14317, 300, 344, 184)
     assert o.count() == 15300
+
+
+def test_salted_join_null_and_hot_keys(spark):
+    from tiffin.operators.skew import salted_join
+    big = spark.createDataFrame([(i, 1 if i % 3 else None) for i in range(300)] + [(1000, 2), (1001, 5)],
+                                "id long, k long")
+    small = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "k long, v string")
+    for hr in (10, 10**9):
+        left = {r["id"]: r["v"] for r in salted_join(big, small, ["k"], "left", hot_rows=hr).collect()}
+        assert len(left) == 302 and left[1] == "one" and left[0] is None and left[1000] == "two" and left[1001] is None
+        assert salted_join(big, small, ["k"], "inner", hot_rows=hr).count() == 201
+        assert salted_join(big, small, ["k"], "left_semi", hot_rows=hr).count() == 201
+        assert salted_join(big, small, ["k"], "left_anti", hot_rows=hr).count() == 101
+        ns = {r["id"]: r["v"] for r in salted_join(big, small.union(spark.createDataFrame([(None, "nul")], "k long, v string")),
+                                                   ["k"], "left", hot_rows=hr, null_safe=True).collect()}
+        assert ns[0] == "nul" and ns[1] == "one"

@@ -69,13 +69,22 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
                 hot_rows: int | None = None, null_safe: bool = False) -> DataFrame:
     """Join a possibly skewed ``big`` to ``small`` (at most one row per key).
 
+    * Hot keys (bounded set, see ``hot_keys``) get their lookup row through a
+      broadcast of just those keys' rows of ``small``: resolved map-side.
+    * Hot rows — and, for plain equality, rows with a NULL key, which can
+      never match — are spread over salts 1..buckets by a deterministic row
+      hash, so the shuffle stays balanced; salt 0 is reserved for cold rows
+      and ``small`` joins on salt 0 only, so nothing is replicated.
+    * Cold rows take the ordinary shuffle join.
+
     ``counts`` — optional per-key row counts of ``big`` (column ``_n``); computed
     with a partial aggregation when not given.  ``how`` is one of left, inner,
     left_semi, left_anti.  ``null_safe`` matches NULL keys to NULL keys.
     """
     keys = list(keys)
-    s0 = _rename(small, keys, "_r_")
+    vals = [c for c in small.columns if c not in keys]
     if skew_mode(big) == "aqe":
+        s0 = _rename(small, keys, "_r_")
         cond = [_eq(big[k], F.col(f"_r_{k}"), null_safe) for k in keys]
         out = big.join(s0, cond, how)
         return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
@@ -84,22 +93,42 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     if hot_rows is None:
         hot_rows = _conf_int(big, "spark.tiffin.skew.hotRows", HOT_ROWS)
     max_keys = _conf_int(big, "spark.tiffin.skew.maxHotKeys", MAX_HOT_KEYS)
-    hot = F.broadcast(_rename(hot_keys(counts, keys, "_n", hot_rows, max_keys), keys, "_h_"))
-
-    # big side: hot rows spread over `buckets` salts by a deterministic row hash
-    row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(buckets))
-    b = big.join(hot, [_eq(big[k], F.col(f"_h_{k}"), null_safe) for k in keys], "left")
-    b = b.select(*[big[f"`{c}`"] for c in big.columns],
-                 F.when(F.col("_hot"), row_hash).otherwise(F.lit(0)).cast("int").alias("_salt"))
-    # lookup side: hot keys replicated once per salt, cold keys once
-    s = s0.join(hot, [_eq(F.col(f"_r_{k}"), F.col(f"_h_{k}"), null_safe) for k in keys], "left")
-    s = s.select(*[F.col(f"`{c}`") for c in s0.columns],
-                 F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                           .otherwise(F.array(F.lit(0)))).alias("_r_salt"))
+
+    # lookup rows of the hot keys: at most max_keys rows (small is one row per key)
+    hot = _rename(hot_keys(counts, keys, "_n", hot_rows, max_keys), keys, "_h_")
+    s_hot = small.select(*[F.col(f"`{k}`").alias(f"_hs_{k}") for k in keys],
+                         *[F.col(f"`{c}`").alias(f"_hv_{c}") for c in vals], F.lit(True).alias("_hm"))
+    hot_lookup = (F.broadcast(hot).join(s_hot, [_eq(F.col(f"_h_{k}"), F.col(f"_hs_{k}"), null_safe) for k in keys],
+                                        "left")
+                  .drop(*[f"_hs_{k}" for k in keys]))
+    b = big.join(F.broadcast(hot_lookup), [_eq(big[k], F.col(f"_h_{k}"), null_safe) for k in keys], "left")
+    spread = F.coalesce(F.col("_hot"), F.lit(False))
+    if not null_safe:
+        for k in keys:
+            spread = spread | big[k].isNull()
+    row_hash = F.pmod(F.xxhash64(*[big[f"`{c}`"] for c in big.columns]), F.lit(buckets)) + 1
+    b = b.select(*[big[f"`{c}`"] for c in big.columns], *[F.col(f"_hv_{c}") for c in vals], F.col("_hm"),
+                 F.when(spread, row_hash).otherwise(F.lit(0)).cast("int").alias("_salt"))
+
+    # cold rows: ordinary shuffle join on (key, salt = 0)
+    s_cold = small.select(*[F.col(f"`{k}`").alias(f"_r_{k}") for k in keys],
+                          *[F.col(f"`{c}`").alias(f"_rv_{c}") for c in vals], F.lit(True).alias("_rm"),
+                          F.lit(0).alias("_r_salt"))
     cond = [_eq(b[k], F.col(f"_r_{k}"), null_safe) for k in keys] + [b["_salt"] == F.col("_r_salt")]
-    out = b.join(s, cond, how)
-    drop = ["_salt"] + ([] if how in ("left_semi", "left_anti") else [f"_r_{k}" for k in keys] + ["_r_salt"])
-    return out.drop(*drop)
+    j = b.join(s_cold, cond, "left")
+    matched = F.coalesce(F.col("_hm"), F.col("_rm"), F.lit(False))
+    base = [F.col(f"`{c}`") for c in big.columns]
+    if how == "left_semi":
+        return j.where(matched).select(*base)
+    if how == "left_anti":
+        return j.where(~matched).select(*base)
+    out = j.select(*base, *[F.coalesce(F.col(f"_hv_{c}"), F.col(f"_rv_{c}")).alias(c) for c in vals],
+                   matched.alias("_matched"))
+    if how == "inner":
+        out = out.where(F.col("_matched"))
+    elif how != "left":
+        raise ValueError(f"unsupported join type for salted_join: {how}")
+    return out.drop("_matched")
 
 
 def proven_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
