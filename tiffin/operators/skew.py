@@ -34,6 +34,25 @@ def _conf_int(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(name, str(default)))
 
 
+HOT_SAMPLE_TARGET = 200  # expected sampled rows of a key sitting exactly at the hot threshold
+
+
+def sampled_key_counts(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """Estimated rows per key from a Bernoulli sample (column ``_n``).
+
+    A hot key holds more than ``hot_rows`` rows, so a sample with an expected
+    ``HOT_SAMPLE_TARGET`` rows of such a key finds it with near certainty while
+    the aggregation and its shuffle shrink by the sampling factor.  The seed
+    is fixed; misclassifying a key near the threshold only changes balance,
+    never results.
+    """
+    if hot_rows is None:
+        hot_rows = _conf_int(df, "spark.tiffin.skew.hotRows", HOT_ROWS)
+    fraction = min(1.0, HOT_SAMPLE_TARGET / max(hot_rows, 1))
+    src = df if fraction >= 1.0 else df.sample(withReplacement=False, fraction=fraction, seed=17)
+    return src.groupBy(*keys).agg((F.count(F.lit(1)) / F.lit(fraction)).alias("_n"))
+
+
 def hot_keys(counts: DataFrame, keys: Sequence[str], count_col: str = "_n",
              hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """The heaviest keys holding more than ``hot_rows`` rows, at most ``max_keys`` of them.
@@ -77,8 +96,8 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
       and ``small`` joins on salt 0 only, so nothing is replicated.
     * Cold rows take the ordinary shuffle join.
 
-    ``counts`` — optional per-key row counts of ``big`` (column ``_n``); computed
-    with a partial aggregation when not given.  ``how`` is one of left, inner,
+    ``counts`` — optional per-key row counts of ``big`` (column ``_n``); estimated
+    from a sample (``sampled_key_counts``) when not given.  ``how`` is one of left, inner,
     left_semi, left_anti.  ``null_safe`` matches NULL keys to NULL keys.
     """
     keys = list(keys)
@@ -88,10 +107,10 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
         cond = [_eq(big[k], F.col(f"_r_{k}"), null_safe) for k in keys]
         out = big.join(s0, cond, how)
         return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
-    if counts is None:
-        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     if hot_rows is None:
         hot_rows = _conf_int(big, "spark.tiffin.skew.hotRows", HOT_ROWS)
+    if counts is None:
+        counts = sampled_key_counts(big, keys, hot_rows)
     max_keys = _conf_int(big, "spark.tiffin.skew.maxHotKeys", MAX_HOT_KEYS)
 
     # lookup rows of the hot keys: at most max_keys rows (small is one row per key)
@@ -173,6 +192,5 @@ def attach_group_aggs(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]
     back salts only the hot keys.
     """
     keys = list(keys)
-    agg = df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_n"))
-    counts = agg.select(*keys, "_n")
-    return salted_join(df, agg.drop("_n"), keys, "left", counts=counts, null_safe=null_safe)
+    agg = df.groupBy(*keys).agg(*aggs)
+    return salted_join(df, agg, keys, "left", counts=sampled_key_counts(df, keys), null_safe=null_safe)

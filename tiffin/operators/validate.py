@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.functions.parse import is_blank
-from tiffin.operators.skew import attach_group_aggs, salted_join
+from tiffin.operators.skew import attach_group_aggs, salted_join, sampled_key_counts
 
 REASON = "reject_reason"
 # Fixed value: the rejection-rate threshold of the quality gate (strictly greater fails).
@@ -62,11 +62,11 @@ def duplicate_flag(df: DataFrame, key: str, seq: str = "seq", out: str = "_dup")
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """Per-key row counts (partial aggregation) used to find hot keys.
+    """Estimated per-key row counts (sampled) used to find hot keys.
 
     Computed from the *raw* input so chained flags do not re-plan each other.
     """
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return sampled_key_counts(df, [key])
 
 
 def orphan_flag(df: DataFrame, fk: str, parent_keys: DataFrame, parent_key: str,
