@@ -98,3 +98,16 @@ def test_salted_join_null_and_hot_keys(spark):
         ns = {r["id"]: r["v"] for r in salted_join(big, small.union(spark.createDataFrame([(None, "nul")], "k long, v string")),
                                                    ["k"], "left", hot_rows=hr, null_safe=True).collect()}
         assert ns[0] == "nul" and ns[1] == "one"
+
+
+def test_checked_lookup_falls_back_to_salted(spark, t01):
+    from tiffin.operators.skew import lookup_join
+    o = fx.orders(t01).select("order_id", "restaurant_id")
+    r = fx.restaurants(t01).select("restaurant_id", "url")
+    small = sorted(lookup_join(o, r, ["restaurant_id"], "left", mode="checked").collect())
+    spark.conf.set("spark.tiffin.skew.hotRows", "20")
+    try:
+        big = sorted(lookup_join(o, r, ["restaurant_id"], "left", mode="checked", max_rows=10).collect())
+    finally:
+        spark.conf.unset("spark.tiffin.skew.hotRows")
+    assert small == big and len(big) == 15000

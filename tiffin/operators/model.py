@@ -4,8 +4,9 @@ Surrogate keys are dense 1..N in the natural order of the key, computed
 with the scalable ``dense_ids`` (range-sorted partitions + offsets), never a
 single-partition ``row_number() over (order by ...)``.
 
-Dimension lookups go through ``lookup_join``: broadcast only when the
-dimension is proven small, else a hot-key-salted shuffle join.  Facts keep
+Dimension lookups go through ``lookup_join(mode="checked")``: broadcast only
+when a count proves the dimension small, else a hot-key-salted shuffle join
+(facts such as orders are skewed on their dimension keys).  Facts keep
 every row (left joins), so a missing dimension member yields a NULL key that
 the relationship tests report.
 """
@@ -42,7 +43,7 @@ def dim_cuisine(restaurant_cuisines: DataFrame) -> DataFrame:
 
 def dim_restaurant(clean_restaurants: DataFrame, dim_loc: DataFrame) -> DataFrame:
     """M3: restaurants with the location key (NULL area -> NULL key)."""
-    j = lookup_join(clean_restaurants, dim_loc, ["area"], "left")
+    j = lookup_join(clean_restaurants, dim_loc, ["area"], "left", mode="checked")
     return j.select("restaurant_id", "restaurant_name", "url", "address", "location_id",
                     "restaurant_type", "meal_type", "rating", "vote_count", "avg_cost_for_two",
                     "online_order_enabled", "table_booking_enabled")
@@ -50,7 +51,8 @@ def dim_restaurant(clean_restaurants: DataFrame, dim_loc: DataFrame) -> DataFram
 
 def bridge_restaurant_cuisine(restaurant_cuisines: DataFrame, dim_cui: DataFrame) -> DataFrame:
     """M4: (restaurant_id, cuisine_id) pairs — inner join on the cuisine name."""
-    return lookup_join(restaurant_cuisines, dim_cui, ["cuisine"], "inner").select("restaurant_id", "cuisine_id")
+    return lookup_join(restaurant_cuisines, dim_cui, ["cuisine"], "inner", mode="checked") \
+        .select("restaurant_id", "cuisine_id")
 
 
 def dim_customer(clean_customers: DataFrame) -> DataFrame:
@@ -119,10 +121,11 @@ def fact_orders(clean_orders: DataFrame, dim_rest: DataFrame) -> DataFrame:
     """orders with the restaurant's location key.
 
     restaurant_id is typically skewed (popular restaurants); the lookup join
-    broadcasts dim_restaurant only when proven small, else salts hot ids.
+    broadcasts dim_restaurant only when a count proves it small (<= 1 M rows),
+    else it salts the hot restaurant ids.
     """
     locs = dim_rest.select("restaurant_id", "location_id")
-    j = lookup_join(clean_orders, locs, ["restaurant_id"], "left")
+    j = lookup_join(clean_orders, locs, ["restaurant_id"], "left", mode="checked")
     return j.select("order_id", "customer_id", "restaurant_id", "location_id",
                     F.col("order_date").alias("date_id"), F.col("order_hour").alias("hour_id"),
                     "party_size", "order_total", "order_status")
