@@ -180,7 +180,12 @@ def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
         cond = [big[k].eqNullSafe(F.col(f"_r_{k}")) for k in keys]
         out = big.join(sm, cond, how)
         return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
-    return big.join(side, keys, how)
+    out = big.join(side, keys, how)
+    if how in ("left_semi", "left_anti"):
+        return out
+    # same column order in every mode: the big side's columns, then the lookup values
+    return out.select(*[F.col(f"`{c}`") for c in big.columns],
+                      *[F.col(f"`{c}`") for c in small.columns if c not in keys])
 
 
 def attach_group_aggs(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
