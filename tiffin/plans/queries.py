@@ -241,27 +241,29 @@ def q_kpi_delivery(spark, sf_dir):
                              "dim_restaurant": c.star["dim_restaurant"]})
 
 
-def _runs(c: Ctx):
-    vr = health.validation_runs_by_year(c.tagged()["orders"])
-    tr = health.test_runs_by_year(fx.orders_dirty(c.t), fx.customers(c.t), fx.restaurants(c.t))
-    return vr, tr
+def _validation_runs(c: Ctx) -> DataFrame:
+    return health.validation_runs_by_year(c.tagged()["orders"])
+
+
+def _test_runs(c: Ctx) -> DataFrame:
+    return health.test_runs_by_year(fx.orders_dirty(c.t), fx.customers(c.t), fx.restaurants(c.t))
 
 
 def q_validation_trend(spark, sf_dir):
-    return health.validation_trend(_runs(Ctx(spark, sf_dir))[0])
+    return health.validation_trend(_validation_runs(Ctx(spark, sf_dir)))
 
 
 def q_dq_trend(spark, sf_dir):
-    return health.test_trend(_runs(Ctx(spark, sf_dir))[1])
+    return health.test_trend(_test_runs(Ctx(spark, sf_dir)))
 
 
 def q_health_kpis(spark, sf_dir):
-    vr, tr = _runs(Ctx(spark, sf_dir))
-    return health.health_kpis(vr, tr)
+    c = Ctx(spark, sf_dir)
+    return health.health_kpis(_validation_runs(c), _test_runs(c))
 
 
 def q_recent_runs(spark, sf_dir):
-    return health.recent_runs(_runs(Ctx(spark, sf_dir))[0])
+    return health.recent_runs(_validation_runs(Ctx(spark, sf_dir)))
 
 
 def q_format_report(spark, sf_dir):
@@ -329,7 +331,7 @@ def q_derived_deliveries(spark, sf_dir):
 
 def q_latest_validation_run(spark, sf_dir):
     """Q24: the latest run of the validation log."""
-    return health.latest(_runs(Ctx(spark, sf_dir))[0])
+    return health.latest(_validation_runs(Ctx(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
