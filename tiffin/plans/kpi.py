@@ -142,8 +142,9 @@ def value_tiers(star: dict[str, DataFrame], tiers=DEFAULT_TIERS, with_share: boo
            .agg(F.count(F.lit(1)).alias("customers"), F.sum("lifetime_spend").cast("decimal(38,2)").alias("tier_revenue")))
     if with_share:
         from pyspark.sql import Window
-        total = F.sum("tier_revenue").over(Window.partitionBy())   # <= number of tiers rows
-        out = out.withColumn("revenue_share_pct", F.round(F.col("tier_revenue") / total * 100, 2).cast("double"))
+        # the window spans the tier rows only (at most len(tiers) + 2 rows)
+        total = F.sum(cents("tier_revenue")).over(Window.partitionBy())
+        out = out.withColumn("revenue_share_pct", round_ratio(cents("tier_revenue"), total, 2, scale=100))
     return out
 
 

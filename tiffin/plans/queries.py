@@ -368,6 +368,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_restaurants": _kpi(kpi.top_restaurants),
     "kpi_customers": q_kpi_customers,
     "value_tiers": _kpi(kpi.value_tiers, tiers=FIXTURE_TIERS),
+    "value_tiers_share": _kpi(kpi.value_tiers, tiers=FIXTURE_TIERS, with_share=True),
     "orders_by_payment_method": _kpi(kpi.orders_by_payment_method),
     "new_customers_by_day": q_new_customers_by_day,
     "kpi_delivery": q_kpi_delivery,
