@@ -6,13 +6,15 @@ such a key sends that third to one task.  The helpers here
 * pre-aggregate first (partial/map-side aggregation collapses a hot key to
   one row per map task before the shuffle),
 * find the *hot* keys — keys holding more rows than one task should
-  process (``spark.tiffin.skew.hotRows``, default 1,000,000); only the
-  heaviest ``spark.tiffin.skew.maxHotKeys`` (default 10,000) are kept, so the
-  set has a hard size bound and may be broadcast,
-* salt only the hot keys: their rows on the big side are spread over
-  ``buckets`` salt values by a deterministic row hash (so a retried task
-  re-creates exactly the same salts), and the one-row-per-key lookup side
-  is replicated once per salt for hot keys only.
+  process (``spark.tiffin.skew.hotRows``, default 1,000,000) — from a seeded
+  sample; only the heaviest ``spark.tiffin.skew.maxHotKeys`` (default 10,000)
+  are kept, so the set has a hard size bound and may be broadcast,
+* resolve hot keys map-side: the lookup rows of the hot keys travel in that
+  bounded broadcast; hot rows (and NULL-key rows, which never match) are
+  spread over ``buckets`` salts by a deterministic row hash (a retried task
+  re-creates exactly the same salts) so the shuffle stays balanced, while
+  cold rows take the ordinary shuffle join.  The lookup side is never
+  replicated.
 
 AQE skew-join splitting stays enabled as a second line of defence.
 """
@@ -28,15 +30,13 @@ SALT_BUCKETS = 32
 HOT_ROWS = 1_000_000     # a key with more rows than one task should process is hot
 MAX_HOT_KEYS = 10_000    # at most this many hot keys are salted -> bounded broadcast
 SMALL_ROWS = 1_000_000   # checked lookups broadcast only at or below this many rows
+HOT_SAMPLE_TARGET = 200  # expected sampled rows of a key sitting exactly at the hot threshold
 
 
 def _conf_int(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(name, str(default)))
 
 
-HOT_SAMPLE_TARGET = 200  # expected sampled rows of a key sitting exactly at the hot threshold
-
-
 def sampled_key_counts(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """Estimated rows per key from a Bernoulli sample (column ``_n``).
 
