@@ -116,29 +116,26 @@ class Ctx:
         })
         return s
 
-    # validation cascade over the dirty fixtures
-    def raw_dirty(self) -> dict[str, DataFrame]:
-        t = self.t
-        return {
-            "restaurants": fx.restaurants_dirty(t),
-            "customers": fx.customers_dirty(t),
-            "orders": fx.orders_dirty(t),
-            "order_items": fx.order_items_dirty(t),
-            "payments": fx.payments_dirty(t),
-            "deliveries": fx.deliveries_dirty(t),
-        }
+    def raw_inputs(self) -> Lazy:
+        """The six raw (dirty) entity inputs, each materialised once in the
+        shared folder — as landed input tables would be — so every consumer
+        in a query reads files instead of re-deriving the role view."""
+        if not hasattr(self, "_raw"):
+            t = self.t
+            self._raw = Lazy({
+                "restaurants": lambda: cut_lineage(fx.restaurants_dirty(t)),
+                "customers": lambda: cut_lineage(fx.customers_dirty(t)),
+                "orders": lambda: cut_lineage(fx.orders_dirty(t)),
+                "order_items": lambda: cut_lineage(fx.order_items_dirty(t)),
+                "payments": lambda: cut_lineage(fx.payments_dirty(t)),
+                "deliveries": lambda: cut_lineage(fx.deliveries_dirty(t)),
+            })
+        return self._raw
 
+    # validation cascade over the dirty fixtures
     def tagged(self) -> dict[str, DataFrame]:
         if not hasattr(self, "_tagged"):
-            t = self.t
-            raw = Lazy({
-                "restaurants": lambda: fx.restaurants_dirty(t),
-                "customers": lambda: fx.customers_dirty(t),
-                "orders": lambda: fx.orders_dirty(t),
-                "order_items": lambda: fx.order_items_dirty(t),
-                "payments": lambda: fx.payments_dirty(t),
-                "deliveries": lambda: fx.deliveries_dirty(t),
-            })
+            raw = self.raw_inputs()
             self._tagged = validate_all_lazy(raw)
         return self._tagged
 
@@ -248,7 +245,7 @@ def _validation_runs(c: Ctx) -> DataFrame:
 
 
 def _test_runs(c: Ctx) -> DataFrame:
-    return health.test_runs_by_year(fx.orders_dirty(c.t), fx.customers(c.t), fx.restaurants(c.t))
+    return health.test_runs_by_year(c.raw_inputs()["orders"], fx.customers(c.t), fx.restaurants(c.t))
 
 
 def q_validation_trend(spark, sf_dir):
