@@ -34,6 +34,13 @@ from tiffin.operators.skew import attach_group_aggs, salted_join, sampled_key_co
 REASON = "reject_reason"
 # Fixed value: the rejection-rate threshold of the quality gate (strictly greater fails).
 REJECTION_RATE_THRESHOLD = 0.02
+# Reject reason codes, per entity in rule order.
+MISSING_URL, MISSING_NAME, NEGATIVE_VOTES = "missing_url", "missing_name", "negative_votes"
+MISSING_CUSTOMER_ID, DUPLICATE_CUSTOMER_ID = "missing_customer_id", "duplicate_customer_id"
+NON_POSITIVE_ORDER_TOTAL, ORPHAN_CUSTOMER_ID = "non_positive_order_total", "orphan_customer_id"
+ORPHAN_RESTAURANT_ID, DUPLICATE_ORDER_ID = "orphan_restaurant_id", "duplicate_order_id"
+NEGATIVE_ITEM_PRICE, NON_POSITIVE_AMOUNT = "negative_item_price", "non_positive_amount"
+NON_POSITIVE_DELIVERY_TIME, ORPHAN_ORDER_ID = "non_positive_delivery_time", "orphan_order_id"
 
 
 @dataclass(frozen=True)
@@ -92,9 +99,9 @@ def rejected(tagged: DataFrame, reason_col: str = REASON) -> DataFrame:
 def validate_restaurants(df: DataFrame) -> DataFrame:
     """V1: missing_url, missing_name, negative_votes; the last match wins."""
     rules = [
-        Rule("missing_url", is_blank("url")),
-        Rule("missing_name", is_blank("name")),
-        Rule("negative_votes", F.col("votes").try_cast("double") < 0),
+        Rule(MISSING_URL, is_blank("url")),
+        Rule(MISSING_NAME, is_blank("name")),
+        Rule(NEGATIVE_VOTES, F.col("votes").try_cast("double") < 0),
     ]
     return tag(df, rules, "last")
 
@@ -103,8 +110,8 @@ def validate_customers(df: DataFrame, seq: str = "seq") -> DataFrame:
     """V2: missing_customer_id, then duplicate_customer_id."""
     d = duplicate_flag(df, "customer_id", seq)
     rules = [
-        Rule("missing_customer_id", F.col("customer_id").isNull()),
-        Rule("duplicate_customer_id", F.col("_dup")),
+        Rule(MISSING_CUSTOMER_ID, F.col("customer_id").isNull()),
+        Rule(DUPLICATE_CUSTOMER_ID, F.col("_dup")),
     ]
     return tag(d, rules, "first").drop("_dup")
 
@@ -119,32 +126,32 @@ def validate_orders(df: DataFrame, valid_restaurants: DataFrame, valid_customers
     d = orphan_flag(d, "restaurant_id", valid_restaurants, "restaurant_id", "_orphan_r",
                     key_counts(df, "restaurant_id"))
     rules = [
-        Rule("non_positive_order_total", F.col("order_total") <= 0),
-        Rule("orphan_customer_id", F.col("_orphan_c")),
-        Rule("orphan_restaurant_id", F.col("_orphan_r")),
-        Rule("duplicate_order_id", F.col("_dup")),
+        Rule(NON_POSITIVE_ORDER_TOTAL, F.col("order_total") <= 0),
+        Rule(ORPHAN_CUSTOMER_ID, F.col("_orphan_c")),
+        Rule(ORPHAN_RESTAURANT_ID, F.col("_orphan_r")),
+        Rule(DUPLICATE_ORDER_ID, F.col("_dup")),
     ]
     return tag(d, rules, "first").drop("_dup", "_orphan_c", "_orphan_r")
 
 
 def _child(df: DataFrame, valid_orders: DataFrame, reason: str, cond: Column) -> DataFrame:
     d = orphan_flag(df, "order_id", valid_orders, "order_id", "_orphan_o")
-    return tag(d, [Rule(reason, cond), Rule("orphan_order_id", F.col("_orphan_o"))], "first").drop("_orphan_o")
+    return tag(d, [Rule(reason, cond), Rule(ORPHAN_ORDER_ID, F.col("_orphan_o"))], "first").drop("_orphan_o")
 
 
 def validate_order_items(df: DataFrame, valid_orders: DataFrame) -> DataFrame:
     """V4: negative_item_price (< 0; zero allowed), orphan_order_id."""
-    return _child(df, valid_orders, "negative_item_price", F.col("item_price") < 0)
+    return _child(df, valid_orders, NEGATIVE_ITEM_PRICE, F.col("item_price") < 0)
 
 
 def validate_payments(df: DataFrame, valid_orders: DataFrame) -> DataFrame:
     """V5: non_positive_amount, orphan_order_id."""
-    return _child(df, valid_orders, "non_positive_amount", F.col("amount") <= 0)
+    return _child(df, valid_orders, NON_POSITIVE_AMOUNT, F.col("amount") <= 0)
 
 
 def validate_deliveries(df: DataFrame, valid_orders: DataFrame) -> DataFrame:
     """V6: non_positive_delivery_time, orphan_order_id."""
-    return _child(df, valid_orders, "non_positive_delivery_time", F.col("delivery_time_minutes") <= 0)
+    return _child(df, valid_orders, NON_POSITIVE_DELIVERY_TIME, F.col("delivery_time_minutes") <= 0)
 
 
 # -------------------------------------------------------------------- cascade

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tiffin.functions.numeric import cents, money_avg, money_sum, round_ratio
 from tiffin.operators.skew import lookup_join
 
+# Order / delivery status labels.
 DELIVERED = "Delivered"
 CANCELLED = "Cancelled"
 # Customer value tiers (label, minimum lifetime spend), checked top-down,
