@@ -11,7 +11,7 @@ def test_registry_has_oracles():
     import __spark_entry__ as E
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 64
+    assert len(q) >= 65
 
 
 def test_all_queries_match_oracle(spark):

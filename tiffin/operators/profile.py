@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 
 def shape(df: DataFrame, exclude: Sequence[str] = ("seq",)) -> DataFrame:
-    """Rows and columns."""
+    """Rows, number of columns and the column list."""
     cols = [c for c in df.columns if c not in exclude]
-    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(cols)))
+    return df.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(len(cols)).alias("columns"), F.lit(", ".join(cols)).alias("column_names"))
 
 
 def null_counts(df: DataFrame, exclude: Sequence[str] = ("seq",)) -> DataFrame:

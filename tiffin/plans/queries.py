@@ -360,6 +360,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parsed_reviews": q_parsed_reviews,
     "rejected_reviews": q_rejected_reviews,
     # star (M, F)
+    "dim_date_padded": lambda spark, sf_dir: model.dim_date(Ctx(spark, sf_dir).staging["orders"], pad_names=True),
     **{name: _star(name) for name in (
         "dim_location", "dim_cuisine", "dim_restaurant", "bridge_restaurant_cuisine", "dim_customer",
         "dim_delivery_partner", "dim_date", "dim_time", "fact_orders", "fact_order_items",
