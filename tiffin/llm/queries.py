@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import decontaminate, exact, licenses, lines, mixing, oracle, simhash, urls
+from tiffin.llm import decontaminate, exact, licenses, lines, mixing, oracle, quality, simhash, urls
 from tiffin.llm.common import table
 
 MIX_WEIGHTS, MIX_SHARE, MIX_CAP = [5, 2, 1], 1.5, 2.0
@@ -32,6 +32,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_licenses": op3_licenses,
     "op4_mixing": op4_mixing,
+    "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
     "op8_linededup": op8_linededup,
     "op9_urls": op9_urls,
