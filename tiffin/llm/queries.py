@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import decontaminate, exact, licenses, lines, mixing, oracle, quality, simhash, urls
+from tiffin.llm import decontaminate, exact, langid, licenses, lines, mixing, oracle, quality, simhash, urls
 from tiffin.llm.common import table
 
 MIX_WEIGHTS, MIX_SHARE, MIX_CAP = [5, 2, 1], 1.5, 2.0
@@ -42,6 +42,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
+    "op7_langid": op7_langid,
     "op8_linededup": op8_linededup,
     "op9_urls": op9_urls,
     "op10_exact": op10_exact,
