@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import decontaminate, exact, langid, licenses, lines, mixing, oracle, quality, simhash, urls
+from tiffin.llm import decontaminate, exact, langid, licenses, lines, mixing, oracle, pii, quality, simhash, urls
 from tiffin.llm.common import table
 
+#: Of the query only; users bring their own.
+PII_KEY = "op2"
+
 MIX_WEIGHTS, MIX_SHARE, MIX_CAP = [5, 2, 1], 1.5, 2.0
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -21,6 +24,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.replace_entities(table(spark, sf_dir, "documents"), PII_KEY)
+    return found.select("doc_id", "text", "n_entities", F.array_join("kinds", ",").alias("kinds"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "digest", "license",
@@ -61,6 +69,7 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_pii": op2_pii,
     "op3_licenses": op3_licenses,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
