@@ -66,7 +66,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = text_or_empty(text_col)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"),
                        F.xxhash64(text).alias("check"))
-    r, g = rows.alias("r"), later.alias("g")
+    # dealt by key at every size: the texts move once, nothing depends on what would fit a broadcast
+    r, g = rows.alias("r"), later.hint("merge").alias("g")
     got = r.join(g, F.expr("r.doc_id <=> g.doc_id AND r.check = g.check"), "left").select(
         "r.doc_id", "r.text", line_array(F.col("r.text")).alias("lines"), "g.later")
     covered = F.array_distinct(F.flatten(F.transform(
