@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tiffin.llm import common, decontaminate, exact, mixing, quality, queries, simhash
 
@@ -34,9 +33,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
     found = decontaminate.decontaminate(docs, common.table(spark, sf_dir, "benchmark"))
-    hit = common.staged(found.where("contaminated").select("doc_id").distinct(), "pipeline-hit")
-    return docs.join(hit.withColumnRenamed("doc_id", "__hit"),
-                     docs["doc_id"].eqNullSafe(F.col("__hit")), "left_anti")
+    return common.drop_rows(docs, found.where("contaminated").select("doc_id"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

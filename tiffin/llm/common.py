@@ -36,5 +36,18 @@ def keep_rows(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFr
 
     All columns of ``docs`` stay as they are, whatever their names.
     """
-    marked = ids.select(F.col(f"`{ids.columns[0]}`").alias("__id")).distinct()
-    return docs.join(marked, docs[f"`{id_col}`"].eqNullSafe(marked["__id"]), "left_semi")
+    return docs.join(*_by_id(docs, ids, id_col), "left_semi")
+
+
+def drop_rows(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose id is not in the one-column frame ``ids``; null matches null."""
+    return docs.join(*_by_id(docs, ids, id_col), "left_anti")
+
+
+def _by_id(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, Column]:
+    """Both sides are dealt by id at every size, so a plan seen on little data holds on much."""
+    mark = "id"
+    while mark in docs.columns:
+        mark += "_"
+    marked = ids.select(F.col(f"`{ids.columns[0]}`").alias(mark)).distinct().hint("merge")
+    return marked, F.col(f"`{id_col}`").eqNullSafe(F.col(mark))

@@ -159,7 +159,7 @@ def window_anchors(counts: list[int], width: int) -> list[tuple[int, int]]:
     """
     n, out = len(counts), set()
     width = min(width, n)
-    for s in range(n - width + 1):
+    for s in range(n - width + 1 if n else 0):
         order = sorted(range(s, s + width), key=lambda i: (counts[i], i))
         if counts[order[0]] > 0:
             out.add(tuple(sorted((order[0], order[min(1, width - 1)]))))
@@ -252,7 +252,7 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, id_co
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), text],
                                              names=["doc_id", "check", "n_words", "text"])
     rows = rows.mapInArrow(counted, f"doc_id {kind}, check long, n_words long, text string")
-    joined = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("check") == F.col("c")), "left")
+    joined = rows.join(per_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("check") == F.col("c")), "left")
     joined = joined.select("doc_id", "n_words", F.when(F.col("found").isNotNull(), F.col("text")).alias("text"), "found")
     result = f"doc_id {kind}, n_words long, matches array<struct<item_id:string,start:int,end:int>>"
     schema = to_arrow_schema(_empty(docs.sparkSession, result).schema)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import staged, text_or_empty
+from tiffin.llm.common import drop_rows, keep_rows, staged, text_or_empty
 
 ENTRY = ["digest", "n_bytes", "check"]
 
@@ -84,18 +84,23 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           keep: str = "max") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows that repeat both doc_id and text leave one of them; for these few
-    the rows themselves are compared, all others are filtered by doc_id.
+    Rows are filtered by doc_id.  Of rows that share a doc_id those with a
+    kept text stay, one for each text.
     """
-    kept = staged(exact_duplicates(docs, id_col, text_col, keep).where("kept")
-                  .select("doc_id", "text_sha256"), "exact-kept")
-    digest = F.sha2(text_or_empty(text_col), 256)
-    rows = docs.join(kept, docs[f"`{id_col}`"].eqNullSafe(kept["doc_id"])
-                     & (digest == kept["text_sha256"]), "left_semi")
-    repeated = staged(docs.groupBy(F.col(f"`{id_col}`").alias("doc_id")).count().where("count > 1")
-                      .select("doc_id"), "exact-repeated")
+    found = staged(exact_duplicates(docs, id_col, text_col, keep), "exact-found")
+    repeated = staged(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "exact-repeated")
     if repeated.isEmpty():
-        return rows
-    again = docs[f"`{id_col}`"].eqNullSafe(repeated["doc_id"])
-    tied = rows.join(repeated, again, "left_semi").dropDuplicates([id_col, text_col])
-    return rows.join(repeated, again, "left_anti").unionByName(tied)
+        return keep_rows(docs, found.where("kept").select("doc_id"), id_col)
+    # ids that several rows share: of these rows the ones with a kept text, once each
+    single = drop_rows(found.where("kept").select("doc_id"), repeated)
+    again = keep_rows(docs, repeated, id_col)
+    mark = "kept_text"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    again = again.withColumn(mark, F.sha2(text_or_empty(text_col), 256))
+    texts = keep_rows(found.where("kept"), repeated).select(
+        F.col("text_sha256").alias(mark + "_of"), F.col("doc_id").alias(mark + "_id"))
+    again = again.join(texts, (F.col(mark) == F.col(mark + "_of"))
+                       & F.col(f"`{id_col}`").eqNullSafe(F.col(mark + "_id")), "left_semi")
+    again = again.dropDuplicates([mark]).drop(mark)
+    return keep_rows(docs, single, id_col).unionByName(again)

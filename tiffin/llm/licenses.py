@@ -128,26 +128,27 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str =
     distinct ones of lines that are a known text each, sorted (empty array if
     none).  Null counts as empty, and an empty canonical form is no licence.
     Rows that repeat both doc_id and text get the same result; other columns
-    are not read.  ``known`` is a frame as ``known_digests`` gives it; Spark
-    broadcasts it if its measured size allows.
+    are not read.  ``known`` is a frame as ``known_digests`` gives it.
     """
     known = known_digests(docs.sparkSession) if known is None else known
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    empty = F.sha2(F.lit(""), 256)
-    whole = rows.select("doc_id", F.sha2(canonical(F.col("text")), 256).alias("digest"),
-                        F.xxhash64("text").alias("check"))
+    # as a table of known size Spark sees whether it is small enough to broadcast
+    known = staged(known.where(F.col("known_digest") != F.sha2(F.lit(""), 256)), "license-known")
+
+    def digest(text: Column) -> Column:  # never null, so no null check repeats the work below the join
+        return F.coalesce(F.sha2(canonical(text), 256), F.lit(""))
+    whole = rows.select("doc_id", digest(F.col("text")).alias("digest"), F.xxhash64("text").alias("check"))
     lines = (rows.select("doc_id", F.xxhash64("text").alias("check"),
                          F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-             .withColumn("line_digest", F.sha2(canonical(F.col("line")), 256))
-             .where(F.col("line_digest") != empty))
+             .withColumn("line_digest", digest(F.col("line"))))
     found = (lines.join(known, F.col("line_digest") == F.col("known_digest"))
              .groupBy("doc_id", "check", "pos").agg(F.min("known_license").alias("l"))
              .groupBy(F.col("doc_id").alias("of"), F.col("check").alias("of_check"))
              .agg(F.sort_array(F.collect_set("l")).alias("line_licenses"),
                   F.count(F.lit(1)).alias("n_notice_lines")))
     found = staged(found, "license-lines")
-    whole = whole.join(known, (F.col("digest") == F.col("known_digest")) & (F.col("digest") != empty), "left")
-    return whole.join(found, F.col("doc_id").eqNullSafe(F.col("of"))
+    whole = whole.join(known, F.col("digest") == F.col("known_digest"), "left")
+    return whole.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of"))
                       & (F.col("check") == F.col("of_check")), "left").select(
         "doc_id", "digest", F.col("known_license").alias("license"),
         F.coalesce("line_licenses", F.array().cast("array<string>")).alias("line_licenses"),
