@@ -5,14 +5,19 @@ from tiffin.operators import generate, model, ordered, reviews, transform
 from tiffin.sources import fixtures as fx
 
 
-def test_parse_review_list_edge_cases():
-    p = reviews.parse_review_list
-    assert p(None) == [] and p("") == []
-    assert p("[(broken") is None
-    assert p("[('Rated 4.0', 'RATED\\n  Great food ')]") == [{"review_rating": 4.0, "review_text": "Great food"}]
-    assert p("[('no rating', 'RATED ok RATED')]") == [{"review_rating": None, "review_text": "ok RATED"}]
-    assert p("[('Rated 3.0', 'a', 'extra')]") is None      # ragged tuple -> rejected, not a crash
-    assert p("{'a': 1}") is None
+def test_review_list_edge_cases(spark):
+    fields = {None: [], "": [], "[]": [], "[(broken": None, "[('Rated 3.0', 'a', 'extra')]": None, "{'a': 1}": None,
+              "('ab', 'cd')": None, "[('Rated 4.0', 'RATED\\n  Great food ')]": [(4.0, "Great food")],
+              "[('no rating', 'RATED ok RATED')]": [(None, "ok RATED")], "[(None, 5), ['Rated 2', '\\x1c a\\u2003']]":
+              [(None, ""), (2.0, "a")]}
+    df = spark.createDataFrame(list(enumerate(fields)), "restaurant_id long, reviews_list string")
+    parsed = reviews.with_parsed(df)
+    bad = {r["restaurant_id"] for r in reviews.rejected_reviews(parsed).collect()}
+    assert bad == {i for i, want in enumerate(fields.values()) if want is None}
+    got = {}
+    for r in reviews.parsed_reviews(parsed).orderBy("review_pos").collect():
+        got.setdefault(r["restaurant_id"], []).append((r["review_rating"], r["review_text"]))
+    assert got == {i: want for i, want in enumerate(fields.values()) if want}
 
 
 def test_review_round_trip(spark, t01):
@@ -39,7 +44,7 @@ def test_cleaning_expressions(spark):
 
 def test_dense_ids_distributed_path_is_gapless(spark, t01):
     li = t01("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    ids = ordered.dense_ids(li, ["l_orderkey", "l_linenumber", "l_partkey"], "rid", small_rows=None)
+    ids = ordered.dense_ids(li, ["l_orderkey", "l_linenumber", "l_partkey"], "rid")
     agg = ids.agg(F.min("rid"), F.max("rid"), F.count_distinct("rid"), F.count(F.lit(1))).first()
     assert tuple(agg) == (1, 60000, 60000, 60000)
     from pyspark.sql import Window
@@ -66,7 +71,7 @@ def test_residual_allocation_sums_exactly(spark, t01):
 def test_weighted_assignment_every_child_once(spark, t01):
     r = generate.impute(transform.clean_restaurants(fx.restaurants(t01))).select("restaurant_id", "weight")
     o = fx.orders(t01).select("order_id")
-    a = generate.weighted_assignment(r, o, "restaurant_id", "weight", "order_id", buckets=64)
+    a = generate.weighted_assignment(r, o, "restaurant_id", "weight", "order_id")
     assert a.count() == o.count() == a.select("order_id").distinct().count()
 
 
@@ -96,3 +101,56 @@ def test_leaderboards_by_id_split_shared_names(spark):
     assert [(r["restaurant"], r["orders"]) for r in kpi.top_restaurants(star).collect()] == [("Twin", 2)]
     by_id = [(r["restaurant_id"], r["orders"]) for r in kpi.top_restaurants(star, by="id").collect()]
     assert by_id == [(11, 1), (10, 1)]
+
+
+def test_median_of_a_value_most_rows_share(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, F.lit(300.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    assert ordered.exact_median(df, "v").first()["median"] == 300.0
+
+
+def test_weighted_choice_of_many_light_parents(spark):
+    parents = spark.range(50_003).select(F.col("id").alias("p"), F.lit(0.1).alias("w"))
+    children = spark.range(20_000).select(F.col("id").alias("c"))
+    got = generate.weighted_assignment(parents, children, "p", "w", "c")
+    agg = got.agg(F.count(F.lit(1)), F.count_distinct("c"), F.count_distinct("p"), F.max("p")).first()
+    assert agg[0] == agg[1] == 20_000 and agg[2] > 16_000 and agg[3] > 49_000
+
+
+def test_weights_steer_the_choice(spark):
+    parents = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, 0.0), (4, None)], "p long, w double")
+    got = generate.weighted_assignment(parents, spark.range(8_000).select(F.col("id").alias("c")), "p", "w", "c")
+    n = {r["p"]: r["count"] for r in got.groupBy("p").count().collect()}
+    assert set(n) == {1, 2} and abs(n[2] - 6_000) < 200
+
+
+def test_exact_arithmetic(spark):
+    from tiffin.functions.numeric import idiv, money_avg, round_ratio
+    row = spark.range(1).select(
+        idiv(F.lit(1999999999), F.lit(1000000000)), round_ratio(F.lit(12449999999), F.lit(10 ** 12), 2, 100),
+        idiv(F.lit(7), F.lit(0)), round_ratio(F.lit(-5), F.lit(1000), 2), money_avg(F.lit(1), F.lit(2)),
+        generate.anchored_amount_cents(F.lit(550.5), F.lit(1), F.lit(20))).first()
+    assert (int(row[0]), row[1], row[2], row[3], float(row[4]), row[5]) == (1, 1.24, None, -0.01, 0.01, 27525)
+
+
+def test_free_items_share_evenly(spark):
+    df = spark.createDataFrame([(1, 1, 0, 100), (1, 2, 0, 100), (1, 3, 0, 100), (2, 4, 5, 11)],
+                               "g long, l long, w long, total long")
+    got = {r["l"]: float(r["allocated"]) for r in generate.allocate_residual(df, "g", "l", "w", "total").collect()}
+    assert got == {1: 0.33, 2: 0.33, 3: 0.34, 4: 0.11}
+
+
+def test_hour_outside_the_day_fails_its_test(spark):
+    from tiffin.operators import dq
+    star = {"dim_time": model.dim_time(spark), "fact_orders": spark.createDataFrame([(1, 25), (2, 3)], "order_id long, hour_id int")}
+    tests = [t for t in dq.star_tests() if t.model == "fact_orders" and t.column == "hour_id"]
+    assert [r["failures"] for r in dq.run_tests(star, tests).collect()] == [1]
+
+
+def test_profile_without_the_columns(spark):
+    from tiffin.operators import profile
+    assert profile.distinct_samples(spark.range(3), {"rate": 20}).count() == 0
+
+
+def test_nan_is_missing(spark):
+    from tiffin.functions.fmt import format_report
+    assert format_report(spark.createDataFrame([(float("nan"),), (2.5,)], "x double")).collect()[0][0] == "—"

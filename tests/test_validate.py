@@ -61,53 +61,36 @@ def test_valid_plus_rejected_is_input(t01):
         assert V.valid(df).count() + V.rejected(df).count() == n, name
 
 
-def test_salted_join_matches_plain_join_under_skew(spark, t01):
-    from tiffin.operators.skew import salted_join
-    o = fx.orders(t01).select("order_id", "restaurant_id")
-    r = fx.restaurants(t01).select("restaurant_id", F.col("url"))
-    plain = sorted(o.join(r, "restaurant_id", "left").select("order_id", "url").collect())
-    salted = salted_join(o, r, ["restaurant_id"], "left", hot_rows=20)
-    assert sorted(salted.select("order_id", "url").collect()) == plain
-    anti = salted_join(o, r.where(F.col("restaurant_id") > 100), ["restaurant_id"], "left_anti", hot_rows=20)
-    assert anti.count() == o.join(r.where(F.col("restaurant_id") > 100), "restaurant_id", "left_anti").count()
-
-
-def test_orders_golden_with_hot_key_salting(spark, t01):
-    # force the salted path: every restaurant with > 20 orders is treated as hot
-    spark.conf.set("spark.tiffin.skew.hotRows", "20")
-    try:
-        o = V.validate_orders(fx.orders_dirty(t01), fx.restaurants(t01), fx.customers(t01))
-        c = counts(o)
-    finally:
-        spark.conf.unset("spark.tiffin.skew.hotRows")
-    assert (c[None], c["duplicate_order_id"], c["orphan_customer_id"], c["orphan_restaurant_id"]) == (14317, 300, 344, 184)
-    assert o.count() == 15300
-
-
-def test_salted_join_null_and_hot_keys(spark):
-    from tiffin.operators.skew import salted_join
-    big = spark.createDataFrame([(i, 1 if i % 3 else None) for i in range(300)] + [(1000, 2), (1001, 5)],
-                                "id long, k long")
-    small = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "k long, v string")
-    for hr in (10, 10**9):
-        left = {r["id"]: r["v"] for r in salted_join(big, small, ["k"], "left", hot_rows=hr).collect()}
-        assert len(left) == 302 and left[1] == "one" and left[0] is None and left[1000] == "two" and left[1001] is None
-        assert salted_join(big, small, ["k"], "inner", hot_rows=hr).count() == 201
-        assert salted_join(big, small, ["k"], "left_semi", hot_rows=hr).count() == 201
-        assert salted_join(big, small, ["k"], "left_anti", hot_rows=hr).count() == 101
-        ns = {r["id"]: r["v"] for r in salted_join(big, small.union(spark.createDataFrame([(None, "nul")], "k long, v string")),
-                                                   ["k"], "left", hot_rows=hr, null_safe=True).collect()}
-        assert ns[0] == "nul" and ns[1] == "one"
-
-
-def test_checked_lookup_falls_back_to_salted(spark, t01):
-    from tiffin.operators.skew import lookup_join
-    o = fx.orders(t01).select("order_id", "restaurant_id")
-    r = fx.restaurants(t01).select("restaurant_id", "url")
-    small = sorted(lookup_join(o, r, ["restaurant_id"], "left", mode="checked").collect())
-    spark.conf.set("spark.tiffin.skew.hotRows", "20")
-    try:
-        big = sorted(lookup_join(o, r, ["restaurant_id"], "left", mode="checked", max_rows=10).collect())
-    finally:
-        spark.conf.unset("spark.tiffin.skew.hotRows")
-    assert small == big and len(big) == 15000
+def test_lookup_join_keeps_rows_nulls_and_column_order(spark):
+    from tiffin.operators.joins import attach_group_aggs, lookup_join
+    big = spark.createDataFrame([(i, 1 if i < 200 else None if i < 300 else i) for i in range(400)], "id long, k long")
+    small = spark.createDataFrame([(1, "one"), (350, "x"), (None, "nul")], "k long, v string")
+    left = {r["id"]: r["v"] for r in lookup_join(big, small, ["k"]).collect()}
+    assert len(left) == 400 and left[0] == "one" and left[250] is None and left[350] == "x"
+    assert lookup_join(big, small, ["k"], "inner").columns == ["id", "k", "v"]
+    assert lookup_join(big, small, ["k"], "left_anti").count() == 199
+    safe = {r["id"]: r["v"] for r in lookup_join(big, small, ["k"], null_safe=True).collect()}
+    assert safe[250] == "nul"
+    n = {r["k"]: r["n"] for r in attach_group_aggs(big, ["k"], [F.count(F.lit(1)).alias("n")], null_safe=True).collect()}
+    assert n[1] == 200 and n[None] == 100
+
+
+def test_hot_keys_at_default_settings(spark):
+    """One customer and the null customer hold two thirds of the orders."""
+    rows = [(i, None if i % 3 == 0 else 7 if i % 3 == 1 else i, 5, "10.50" if i % 4 else "-1", i) for i in range(3_000)]
+    orders = spark.createDataFrame(rows + [(1, 7, 5, "1", 9_000)],
+                                   "order_id long, customer_id long, restaurant_id long, order_total string, seq long")
+    restaurants, customers = spark.createDataFrame([(5,)], "restaurant_id long"), spark.createDataFrame([(7,)], "customer_id long")
+    got = V.validate_orders(orders, restaurants, customers).groupBy("reject_reason").count().collect()
+    assert {r[0]: r[1] for r in got} == {"non_positive_order_total": 750, "orphan_customer_id": 1_500,
+                                         None: 750, "duplicate_order_id": 1}
+
+
+def test_text_numbers_and_equal_seq(spark):
+    orders = spark.createDataFrame([(1, "0"), (2, "10.50"), (3, "abc"), (4, None)], "order_id long, order_total string")
+    df = orders.select("order_id", F.lit(1).alias("customer_id"), F.lit(1).alias("restaurant_id"), "order_total", F.lit(0).alias("seq"))
+    one = lambda c: spark.createDataFrame([(1,)], f"{c} long")
+    got = {r["order_id"]: r["reject_reason"] for r in V.validate_orders(df, one("restaurant_id"), one("customer_id")).collect()}
+    assert got == {1: "non_positive_order_total", 2: None, 3: None, 4: None}
+    same = spark.createDataFrame([(1, "a", 0), (1, "b", 0)], "customer_id long, name string, seq long")
+    assert V.validate_customers(same).where("reject_reason = 'duplicate_customer_id'").count() == 1

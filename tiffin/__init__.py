@@ -10,3 +10,10 @@ a DataFrame; nothing is collected to the driver.
 from tiffin.session import get_session, shared_dir  # noqa: F401
 
 __all__ = ["get_session", "shared_dir"]
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to Python workers by value, so executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

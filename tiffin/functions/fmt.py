@@ -41,7 +41,7 @@ def format_value(df: DataFrame, name: str) -> Column:
     whole = F.format_number(c, 0)
     frac = F.format_number(c, 2)
     is_whole = c == F.floor(c)
-    out = F.when(c.isNull(), F.lit(MISSING))
+    out = F.when(c.isNull() | F.isnan(c.cast("double")), F.lit(MISSING))
     if yes_no is not None:
         out = out.when(c.isin(0, 1), yes_no)
     if money:

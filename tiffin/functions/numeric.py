@@ -17,8 +17,13 @@ def _c(x) -> Column:
 
 
 def idiv(a, b) -> Column:
-    """Exact integer division, floor for non-negative operands."""
-    return F.floor(_c(a).cast("decimal(38,0)") / _c(b).cast("decimal(38,0)")).cast("long")
+    """Exact integer quotient towards zero as decimal(38,0); null when b = 0.
+
+    The remainder goes first, so the decimal division that is left has no
+    fraction to round.  (``div`` would do, but its result must fit a bigint.)
+    """
+    n, d = _c(a).cast("decimal(38,0)"), F.nullif(_c(b).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    return ((n - n % d) / d).cast("decimal(38,0)")
 
 
 def round_ratio(num, den, digits: int, scale: int = 1) -> Column:
@@ -29,9 +34,9 @@ def round_ratio(num, den, digits: int, scale: int = 1) -> Column:
     """
     n = _c(num).cast("decimal(38,0)") * F.lit(scale * 10 ** digits)
     d = _c(den).cast("decimal(38,0)")
-    q = F.floor((F.abs(n) * 2 + d) / (d * 2))
+    q = idiv(F.abs(n) * 2 + d, d * 2)
     signed = F.when(n < 0, -q).otherwise(q)
-    return F.when(d != 0, (signed / F.lit(10 ** digits)).cast("double"))
+    return F.when(d != 0, signed.cast("double") / F.lit(float(10 ** digits)))
 
 
 def cents(x) -> Column:
@@ -43,7 +48,7 @@ def money_avg(sum_cents, n) -> Column:
     """Average of money rounded half-up to cents, as decimal(18,2)."""
     s = _c(sum_cents).cast("decimal(38,0)")
     d = _c(n).cast("decimal(38,0)")
-    q = F.floor((F.abs(s) * 2 + d) / (d * 2))
+    q = idiv(F.abs(s) * 2 + d, d * 2)
     signed = F.when(s < 0, -q).otherwise(q)
     return F.when(d != 0, (signed / 100).cast("decimal(18,2)"))
 

@@ -14,13 +14,14 @@ join, so a foreign key holding a third of the child rows is one row by then.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-
 @dataclass(frozen=True)
 class Test:
     kind: str            # not_null | unique | relationships
@@ -77,32 +78,30 @@ def star_tests() -> list[Test]:
     return tests
 
 
-def _key_counts(df: DataFrame, col: str) -> DataFrame:
+def _key_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct value (partial aggregation: a hot value costs one row per task)."""
-    return df.groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("rows"))
+    return df.groupBy(*by, F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _missing_parents(test: Test, star: dict[str, DataFrame]) -> DataFrame:
-    """Relationship violations as (_k, rows).
+def _missing_parents(test: Test, star: dict[str, DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """Relationship violations as (by, _k, rows).
 
     The child is aggregated to distinct keys *before* the anti join, so both
-    join sides hold distinct keys: no key can be skewed and no salting is needed.
+    join sides hold distinct keys and no key can be skewed.
     """
-    child = _key_counts(star[test.model], test.column).where(F.col("_k").isNotNull())
+    child = _key_counts(star[test.model], test.column, by).where(F.col("_k").isNotNull())
     parent = star[test.to].select(F.col(test.field).alias("_k")).where(F.col("_k").isNotNull()).distinct()
     return child.join(parent, "_k", "left_anti")
 
 
-def _violations(test: Test, star: dict[str, DataFrame]) -> DataFrame:
-    """Failing rows of one test as (value, rows): NULL value for not_null."""
+def _violations(test: Test, star: dict[str, DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """Failing values of one test as (by, value, rows): NULL value for not_null."""
+    value = F.col("_k").cast("string").alias("value")
     if test.kind == "relationships":
-        v = _missing_parents(test, star)
-        return v.select(F.col("_k").cast("string").alias("value"), "rows")
-    counts = _key_counts(star[test.model], test.column)
-    if test.kind == "not_null":
-        return counts.where(F.col("_k").isNull()).select(F.lit(None).cast("string").alias("value"), "rows")
-    return counts.where(F.col("_k").isNotNull() & (F.col("rows") > 1)) \
-                 .select(F.col("_k").cast("string").alias("value"), "rows")
+        return _missing_parents(test, star, by).select(*by, value, "rows")
+    counts = _key_counts(star[test.model], test.column, by)
+    broken = F.col("_k").isNull() if test.kind == "not_null" else F.col("_k").isNotNull() & (F.col("rows") > 1)
+    return counts.where(broken).select(*by, value, "rows")
 
 
 def _row(name: str, kind: str, model: str, column: str, failures) -> list:
@@ -143,16 +142,13 @@ def run_tests(star: dict[str, DataFrame], tests: list[Test] | None = None) -> Da
     return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
 
 
-def failing_rows(star: dict[str, DataFrame], tests: list[Test] | None = None) -> DataFrame:
-    """(test_name, value, rows) for every failing value of every test."""
+def failing_rows(star: dict[str, DataFrame], tests: list[Test] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """(test_name, by, value, rows) for every failing value of every test, within each ``by`` group."""
     tests = tests if tests is not None else star_tests()
     tests = [t for t in tests if t.model in star and (t.to is None or t.to in star)]
-    frames = [_violations(t, star).select(F.lit(t.name).alias("test_name"), "value",
-                                          F.col("rows").cast("long").alias("rows")) for t in tests]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    frames = [_violations(t, star, by).select(F.lit(t.name).alias("test_name"), *by, "value",
+                                              F.col("rows").cast("long").alias("rows")) for t in tests]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def summarize(results: DataFrame) -> DataFrame:

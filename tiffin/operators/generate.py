@@ -1,9 +1,10 @@
 """Deterministic data operators from the order simulator.
 
-The simulator itself is not rebuilt; its reusable cores are:
-imputation with global statistics, popularity weights, weighted choice of a
-parent (as a bucketed range join), anchored amounts, residual allocation
-that makes lines sum exactly to a total, and status-filtered children.
+The simulator itself is not rebuilt; its reusable cores are: imputation with
+global statistics, popularity weights, weighted choice of a parent (an as-of
+lookup over sorted draw points), anchored amounts, residual allocation that
+makes lines sum exactly to a total, and status-filtered children.  Weights,
+sums and draw points are integers, so nothing depends on partitioning.
 """
 
 from __future__ import annotations
@@ -11,17 +12,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.functions.numeric import idiv
-from tiffin.operators.ordered import exact_median, with_prefix_sum
-from tiffin.operators.skew import attach_group_aggs
+from tiffin.functions.numeric import cents, idiv
+from tiffin.operators.joins import lookup_join
+from tiffin.operators.ordered import EXACT, exact_median, last_before, with_prefix_sum
+from tiffin.session import cut_lineage
 
-# Fixed value: modulus of the deterministic per-row fraction (a prime).
-FRACTION_MODULUS = 1_000_003
+# Fixed values of the draw: points modulo a prime 2^61 - 1, and the multiplier that spreads the keys.
+POINT_MODULUS = (1 << 61) - 1
+POINT_FACTOR = 1_181_783_497_276_652_981
+#: Weights are taken to so many parts of one.
+WEIGHT_SCALE = 1_000_000
 
 
-def unit_fraction(key: Column, salt: int = 7919) -> Column:
-    """Deterministic pseudo-uniform fraction in [0, 1) from an integer key."""
-    return ((F.pmod(key, F.lit(FRACTION_MODULUS)) * salt) % FRACTION_MODULUS) / F.lit(float(FRACTION_MODULUS))
+def draw_point(key: Column, total: Column) -> Column:
+    """A deterministic, evenly spread integer in [0, total) from an integer key."""
+    part = F.pmod(key.cast(EXACT) * F.lit(POINT_FACTOR).cast(EXACT), F.lit(POINT_MODULUS).cast(EXACT)).cast("decimal(19,0)")
+    return idiv(part * total.cast("decimal(19,0)"), F.lit(POINT_MODULUS))
 
 
 def impute_stats(clean_restaurants: DataFrame) -> DataFrame:
@@ -44,53 +50,54 @@ def impute(clean_restaurants: DataFrame) -> DataFrame:
 
 
 def weighted_assignment(parents: DataFrame, children: DataFrame, parent_key: str, weight: str,
-                        child_key: str, buckets: int | None = None) -> DataFrame:
+                        child_key: str) -> DataFrame:
     """Give each child one parent with probability proportional to weight.
 
-    Parents get half-open intervals [lo, hi) of the cumulative weight (global
-    prefix sums, no single-task window).  A child's point u = fraction(child) * W
-    falls in exactly one interval.  The range condition is made an equi-join
-    by cutting [0, W) into equal buckets: every interval is listed under each
-    bucket it overlaps, every child under the bucket of u, then lo <= u < hi
-    is checked — exact, with no nested-loop join and no cap on partners.
+    A parent begins where the weights before it end (exact integer prefix
+    sums); a child draws a point below the total.  Beginnings and points are
+    sorted together, and a child takes the last parent that begins at or
+    before its point: every child once, in one sort.
     """
-    p = parents.select(F.col(parent_key).alias("_pk"), F.col(weight).cast("double").alias("_w")) \
-               .where(F.col("_w") > 0)
-    cum = with_prefix_sum(p, ["_pk"], "_w", "_hi").withColumn("_lo", F.col("_hi") - F.col("_w"))
-    total = cum.select(F.max("_hi")).scalar()
-    nb = buckets or 1024
-    width = total / F.lit(nb)
-    b_lo = F.floor(F.col("_lo") / width).cast("long")
-    b_hi = F.least(F.floor(F.col("_hi") / width).cast("long"), F.lit(nb - 1))
-    intervals = cum.select("_pk", "_lo", "_hi", F.explode(F.sequence(b_lo, F.greatest(b_lo, b_hi))).alias("_b"))
-    u = unit_fraction(F.col(child_key)) * total
-    pts = children.select(F.col(child_key).alias(child_key), u.alias("_u")) \
-                  .withColumn("_b", F.least(F.floor(F.col("_u") / width).cast("long"), F.lit(nb - 1)))
-    j = pts.join(intervals, "_b").where((F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi")))
-    return j.select(child_key, F.col("_pk").alias(parent_key))
+    units = F.round(F.col(weight).cast("double") * WEIGHT_SCALE).cast(EXACT)
+    p = parents.select(F.col(parent_key).alias("_pk"), units.alias("_w")).where(F.col("_w") > 0)
+    cum = with_prefix_sum(p, ["_pk"], "_w", "_end")
+    total = cum.select(F.max("_end")).scalar()
+    begins = cum.select((F.col("_end") - F.col("_w")).alias("_at"), F.lit(0).alias("_kind"),
+                        F.lit(None).cast(children.schema[child_key].dataType).alias(child_key), "_pk")
+    points = children.select(draw_point(F.col(child_key), total).alias("_at"), F.lit(1).alias("_kind"), child_key,
+                             F.lit(None).cast(parents.schema[parent_key].dataType).alias("_pk"))
+    found = last_before(begins.union(points), ["_at", "_kind", child_key], "_pk", "_found")
+    return found.where((F.col("_kind") == 1) & F.col("_found").isNotNull()).select(
+        child_key, F.col("_found").alias(parent_key))
 
 
 def anchored_amount_cents(cost: Column, party_size: Column, key: Column) -> Column:
     """cost/2 * party_size * factor, factor = (80 + key % 41) / 100, in whole cents (half up)."""
     factor_pct = F.lit(80) + F.pmod(key, F.lit(41))
-    return idiv(cost.cast("long") * party_size * factor_pct + 1, F.lit(2))
+    in_cents = F.round(cost.cast("decimal(20,6)"), 2)
+    return idiv(cents(in_cents) * party_size * factor_pct + 100, F.lit(200)).cast("long")
 
 
 def allocate_residual(lines: DataFrame, group: str, line: str, weight: str, total_cents: str) -> DataFrame:
     """Split each group's total across its lines in proportion to weight.
 
     Every line but the last gets floor(total * w / W) cents; the last line
-    gets the remainder, so the lines sum exactly to the total.  Group sums are
-    partial aggregations joined back with hot-key salting (no per-group
-    window, no group collected into one task).
+    gets the remainder, so the lines sum exactly to the total.  A group whose
+    weights sum to zero is split evenly.  The lines are written once; both
+    group sums are aggregations joined back.
     """
-    g = attach_group_aggs(lines, [group], [F.sum(weight).alias("_W"), F.max(line).alias("_last")])
-    share = idiv(F.col(total_cents).cast("decimal(38,0)") * F.col(weight), F.col("_W"))
-    g = g.withColumn("_share", F.when(F.col(line) == F.col("_last"), F.lit(None)).otherwise(share))
-    g2 = attach_group_aggs(g, [group], [F.sum("_share").alias("_others")])
+    lines = cut_lineage(lines)
+    sums = lines.groupBy(group).agg(F.sum(weight).alias("_W"), F.max(line).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    g = lookup_join(lines, sums, [group])
+    zero = F.col("_W") == 0
+    share = idiv(F.col(total_cents).cast(EXACT) * F.when(zero, F.lit(1)).otherwise(F.col(weight)),
+                 F.when(zero, F.col("_n")).otherwise(F.col("_W")))
+    g = cut_lineage(g.withColumn("_share", F.when(F.col(line) != F.col("_last"), share))
+                    .select(*lines.columns, "_last", "_share"))
+    g = lookup_join(g, g.groupBy(group).agg(F.sum("_share").alias("_others")), [group])
     alloc = F.when(F.col(line) == F.col("_last"),
                    F.col(total_cents) - F.coalesce(F.col("_others"), F.lit(0))).otherwise(F.col("_share"))
-    return g2.select(group, line, weight, (alloc / 100).cast("decimal(18,2)").alias("allocated"))
+    return g.select(group, line, weight, (alloc / 100).cast("decimal(18,2)").alias("allocated"))
 
 
 def status_children(parents: DataFrame, status_col: str, excluded: str, minutes: Column,

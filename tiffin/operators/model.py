@@ -4,9 +4,9 @@ Surrogate keys are dense 1..N in the natural order of the key, computed
 with the scalable ``dense_ids`` (range-sorted partitions + offsets), never a
 single-partition ``row_number() over (order by ...)``.
 
-Dimension lookups go through ``lookup_join(mode="checked")``: broadcast only
-when a count proves the dimension small, else a hot-key-salted shuffle join
-(facts such as orders are skewed on their dimension keys).  Facts keep
+Dimension lookups are plain joins: Spark broadcasts a dimension by its
+measured size, else adaptive execution splits hot keys (facts such as orders
+are skewed on their dimension keys).  Facts keep
 every row (left joins), so a missing dimension member yields a NULL key that
 the relationship tests report.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.operators.ordered import dense_ids
-from tiffin.operators.skew import lookup_join
+from tiffin.operators.joins import lookup_join
 
 # Hour-of-day bands of dim_time (inclusive bounds) and the fallback band.
 TIME_BANDS = [
@@ -43,7 +43,7 @@ def dim_cuisine(restaurant_cuisines: DataFrame) -> DataFrame:
 
 def dim_restaurant(clean_restaurants: DataFrame, dim_loc: DataFrame) -> DataFrame:
     """M3: restaurants with the location key (NULL area -> NULL key)."""
-    j = lookup_join(clean_restaurants, dim_loc, ["area"], "left", mode="checked")
+    j = lookup_join(clean_restaurants, dim_loc, ["area"], "left")
     return j.select("restaurant_id", "restaurant_name", "url", "address", "location_id",
                     "restaurant_type", "meal_type", "rating", "vote_count", "avg_cost_for_two",
                     "online_order_enabled", "table_booking_enabled")
@@ -51,7 +51,7 @@ def dim_restaurant(clean_restaurants: DataFrame, dim_loc: DataFrame) -> DataFram
 
 def bridge_restaurant_cuisine(restaurant_cuisines: DataFrame, dim_cui: DataFrame) -> DataFrame:
     """M4: (restaurant_id, cuisine_id) pairs — inner join on the cuisine name."""
-    return lookup_join(restaurant_cuisines, dim_cui, ["cuisine"], "inner", mode="checked") \
+    return lookup_join(restaurant_cuisines, dim_cui, ["cuisine"], "inner") \
         .select("restaurant_id", "cuisine_id")
 
 
@@ -101,18 +101,9 @@ def time_period(hour_col) -> F.Column:
     return expr.otherwise(F.lit(OTHER_BAND))
 
 
-def dim_time(spark: SparkSession, observed_hours: DataFrame | None = None) -> DataFrame:
-    """M8: hours 0-23 with their meal band.
-
-    With ``observed_hours`` (a one-column frame of hours from the orders) the
-    dimension also covers any observed hour outside 0-23, so every order's
-    hour key resolves (the distinct hours are a partial aggregation).
-    """
+def dim_time(spark: SparkSession) -> DataFrame:
+    """M8: hours 0-23 with their meal band."""
     h = spark.range(0, 24).select(F.col("id").cast("int").alias("hour"))
-    if observed_hours is not None:
-        seen = observed_hours.select(F.col(observed_hours.columns[0]).cast("int").alias("hour")) \
-                             .where(F.col("hour").isNotNull())
-        h = h.unionByName(seen).distinct()
     return h.select(F.col("hour").alias("hour_id"), F.col("hour").alias("hour_of_day"),
                     time_period(F.col("hour")).alias("time_period"))
 
@@ -120,12 +111,10 @@ def dim_time(spark: SparkSession, observed_hours: DataFrame | None = None) -> Da
 def fact_orders(clean_orders: DataFrame, dim_rest: DataFrame) -> DataFrame:
     """orders with the restaurant's location key.
 
-    restaurant_id is typically skewed (popular restaurants); the lookup join
-    broadcasts dim_restaurant only when a count proves it small (<= 1 M rows),
-    else it salts the hot restaurant ids.
+    restaurant_id is typically skewed (popular restaurants); see ``joins``.
     """
     locs = dim_rest.select("restaurant_id", "location_id")
-    j = lookup_join(clean_orders, locs, ["restaurant_id"], "left", mode="checked")
+    j = lookup_join(clean_orders, locs, ["restaurant_id"], "left")
     return j.select("order_id", "customer_id", "restaurant_id", "location_id",
                     F.col("order_date").alias("date_id"), F.col("order_hour").alias("hour_id"),
                     "party_size", "order_total", "order_status")
@@ -170,7 +159,7 @@ def build_star(staging: dict[str, DataFrame], spark: SparkSession) -> dict[str,
         "dim_customer": dim_customer(staging["customers"]),
         "dim_delivery_partner": dim_delivery_partner(staging["deliveries"]),
         "dim_date": dim_date(staging["orders"]),
-        "dim_time": dim_time(spark, staging["orders"].select("order_hour")),
+        "dim_time": dim_time(spark),
         "fact_orders": fact_orders(staging["orders"], rest),
         "fact_order_items": fact_order_items(staging["order_items"]),
         "fact_payments": fact_payments(staging["payments"]),

@@ -1,46 +1,37 @@
-"""Global ordering without a single-partition window.
-
-``row_number() over (order by k)`` without PARTITION BY moves every row
-into one task.  Instead we
-
-1. globally sort (range partitioning; AQE may coalesce neighbours, which
-   keeps the order) and cut the lineage with a reliable checkpoint so the
-   partition layout is frozen,
-2. number rows inside each partition (``monotonically_increasing_id`` holds
-   the row index in its low 33 bits) — no shuffle,
-3. count rows per partition (one row per partition), turn the counts into
-   offsets (a tiny frame, bounded by the partition count, broadcast),
-4. add the offset.
-
-The same offsets give global prefix sums (per-partition running sums are
-computed by an Arrow ``mapInPandas`` scan, carrying the sum across batches).
+"""Global order without a single-partition window.
+
+``row_number() over (order by k)`` without PARTITION BY moves every row into
+one task.  Instead the rows are sorted globally (range partitioning) and
+written to a reliable checkpoint, which freezes the partition layout; running
+values are computed within each partition and offset by what the partitions
+before it hold, a frame of one row per partition.  There is one path at every
+size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tiffin.session import cut_lineage
 
 _LOW33 = (1 << 33) - 1
+EXACT = "decimal(38,0)"
 
 
-def _sorted_frozen(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    return cut_lineage(df.orderBy(*order))
+def sorted_partitions(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``df`` globally sorted and frozen, with ``_pid`` and the 1-based ``_lpos`` within the partition."""
+    frozen = cut_lineage(df.orderBy(*order))
+    return (frozen.withColumn("_pid", F.spark_partition_id())
+            .withColumn("_lpos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)) + 1))
 
 
-def _offsets(per_part: DataFrame, value_cols: Sequence[str]) -> DataFrame:
-    # per_part has one row per partition: bounded by the partition count.
+def _before(per_partition: DataFrame, value: str, out: str) -> DataFrame:
+    """(_pid, out): sum of ``value`` over the partitions before; one row per partition."""
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    out = per_part
-    for c in value_cols:
-        out = out.withColumn(f"_off_{c}", F.coalesce(F.sum(c).over(w), F.lit(0)))
-    return out.select("_pid", *[f"_off_{c}" for c in value_cols])
+    return per_partition.select("_pid", F.coalesce(F.sum(value).over(w), F.lit(0)).alias(out))
 
 
 def with_position(df: DataFrame, order: Sequence[Column | str], pos_col: str = "pos") -> DataFrame:
@@ -49,67 +40,52 @@ def with_position(df: DataFrame, order: Sequence[Column | str], pos_col: str = "
     ``order`` must be a total order (add tie-breakers), otherwise ties are
     numbered in an arbitrary but fixed order.
     """
-    frozen = _sorted_frozen(df, order)
-    local = (frozen.withColumn("_pid", F.spark_partition_id())
-             .withColumn("_lpos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)) + 1))
-    per_part = local.groupBy("_pid").agg(F.max("_lpos").alias("_cnt"))
-    offs = _offsets(per_part, ["_cnt"])
-    return (local.join(F.broadcast(offs), "_pid")
-            .withColumn(pos_col, (F.col("_off__cnt") + F.col("_lpos")).cast("long"))
-            .drop("_pid", "_lpos", "_off__cnt"))
-
-
-def dense_ids(df: DataFrame, order: Sequence[Column | str], id_col: str,
-              small_rows: int | None = 1_000_000) -> DataFrame:
-    """Surrogate key 1..N following ``order`` (a scalable ``row_number``).
-
-    When ``df`` is checked to hold at most ``small_rows`` rows (dimension
-    domains such as areas or cuisines), one ordered window task is cheaper
-    than the checkpoint-and-offset path and its size is bounded; beyond that
-    the distributed path is used.
-    """
-    if small_rows is not None and df.limit(small_rows + 1).count() <= small_rows:
-        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    local = sorted_partitions(df, order)
+    offsets = _before(local.groupBy("_pid").agg(F.max("_lpos").alias("n")), "n", "_off")
+    return (local.join(F.broadcast(offsets), "_pid")
+            .withColumn(pos_col, (F.col("_off") + F.col("_lpos")).cast("long"))
+            .drop("_pid", "_lpos", "_off"))
+
+
+def dense_ids(df: DataFrame, order: Sequence[Column | str], id_col: str) -> DataFrame:
+    """Surrogate key 1..N following ``order`` (a scalable ``row_number``)."""
     return with_position(df, order, id_col)
 
 
-def with_prefix_sum(df: DataFrame, order: Sequence[Column | str], value: str,
-                    out_col: str = "cum") -> DataFrame:
-    """Inclusive running sum of the non-negative double column ``value`` in ``order``."""
-    frozen = _sorted_frozen(df, order)
-    schema = T.StructType(frozen.schema.fields + [
-        T.StructField("_pid", T.IntegerType()), T.StructField("_lcum", T.DoubleType())])
-
-    def scan(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        carry = 0.0
-        for pdf in batches:
-            vals = pdf[value].astype("float64").fillna(0.0)
-            cum = vals.cumsum() + carry
-            if len(cum):
-                carry = float(cum.iloc[-1])
-            yield pdf.assign(_pid=pd.Series([pid] * len(pdf), dtype="int32"), _lcum=cum)
-
-    local = frozen.mapInPandas(scan, schema)
-    local = cut_lineage(local)
-    per_part = local.groupBy("_pid").agg(F.max("_lcum").alias("_tot"))
-    offs = _offsets(per_part, ["_tot"])
-    return (local.join(F.broadcast(offs), "_pid")
-            .withColumn(out_col, F.col("_off__tot") + F.col("_lcum"))
-            .drop("_pid", "_lcum", "_off__tot"))
+def with_prefix_sum(df: DataFrame, order: Sequence[Column | str], value: str, out_col: str = "cum") -> DataFrame:
+    """Inclusive running sum of the integral column ``value`` in ``order``, exact as decimal(38,0)."""
+    local = sorted_partitions(df.withColumn(value, F.col(value).cast(EXACT)), order)
+    within = Window.partitionBy("_pid").orderBy("_lpos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = _before(local.groupBy("_pid").agg(F.sum(value).alias("n")), "n", "_off")
+    return (local.withColumn("_cum", F.sum(value).over(within)).join(F.broadcast(offsets), "_pid")
+            .withColumn(out_col, (F.coalesce(F.col("_cum"), F.lit(0)) + F.col("_off")).cast(EXACT))
+            .drop("_pid", "_lpos", "_off", "_cum"))
+
+
+def last_before(df: DataFrame, order: Sequence[Column | str], value: str, out_col: str) -> DataFrame:
+    """The latest non-null ``value`` at or before each row in ``order`` (an as-of lookup over sorted events)."""
+    local = sorted_partitions(df, order)
+    within = Window.partitionBy("_pid").orderBy("_lpos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = local.groupBy("_pid").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_lpos"))).alias("v"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_pid", F.last("v", ignorenulls=True).over(w).alias("_carry"))
+    return (local.withColumn("_own", F.last(value, ignorenulls=True).over(within))
+            .join(F.broadcast(carried), "_pid")
+            .withColumn(out_col, F.coalesce("_own", "_carry"))
+            .drop("_pid", "_lpos", "_own", "_carry"))
 
 
 def exact_median(df: DataFrame, value: str) -> DataFrame:
-    """One-row frame with the exact (interpolated) median of ``value``.
+    """One-row frame with the exact (interpolated) median of the non-null values.
 
-    Non-null values are globally ranked (no single-task sort), then only the
-    one or two middle ranks are kept.
+    From a histogram of the distinct values: equal values are one row, so a
+    value that most rows share costs nothing.
     """
-    vals = df.select(F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    ranked = with_position(vals, ["_v"], "_pos")
-    n = ranked.select(F.max("_pos")).scalar()
-    lo = F.floor((n + 1) / 2)
-    hi = F.floor(n / 2) + 1
-    return (ranked.where((F.col("_pos") == lo) | (F.col("_pos") == hi))
-            .agg(F.avg("_v").alias("median")))
+    counts = (df.select(F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
+    ranked = with_prefix_sum(counts, ["_v"], "_n", "_upto")
+    n = ranked.select(F.max("_upto")).scalar()
+    first = F.col("_upto") - F.col("_n")
+    at = [F.floor((n + 1) / 2), F.floor(n / 2) + 1]
+    pick = [F.when((first < k) & (F.col("_upto") >= k), F.col("_v")).alias(f"m{i}") for i, k in enumerate(at)]
+    return ranked.select(*pick).agg(((F.max("m0") + F.max("m1")) / 2).alias("median"))

@@ -51,7 +51,7 @@ def distinct_samples(df: DataFrame, columns: dict[str, int], seq: str = "seq") -
         w = Window.orderBy("_first")
         frames.append(v.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= n)
                       .select(F.lit(c).alias("column_name"), "sample_rank", "value"))
-    out = frames[0]
-    for f in frames[1:]:
+    out = df.sparkSession.createDataFrame([], "column_name string, sample_rank int, value string")
+    for f in frames:
         out = out.unionByName(f)
     return out

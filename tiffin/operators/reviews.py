@@ -1,83 +1,81 @@
 """Stringified review lists -> review rows.
 
-The raw field is a Python list literal of ``(rating_text, review_text)``
-tuples.  Parsing needs Python's literal grammar (quotes, escapes), so it runs
-as an Arrow-batched pandas UDF — one vectorised call per batch, never a
-row-at-a-time UDF — and returns a native ``array<struct>`` that Spark
-explodes JVM-side.
+The raw field is a Python list literal of ``(rating text, review text)``
+pairs.  Only the literal's grammar (quotes, escapes, nesting) needs Python: an
+Arrow-batched function turns a field into an array of pairs of strings, or
+null.  Everything else - the rating's number, the marker, trimming - is column
+expressions.
 
 Semantics (per field):
 * NULL or "" -> empty list (no review rows, not rejected);
-* not a literal, or not a list of 2-tuples -> NULL (quarantined as
+* not a literal, or not a list of pairs -> NULL (quarantined as
   ``unparseable_reviews_list``);
 * rating = first number in the rating text, else NULL;
-* text = the text with its first ``RATED`` removed, then whitespace-stripped.
+* text = the text with its first ``RATED`` removed, then whitespace-stripped;
+* a rating or text that is no string counts as empty.
 """
 
 from __future__ import annotations
 
 import ast
-import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REVIEW_TYPE = T.ArrayType(T.StructType([
-    T.StructField("review_rating", T.DoubleType()),
-    T.StructField("review_text", T.StringType()),
-]))
-# The number pattern of a rating and the marker removed from text.
-_NUMBER = re.compile(r"(\d+(\.\d+)?)")
+PAIRS = T.ArrayType(T.StructType([T.StructField("rating", T.StringType()), T.StructField("body", T.StringType())]))
+# The number pattern of a rating, the marker removed from text, the reject reason,
+# and white space as the parser's language strips it.
+NUMBER = r"(\d+(?:\.\d+)?)"
 RATED_MARKER = "RATED"
 UNPARSEABLE = "unparseable_reviews_list"
+SPACE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 
 
-def parse_review_list(raw: str | None):
-    """Parse one field; returns a list of dicts, [] for empty, None if invalid."""
-    if raw is None or raw == "":
-        return []
+def literal_pairs(field: str) -> list[tuple[str, str]] | None:
+    """The pairs of a list literal, members that are no string as empty strings; None if it is none."""
+    sequence = (list, tuple)
     try:
-        value = ast.literal_eval(raw)
+        found = ast.literal_eval(field)
     except (ValueError, SyntaxError, MemoryError, RecursionError, TypeError):
         return None
-    if not isinstance(value, (list, tuple)):
+    if not isinstance(found, sequence) or any(not isinstance(p, sequence) or len(p) != 2 for p in found):
         return None
-    out = []
-    for item in value:
-        if not isinstance(item, (list, tuple)) or len(item) != 2:
-            return None
-        rating_text, text = item
-        m = _NUMBER.search(rating_text if isinstance(rating_text, str) else "")
-        out.append({
-            "review_rating": float(m.group(1)) if m else None,
-            "review_text": (text if isinstance(text, str) else "").replace(RATED_MARKER, "", 1).strip(),
-        })
-    return out
+    return [tuple(x if isinstance(x, str) else "" for x in p) for p in found]
 
 
-@F.pandas_udf(REVIEW_TYPE)
-def _parse_reviews(s: pd.Series) -> pd.Series:
-    return s.map(parse_review_list)
+@F.pandas_udf(PAIRS)
+def _pairs(fields: pd.Series) -> pd.Series:
+    parsed = [[] if not f else literal_pairs(f) for f in fields]
+    return pd.Series([p if p is None else [{"rating": a, "body": b} for a, b in p] for p in parsed], dtype=object)
 
 
-# Marked non-deterministic only so the optimizer never copies the call into
-# both the NULL filter and the explode (which would parse every list twice).
-parse_reviews = _parse_reviews.asNondeterministic()
+# Non-deterministic for the optimizer, so that a filter and an explode share one call.
+pairs = _pairs.asNondeterministic()
+
+
+def rating_of(text: Column) -> Column:
+    return F.regexp_extract(text, NUMBER, 1).try_cast("double")
+
+
+def body_of(text: Column) -> Column:
+    at = F.instr(text, RATED_MARKER)
+    rest = F.when(at > 0, F.concat(text.substr(F.lit(1), at - 1),
+                                   text.substr(at + len(RATED_MARKER), F.length(text)))).otherwise(text)
+    return F.regexp_replace(rest, f"^{SPACE}+|{SPACE}+$", "")
 
 
 def with_parsed(df: DataFrame, col: str = "reviews_list") -> DataFrame:
-    return df.select("restaurant_id", parse_reviews(F.col(col)).alias("parsed"))
+    """(restaurant_id, parsed): the pairs of each field; null if it is no list of pairs."""
+    return df.select("restaurant_id", pairs(F.coalesce(F.col(col), F.lit(""))).alias("parsed"))
 
 
 def parsed_reviews(parsed: DataFrame) -> DataFrame:
     """One row per review, with its position in the list (tie-breaker)."""
-    return (parsed.where(F.col("parsed").isNotNull())
-            .select("restaurant_id", F.posexplode("parsed").alias("review_pos", "r"))
-            .select("restaurant_id", "review_pos",
-                    F.col("r.review_rating").alias("review_rating"),
-                    F.col("r.review_text").alias("review_text")))
+    rows = parsed.select("restaurant_id", F.posexplode("parsed").alias("review_pos", "r"))
+    return rows.select("restaurant_id", "review_pos", rating_of(F.col("r.rating")).alias("review_rating"),
+                       body_of(F.col("r.body")).alias("review_text"))
 
 
 def rejected_reviews(parsed: DataFrame) -> DataFrame:

@@ -13,8 +13,8 @@ Precedence:
 Duplicates (V7) are "any occurrence after the first in input order",
 computed over *all* rows including rows already rejected for another
 reason.  Input order is the explicit ``seq`` column; the first occurrence is
-found with a partial aggregation and joined back with hot-key salting, so
-one key holding a third of the input does not land in one task.
+found with a partial aggregation and joined back; adaptive execution splits
+the partition of a key that holds a third of the input.
 
 Orphans (V8) are found with a join against the *valid* parent keys; a NULL
 foreign key is an orphan.  Never ``NOT IN`` (the NULL trap).
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.functions.parse import is_blank
-from tiffin.operators.skew import attach_group_aggs, salted_join, sampled_key_counts
+from tiffin.operators.joins import lookup_join
 
 REASON = "reject_reason"
 # Fixed value: the rejection-rate threshold of the quality gate (strictly greater fails).
@@ -59,29 +59,30 @@ def tag(df: DataFrame, rules: Sequence[Rule], precedence: str = "first",
     return df.withColumn(reason_col, expr if expr is not None else F.lit(None).cast("string"))
 
 
-def duplicate_flag(df: DataFrame, key: str, seq: str = "seq", out: str = "_dup") -> DataFrame:
-    """V7: TRUE for every occurrence of ``key`` after the first in ``seq`` order.
-
-    NULL keys form one group (as pandas ``duplicated``).
-    """
-    with_first = attach_group_aggs(df, [key], [F.min(seq).alias("_first_seq")], null_safe=True)
-    return with_first.withColumn(out, F.col(seq) > F.col("_first_seq")).drop("_first_seq")
+def number(col: str) -> Column:
+    """A field to compare with zero: typed or still text; text that is no number counts as missing."""
+    return F.col(col).try_cast("double")
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """Estimated per-key row counts (sampled) used to find hot keys.
+def duplicate_flag(df: DataFrame, key: str, seq: str = "seq", out: str = "_dup") -> DataFrame:
+    """V7: TRUE for every occurrence of ``key`` after the first in ``seq`` order.
 
-    Computed from the *raw* input so chained flags do not re-plan each other.
+    NULL keys form one group (as pandas ``duplicated``).  Rows with equal
+    ``seq`` are ordered by a hash of the whole row; rows equal throughout
+    can't be told apart and share the flag.
     """
-    return sampled_key_counts(df, [key])
+    place = F.struct(F.col(seq).alias("seq"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    placed = df.withColumn("_place", place)
+    first = placed.groupBy(key).agg(F.min("_place").alias("_first"))
+    return (lookup_join(placed, first, [key], null_safe=True)
+            .withColumn(out, F.col("_place") > F.col("_first")).drop("_place", "_first"))
 
 
-def orphan_flag(df: DataFrame, fk: str, parent_keys: DataFrame, parent_key: str,
-                out: str, counts: DataFrame | None = None) -> DataFrame:
+def orphan_flag(df: DataFrame, fk: str, parent_keys: DataFrame, parent_key: str, out: str) -> DataFrame:
     """V8: TRUE when ``fk`` is NULL or absent from ``parent_keys[parent_key]``."""
     parents = (parent_keys.select(F.col(parent_key).alias(fk)).where(F.col(fk).isNotNull())
                .distinct().withColumn(f"_found_{fk}", F.lit(True)))
-    joined = salted_join(df, parents, [fk], "left", counts=counts)
+    joined = lookup_join(df, parents, [fk])
     return joined.withColumn(out, F.col(f"_found_{fk}").isNull()).drop(f"_found_{fk}")
 
 
@@ -101,7 +102,7 @@ def validate_restaurants(df: DataFrame) -> DataFrame:
     rules = [
         Rule(MISSING_URL, is_blank("url")),
         Rule(MISSING_NAME, is_blank("name")),
-        Rule(NEGATIVE_VOTES, F.col("votes").try_cast("double") < 0),
+        Rule(NEGATIVE_VOTES, number("votes") < 0),
     ]
     return tag(df, rules, "last")
 
@@ -121,12 +122,10 @@ def validate_orders(df: DataFrame, valid_restaurants: DataFrame, valid_customers
     """V3: non_positive_order_total, orphan_customer_id, orphan_restaurant_id,
     duplicate_order_id — the first match wins."""
     d = duplicate_flag(df, "order_id", seq)
-    d = orphan_flag(d, "customer_id", valid_customers, "customer_id", "_orphan_c",
-                    key_counts(df, "customer_id"))
-    d = orphan_flag(d, "restaurant_id", valid_restaurants, "restaurant_id", "_orphan_r",
-                    key_counts(df, "restaurant_id"))
+    d = orphan_flag(d, "customer_id", valid_customers, "customer_id", "_orphan_c")
+    d = orphan_flag(d, "restaurant_id", valid_restaurants, "restaurant_id", "_orphan_r")
     rules = [
-        Rule(NON_POSITIVE_ORDER_TOTAL, F.col("order_total") <= 0),
+        Rule(NON_POSITIVE_ORDER_TOTAL, number("order_total") <= 0),
         Rule(ORPHAN_CUSTOMER_ID, F.col("_orphan_c")),
         Rule(ORPHAN_RESTAURANT_ID, F.col("_orphan_r")),
         Rule(DUPLICATE_ORDER_ID, F.col("_dup")),
@@ -141,17 +140,17 @@ def _child(df: DataFrame, valid_orders: DataFrame, reason: str, cond: Column) ->
 
 def validate_order_items(df: DataFrame, valid_orders: DataFrame) -> DataFrame:
     """V4: negative_item_price (< 0; zero allowed), orphan_order_id."""
-    return _child(df, valid_orders, NEGATIVE_ITEM_PRICE, F.col("item_price") < 0)
+    return _child(df, valid_orders, NEGATIVE_ITEM_PRICE, number("item_price") < 0)
 
 
 def validate_payments(df: DataFrame, valid_orders: DataFrame) -> DataFrame:
     """V5: non_positive_amount, orphan_order_id."""
-    return _child(df, valid_orders, NON_POSITIVE_AMOUNT, F.col("amount") <= 0)
+    return _child(df, valid_orders, NON_POSITIVE_AMOUNT, number("amount") <= 0)
 
 
 def validate_deliveries(df: DataFrame, valid_orders: DataFrame) -> DataFrame:
     """V6: non_positive_delivery_time, orphan_order_id."""
-    return _child(df, valid_orders, NON_POSITIVE_DELIVERY_TIME, F.col("delivery_time_minutes") <= 0)
+    return _child(df, valid_orders, NON_POSITIVE_DELIVERY_TIME, number("delivery_time_minutes") <= 0)
 
 
 # -------------------------------------------------------------------- cascade

@@ -7,11 +7,16 @@ Both are append-only tables (S11); these queries only read them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.functions.numeric import round_ratio
+from tiffin.operators import dq
+from tiffin.operators.joins import lookup_join
 from tiffin.operators.validate import REJECTION_RATE_THRESHOLD
+from tiffin.session import cut_lineage
 
 # Fixed value: display format of a run time in the recent-runs table.
 RUN_FORMAT = "MMM dd, HH:mm"
@@ -78,42 +83,69 @@ def recent_runs(runs: DataFrame, n: int = 8) -> DataFrame:
 
 
 # ------------------------------------------------------------- run logs
-def validation_runs_by_year(tagged_orders: DataFrame, reason_col: str = "reject_reason") -> DataFrame:
-    """A validation-run log derived from data: one run per order year.
+CHILDREN = ("order_items", "payments", "deliveries")
+
+
+def _run_at() -> Column:
+    return F.make_timestamp_ntz(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("run_at")
+
 
-    Each year's slice of validated orders is one run; run_at is 1 January
-    of the following year.  (The pipeline appends real runs instead.)
+def order_years(raw_orders: DataFrame) -> DataFrame:
+    """(order_id, y): the year of each order, by its first date."""
+    return (raw_orders.where(F.col("order_id").isNotNull())
+            .groupBy("order_id").agg(F.year(F.min("order_date")).alias("y")))
+
+
+def validation_runs_by_year(tagged: dict[str, DataFrame], raw_orders: DataFrame,
+                            reason_col: str = "reject_reason") -> DataFrame:
+    """A validation-run log derived from data: one run per order year, over all six entities.
+
+    Orders belong to their date's year, items, payments and deliveries to
+    their order's; rows without a year are part of the first run.
+    Restaurants and customers are master data and count in every run.  run_at
+    is 1 January of the following year.  (The pipeline appends real runs.)
+    """
+    sums = [F.count_if(F.col(reason_col).isNull()).alias("valid"),
+            F.count_if(F.col(reason_col).isNotNull()).alias("rejected")]
+    years = order_years(raw_orders)
+    dated = [tagged["orders"].groupBy(F.year("order_date").alias("y")).agg(*sums)]
+    for name in CHILDREN:
+        per_order = tagged[name].groupBy("order_id").agg(*sums)
+        dated.append(lookup_join(per_order, years, ["order_id"])
+                     .groupBy("y").agg(F.sum("valid").alias("valid"), F.sum("rejected").alias("rejected")))
+    first = raw_orders.select(F.min(F.year("order_date"))).scalar()
+    runs = reduce(DataFrame.unionByName, dated).withColumn("y", F.coalesce(F.col("y"), first))
+    runs = runs.groupBy("y").agg(F.sum("valid").alias("valid"), F.sum("rejected").alias("rejected"))
+    masters = reduce(DataFrame.unionByName, [tagged[n].agg(*sums) for n in ("restaurants", "customers")])
+    good, bad = masters.select(F.sum("valid")).scalar(), masters.select(F.sum("rejected")).scalar()
+    runs = runs.select("y", (F.col("valid") + good).alias("total_valid"), (F.col("rejected") + bad).alias("total_rejected"))
+    return runs.select(_run_at(), "total_valid", "total_rejected",
+                       (F.col("total_rejected") / (F.col("total_valid") + F.col("total_rejected"))).alias("rejection_rate"))
+
+
+def test_runs_by_year(star: dict[str, DataFrame], raw_orders: DataFrame) -> DataFrame:
+    """A test-run log derived from data: all tests over the star, one run per order year.
+
+    Facts of orders carry the year of their order, and a test of theirs fails
+    in the runs whose rows break it; tests of other models fail in every run
+    or in none.
     """
-    y = F.year("order_date")
-    agg = (tagged_orders.where(F.col("order_date").isNotNull()).groupBy(y.alias("y"))
-           .agg(F.count_if(F.col(reason_col).isNull()).alias("total_valid"),
-                F.count_if(F.col(reason_col).isNotNull()).alias("total_rejected")))
-    return agg.select(
-        F.make_timestamp_ntz(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("run_at"),
-        "total_valid", "total_rejected",
-        (F.col("total_rejected") / (F.col("total_valid") + F.col("total_rejected"))).alias("rejection_rate"))
-
-
-def test_runs_by_year(raw_orders: DataFrame, customers: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """A test-run log derived from data: per order year, four order-level tests
-    (not_null and unique order_id, customer and restaurant relationships)."""
-    y = F.year("order_date").alias("y")
-    o = raw_orders.where(F.col("order_date").isNotNull()).select(y, "order_id", "customer_id", "restaurant_id")
-    nn = o.groupBy("y").agg(F.count_if(F.col("order_id").isNull()).alias("f_nn"))
-    uq = (o.where(F.col("order_id").isNotNull()).groupBy("y", "order_id").agg(F.count(F.lit(1)).alias("n"))
-          .where(F.col("n") > 1).groupBy("y").agg(F.count(F.lit(1)).alias("f_uq")))
-
-    def rel(col: str, parent: DataFrame, pcol: str, out: str) -> DataFrame:
-        # aggregate to distinct (year, key) first: the anti join then sees no skew
-        child = o.where(F.col(col).isNotNull()).groupBy("y", col).agg(F.count(F.lit(1)).alias("n"))
-        keys = parent.select(F.col(pcol).alias(col)).where(F.col(col).isNotNull()).distinct()
-        return child.join(keys, col, "left_anti").groupBy("y").agg(F.sum("n").alias(out))
-
-    rc = rel("customer_id", customers, "customer_id", "f_rc")
-    rr = rel("restaurant_id", restaurants, "restaurant_id", "f_rr")
-    # all four frames hold one row per year (bounded by the number of years)
-    j = nn.join(uq, "y", "left").join(rc, "y", "left").join(rr, "y", "left")
-    passed = sum(F.when(F.coalesce(F.col(c), F.lit(0)) == 0, 1).otherwise(0) for c in ("f_nn", "f_uq", "f_rc", "f_rr"))
-    return j.select(
-        F.make_timestamp_ntz(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("run_at"),
-        F.lit(4).cast("long").alias("total_tests"), passed.cast("long").alias("passed_tests"))
+    years = order_years(raw_orders)
+    dated = {}
+    for name, df in star.items():
+        if name == "fact_orders":
+            dated[name] = df.withColumn("y", F.year("date_id"))
+        elif name in ("fact_order_items", "fact_payments", "fact_deliveries"):
+            dated[name] = lookup_join(df, years, ["order_id"])
+        else:
+            dated[name] = df.withColumn("y", F.lit(None).cast("int"))
+    tests = dq.star_tests()
+    broken = cut_lineage(dq.failing_rows(dated, tests, by=["y"]).groupBy("test_name", "y").agg(F.count(F.lit(1)).alias("n")))
+    always = broken.where("y IS NULL").select("test_name")
+    own = (broken.where("y IS NOT NULL").join(always, "test_name", "left_anti")
+           .groupBy("y").agg(F.count_distinct("test_name").alias("own")))
+    n_always = always.select(F.count(F.lit(1))).scalar()
+    runs = raw_orders.where(F.col("order_date").isNotNull()).select(F.year("order_date").alias("y")).distinct()
+    passed = F.lit(len(tests)) - n_always - F.coalesce(F.col("own"), F.lit(0))
+    return runs.join(own, "y", "left").select(
+        _run_at(), F.lit(len(tests)).cast("long").alias("total_tests"), passed.cast("long").alias("passed_tests"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.functions.numeric import cents, money_avg, money_sum, round_ratio
-from tiffin.operators.skew import lookup_join
+from tiffin.operators.joins import lookup_join
 
 # Order / delivery status labels.
 DELIVERED = "Delivered"

@@ -2,7 +2,8 @@
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame``.  Each call builds its inputs
 from the parquet tables under ``sf_dir`` (so the work grows with the data)
-and returns an unevaluated DataFrame.
+and returns a DataFrame; queries that share a costly input between branches
+write it to the shared folder first.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from tiffin.functions.fmt import format_report
 from tiffin.functions.numeric import cents
 from tiffin.operators import dq, generate, model, profile, reviews, transform, validate
-from tiffin.operators.skew import lookup_join
+from tiffin.operators.joins import lookup_join
 from tiffin.plans import health, kpi
-from tiffin.session import cut_lineage
+from tiffin.session import cut_lineage, shared_dir
 from tiffin.sources import fixtures as fx
 
 # Fixture parameter: tier thresholds scaled to the fixture's order totals.
@@ -86,8 +87,7 @@ class Ctx:
             "order_items": lambda: transform.clean_order_items(fx.order_items(t)),
             "payments": lambda: transform.clean_payments(fx.payments(t)),
             "deliveries": lambda: transform.clean_deliveries(fx.deliveries(t)),
-            # parsed once (Arrow UDF), reused by the id assignment and its size check
-            "reviews": lambda: reviews.parsed_reviews(reviews.with_parsed(fx.reviews_raw(t))).persist(),
+            "reviews": lambda: reviews.parsed_reviews(reviews.with_parsed(fx.reviews_raw(t))),
         })
         self.star = self._star(self.staging)
         kpi_staging = Lazy(dict(self.staging._b, deliveries=lambda: transform.clean_deliveries(fx.deliveries_at_scale(t))))
@@ -107,7 +107,7 @@ class Ctx:
             "dim_customer": lambda: model.dim_customer(st["customers"]),
             "dim_delivery_partner": lambda: model.dim_delivery_partner(st["deliveries"]),
             "dim_date": lambda: model.dim_date(st["orders"]),
-            "dim_time": lambda: model.dim_time(spark, st["orders"].select("order_hour")),
+            "dim_time": lambda: model.dim_time(spark),
             "fact_orders": lambda: model.fact_orders(st["orders"], get("dim_restaurant")),
             "fact_order_items": lambda: model.fact_order_items(st["order_items"]),
             "fact_payments": lambda: model.fact_payments(st["payments"]),
@@ -179,6 +179,20 @@ def q_parsed_reviews(spark, sf_dir):
     return Ctx(spark, sf_dir).staging["reviews"]
 
 
+def q_dim_time(spark, sf_dir):
+    """M8: all 24 hours with their band and the orders placed in each."""
+    c = Ctx(spark, sf_dir)
+    per_hour = c.staging["orders"].groupBy(F.col("order_hour").alias("hour_id")).agg(F.count(F.lit(1)).alias("orders"))
+    return model.dim_time(spark).join(per_hour, "hour_id", "left").na.fill(0, ["orders"])
+
+
+def q_orders_per_band(spark, sf_dir):
+    """Orders, hours and hours without orders of every band of the day."""
+    hours = q_dim_time(spark, sf_dir)
+    return hours.groupBy("time_period").agg(F.sum("orders").alias("orders"), F.count(F.lit(1)).alias("hours"),
+                                            F.count_if(F.col("orders") == 0).alias("idle_hours"))
+
+
 def q_quarantine_reasons(spark, sf_dir):
     return validate.reason_histogram(Ctx(spark, sf_dir).tagged())
 
@@ -191,44 +205,49 @@ def q_rejection_summary(spark, sf_dir):
     return validate.rejection_summary(validate.rejection_report(Ctx(spark, sf_dir).tagged()))
 
 
-def _persisted_star(c: Ctx) -> dict[str, DataFrame]:
-    # as in the pipeline, the tests run over *written* models: each model is
-    # materialised once in the shared folder (reliable checkpoint) and the 37
-    # tests plan against those files instead of re-deriving every model
-    return materialise({k: c.star[k] for k in c.star._b})
-
-
 def materialise(frames: dict[str, DataFrame], workers: int = 4) -> dict[str, DataFrame]:
-    """Cut the lineage of several frames with concurrent jobs (plans are built
-    first, sequentially; the independent writes then share the cluster)."""
+    """Write several frames as parquet in the shared folder with concurrent jobs and read them back.
+
+    As in the pipeline, the tests run over *written* models: each is made
+    once, and a test reads only the columns that it needs.
+    """
     from concurrent.futures import ThreadPoolExecutor
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        path = shared_dir(df.sparkSession, f"model-{name}")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     with ThreadPoolExecutor(max_workers=workers) as ex:
-        futures = {k: ex.submit(cut_lineage, df) for k, df in frames.items()}
+        futures = {k: ex.submit(write, k, df) for k, df in frames.items()}
         return {k: f.result() for k, f in futures.items()}
 
 
+def _written_star(c: Ctx) -> dict[str, DataFrame]:
+    return materialise({k: c.star[k] for k in c.star._b})
+
+
 def q_dq_results(spark, sf_dir):
-    return dq.run_tests(_persisted_star(Ctx(spark, sf_dir)))
+    return dq.run_tests(_written_star(Ctx(spark, sf_dir)))
 
 
 def q_dq_summary(spark, sf_dir):
-    return dq.summarize(dq.run_tests(_persisted_star(Ctx(spark, sf_dir))))
+    return dq.summarize(dq.run_tests(_written_star(Ctx(spark, sf_dir))))
 
 
-def dirty_star(c: Ctx) -> Lazy:
-    """The star built from unvalidated dirty orders and raw (repeating) items."""
+def dirty_star(c: Ctx) -> dict[str, DataFrame]:
+    """The written star of unvalidated dirty inputs: all 13 models."""
     st = Lazy(dict(c.staging._b,
+                   customers=lambda: transform.clean_customers(fx.customers_dirty(c.t), fx.orders_dirty(c.t)),
                    orders=lambda: transform.clean_orders(fx.orders_dirty(c.t)),
-                   order_items=lambda: transform.clean_order_items(fx.order_items_raw(c.t))))
-    return c._star(st)
+                   order_items=lambda: transform.clean_order_items(fx.order_items_dirty(c.t)),
+                   payments=lambda: transform.clean_payments(fx.payments_dirty(c.t)),
+                   deliveries=lambda: transform.clean_deliveries(fx.deliveries_dirty(c.t))))
+    s = c._star(st)
+    return materialise({m: s[m] for m in s._b})
 
 
 def q_dq_failing_rows(spark, sf_dir):
-    c = Ctx(spark, sf_dir)
-    s = dirty_star(c)
-    tests = [t for t in dq.star_tests() if t.model in ("fact_orders", "fact_order_items")]
-    used = {t.model for t in tests} | {t.to for t in tests if t.to}
-    return dq.failing_rows(materialise({m: s[m] for m in used}), tests)
+    return dq.failing_rows(dirty_star(Ctx(spark, sf_dir)))
 
 
 def q_kpi_customers(spark, sf_dir):
@@ -249,12 +268,11 @@ def q_kpi_delivery(spark, sf_dir):
 
 
 def _validation_runs(c: Ctx) -> DataFrame:
-    return health.validation_runs_by_year(c.tagged()["orders"])
+    return health.validation_runs_by_year(c.tagged(), c.raw_inputs()["orders"])
 
 
 def _test_runs(c: Ctx) -> DataFrame:
-    # four per-year test aggregations read the same raw orders: materialise them once
-    return health.test_runs_by_year(cut_lineage(c.raw_inputs()["orders"]), fx.customers(c.t), fx.restaurants(c.t))
+    return health.test_runs_by_year(dirty_star(c), c.raw_inputs()["orders"])
 
 
 def q_validation_trend(spark, sf_dir):
@@ -310,7 +328,9 @@ def q_weighted_assignment(spark, sf_dir):
 
 def q_allocate_residual(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    items = c.staging["order_items"].select("order_id", "order_item_id", cents("item_price").alias("w"))
+    # the items of every 13th order are free
+    w = F.when(F.col("order_id") % 13 == 0, F.lit(0)).otherwise(cents("item_price")).alias("w")
+    items = c.staging["order_items"].select("order_id", "order_item_id", w)
     totals = c.staging["orders"].select("order_id", cents("order_total").alias("total_cents"))
     lines = lookup_join(items, totals, ["order_id"], "inner")
     return generate.allocate_residual(lines, "order_id", "order_item_id", "w", "total_cents")
@@ -319,7 +339,9 @@ def q_allocate_residual(spark, sf_dir):
 def q_anchored_amounts(spark, sf_dir):
     """G3 + G4: each order's weighted-chosen restaurant and its anchored amount."""
     c = Ctx(spark, sf_dir)
-    r = generate.impute(c.staging["restaurants"]).select("restaurant_id", "weight", "cost_filled")
+    half = F.when(F.col("restaurant_id") % 3 == 0, F.lit(0.5)).otherwise(F.lit(0.0))  # some costs have a fraction
+    r = generate.impute(c.staging["restaurants"]).select(
+        "restaurant_id", "weight", (F.col("cost_filled") + half).alias("cost_filled"))
     o = c.staging["orders"].select("order_id", "party_size")
     pick = generate.weighted_assignment(r.select("restaurant_id", "weight"), o.select("order_id"),
                                         "restaurant_id", "weight", "order_id")
@@ -363,8 +385,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_date_padded": lambda spark, sf_dir: model.dim_date(Ctx(spark, sf_dir).staging["orders"], pad_names=True),
     **{name: _star(name) for name in (
         "dim_location", "dim_cuisine", "dim_restaurant", "bridge_restaurant_cuisine", "dim_customer",
-        "dim_delivery_partner", "dim_date", "dim_time", "fact_orders", "fact_order_items",
+        "dim_delivery_partner", "dim_date", "fact_orders", "fact_order_items",
         "fact_payments", "fact_deliveries", "fact_reviews")},
+    "dim_time": q_dim_time,
+    "orders_per_band": q_orders_per_band,
     # data tests (D)
     "dq_results": q_dq_results,
     "dq_summary": q_dq_summary,

@@ -190,7 +190,7 @@ def deliveries(t: Loader) -> DataFrame:
     )
     names = sup.select(F.col("s_suppkey").alias("delivery_partner_id"), F.col("s_name").alias("delivery_partner_name"))
     # supplier is a dimension table; its size is checked before broadcasting
-    from tiffin.operators.skew import lookup_join
+    from tiffin.operators.joins import lookup_join
     return lookup_join(d, names, ["delivery_partner_id"], "left")
 
 
@@ -212,7 +212,7 @@ def deliveries_at_scale(t: Loader) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", F.lit("Delivered")).otherwise(F.lit("Delayed")).alias("delivery_status"),
     )
     names = sup.select(F.col("s_suppkey").alias("delivery_partner_id"), F.col("s_name").alias("delivery_partner_name"))
-    from tiffin.operators.skew import lookup_join
+    from tiffin.operators.joins import lookup_join
     return lookup_join(d, names, ["delivery_partner_id"], "left")
 
 
