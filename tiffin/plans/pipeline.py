@@ -11,17 +11,21 @@ stage retry, never the run, and lineage stays short.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.operators import dq, model, reviews, transform, validate
+from tiffin.operators.joins import lookup_join
+from tiffin.operators.ordered import with_position
 from tiffin.session import shared_dir
 from tiffin.sources import io
 
 VALIDATION_RUNS_SCHEMA = "run_at timestamp_ntz, total_valid long, total_rejected long, rejection_rate double"
 TEST_RUNS_SCHEMA = "run_at timestamp_ntz, total_tests long, passed_tests long"
+REVIEW_RUNS_SCHEMA = "run_at timestamp_ntz, lists long, rejected long"
 # Publish key of each model (bucketing key in the warehouse copy).
 PUBLISH_KEYS = {
     "dim_location": "location_id", "dim_cuisine": "cuisine_id", "dim_restaurant": "restaurant_id",
@@ -46,37 +50,76 @@ class RunResult:
     published: dict = field(default_factory=dict)
 
 
+def run_files(spark: SparkSession, directory: str, root: str | None, run_at: dt.datetime, **options) -> RunResult:
+    """J1 from the raw files ``raw_<entity>.csv`` of a folder.
+
+    Each file is read once, by its header, and landed as parquet; restaurants
+    get their position in the file (from 0) as their id, which orders refer to.
+    """
+    root = (root or shared_dir(spark, "tiffin-run")).rstrip("/")
+    raw = {}
+    for entity in validate.ENTITIES:
+        df = io.read_csv(spark, f"{directory.rstrip('/')}/raw_{entity}.csv", io.RAW_COLUMNS[entity])
+        raw[entity] = io.land(df, f"{root}/landed/{entity}")
+    raw["restaurants"] = with_position(raw["restaurants"], ["seq"], "restaurant_id").withColumn(
+        "restaurant_id", F.col("restaurant_id") - 1)
+    raw["orders"] = raw["orders"].withColumn("restaurant_id", F.col("restaurant_id").try_cast("long"))
+    return run(spark, raw, root, run_at, **options)
+
+
 def run(spark: SparkSession, raw: dict[str, DataFrame], root: str | None, run_at: dt.datetime,
-        threshold: float = validate.REJECTION_RATE_THRESHOLD, publish_buckets: int = 8,
+        threshold: float = validate.REJECTION_RATE_THRESHOLD, publish_buckets: int | None = None,
         reviews_raw: DataFrame | None = None) -> RunResult:
     """One daily run parameterised by its logical time ``run_at``.
 
     ``raw`` holds the six raw entity frames (with a ``seq`` order column).
-    Raises ``GateFailed`` after writing quarantine, health rows and test
-    results when the rejection gate (V14) or the data tests (D6) fail.
+    Review lists are those of valid restaurants: their ``reviews_list`` column,
+    or the frame ``reviews_raw``.  Raises ``GateFailed`` when the rejection
+    gate (V14) or the data tests (D6) fail.  Quarantine and health rows are
+    written before that; the test-run row is written whatever happens (J2),
+    with no tests if the run did not come so far.
     """
     root = (root or shared_dir(spark, "tiffin-run")).rstrip("/")
+    version = f"{run_at:%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
     res = RunResult()
+    try:
+        valid = _validate(spark, raw, root, run_at, threshold, res)
+        staged = _stage(spark, valid, reviews_raw, root, version, run_at)
+        star = _model(spark, staged, root)
+        results = dq.run_tests(star)
+        results.write.mode("overwrite").parquet(f"{root}/meta/test_results")
+        s = dq.summarize(spark.read.schema(results.schema).parquet(f"{root}/meta/test_results")).first()
+        res.tests_total, res.tests_passed = int(s["total_tests"]), int(s["passed_tests"])
+    finally:
+        io.append_row(spark, f"{root}/meta/test_runs",
+                      {"run_at": run_at, "total_tests": res.tests_total, "passed_tests": res.tests_passed},
+                      TEST_RUNS_SCHEMA)
+    if res.tests_passed < res.tests_total:
+        raise GateFailed(f"{res.tests_total - res.tests_passed} data tests failed")
+    _publish(spark, star, root, version, publish_buckets, res)
+    return res
+
+
+def _validate(spark: SparkSession, raw: dict[str, DataFrame], root: str, run_at: dt.datetime, threshold: float,
+              res: RunResult) -> dict[str, DataFrame]:
+    """Validation cascade, quarantine, health row and gate; the valid tables, each written once."""
+    counts, valid = [], {}
 
-    # ---- validate + quarantine (V11, S4); valid orders are written once and reused
     def split(name: str, tagged: DataFrame) -> DataFrame:
-        tagged = tagged.persist()            # one evaluation feeds both sinks
-        io.write_split(tagged, f"{root}/valid/{name}", f"{root}/rejected/{name}")
-        tagged.unpersist()
-        return spark.read.parquet(f"{root}/valid/{name}")
-
-    v_r = split("restaurants", validate.validate_restaurants(raw["restaurants"]))
-    v_c = split("customers", validate.validate_customers(raw["customers"]))
-    v_o = split("orders", validate.validate_orders(raw["orders"], v_r, v_c)).select("order_id")
-    split("order_items", validate.validate_order_items(raw["order_items"], v_o))
-    split("payments", validate.validate_payments(raw["payments"], v_o))
-    split("deliveries", validate.validate_deliveries(raw["deliveries"], v_o))
-    valid = {n: spark.read.parquet(f"{root}/valid/{n}") for n in validate.ENTITIES}
-    rejected = {n: spark.read.parquet(f"{root}/rejected/{n}") for n in validate.ENTITIES}
-    report = validate.rejection_report({n: valid[n].withColumn("reject_reason", F.lit(None).cast("string"))
-                                        .unionByName(rejected[n], allowMissingColumns=True) for n in validate.ENTITIES})
+        good, bad = io.write_split(tagged, f"{root}/tagged/{name}", f"{root}/valid/{name}", f"{root}/rejected/{name}")
+        counts.append((name, good, bad, good + bad, bad / (good + bad) if good + bad else 0.0))
+        valid[name] = spark.read.schema(tagged.drop("reject_reason").schema).parquet(f"{root}/valid/{name}")
+        return valid[name]
+
+    r = split("restaurants", validate.validate_restaurants(raw["restaurants"]))
+    c = split("customers", validate.validate_customers(raw["customers"]))
+    o = split("orders", validate.validate_orders(raw["orders"], r, c)).select("order_id")
+    split("order_items", validate.validate_order_items(raw["order_items"], o))
+    split("payments", validate.validate_payments(raw["payments"], o))
+    split("deliveries", validate.validate_deliveries(raw["deliveries"], o))
+    report = spark.createDataFrame(counts, "entity string, valid long, rejected long, total long, rejection_rate double")
     summary = validate.rejection_summary(report, threshold).first()
-    res.report = [r.asDict() for r in report.collect()]          # six rows
+    res.report = [row.asDict() for row in report.collect()]  # six rows
     res.worst_rate, res.overall_rate = summary["worst_rate"], summary["overall_rate"]
     io.append_row(spark, f"{root}/meta/validation_runs",
                   {"run_at": run_at, "total_valid": summary["total_valid"],
@@ -84,8 +127,12 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str | None, run_at
                   VALIDATION_RUNS_SCHEMA)
     if summary["gate_failed"]:
         raise GateFailed(f"rejection rate {summary['worst_rate']:.2%} exceeds {threshold:.0%}")
+    return valid
 
-    # ---- clean + stage (T, S8)
+
+def _stage(spark: SparkSession, valid: dict[str, DataFrame], reviews_raw: DataFrame | None, root: str, version: str,
+           run_at: dt.datetime) -> dict[str, DataFrame]:
+    """Clean and stage all tables under one version; the pointer moves when the last is written."""
     staging = {
         "restaurants": transform.clean_restaurants(valid["restaurants"]),
         "restaurant_cuisines": transform.restaurant_cuisines(valid["restaurants"]),
@@ -95,33 +142,37 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str | None, run_at
         "payments": transform.clean_payments(valid["payments"]),
         "deliveries": transform.clean_deliveries(valid["deliveries"]),
     }
+    if reviews_raw is None and "reviews_list" in valid["restaurants"].columns:
+        reviews_raw = valid["restaurants"]
     if reviews_raw is not None:
-        parsed = reviews.with_parsed(reviews_raw)
+        own = lookup_join(reviews_raw, valid["restaurants"].select("restaurant_id"), ["restaurant_id"], "left_semi")
+        parsed = io.land(reviews.with_parsed(own), f"{root}/parsed/reviews")  # lists are parsed once
         staging["reviews"] = reviews.parsed_reviews(parsed)
-        reviews.rejected_reviews(parsed).write.mode("overwrite").parquet(f"{root}/rejected/reviews")
+        rejected = io.land(reviews.rejected_reviews(parsed), f"{root}/rejected/reviews")
+        # a seventh entity of the log, outside the gate
+        io.append_row(spark, f"{root}/meta/review_runs", {
+            "run_at": run_at, "lists": parsed.count(), "rejected": rejected.count()}, REVIEW_RUNS_SCHEMA)
+    path = f"{root}/staging/{version}"
     for name, df in staging.items():
-        io.write_table(df, f"{root}/staging/{name}")
-    staged = {n: spark.read.parquet(f"{root}/staging/{n}") for n in staging}
+        io.write_table(df, f"{path}/{name}")
+    io.point_to(spark, f"{root}/staging_current", version)
+    return {n: spark.read.schema(df.schema).parquet(f"{path}/{n}") for n, df in staging.items()}
+
 
-    # ---- model (M, F) — each model written, then read back by its dependants
+def _model(spark: SparkSession, staged: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """All models, each written and read back."""
     star = model.build_star(staged, spark)
     for name, df in star.items():
         io.write_table(df, f"{root}/star/{name}")
-    star = {n: spark.read.parquet(f"{root}/star/{n}") for n in star}
-
-    # ---- test (D4) + record (D5, always) + gate
-    results = dq.run_tests(star)
-    results.write.mode("overwrite").parquet(f"{root}/meta/test_results")
-    s = dq.summarize(spark.read.parquet(f"{root}/meta/test_results")).first()
-    res.tests_total, res.tests_passed = int(s["total_tests"]), int(s["passed_tests"])
-    io.append_row(spark, f"{root}/meta/test_runs",
-                  {"run_at": run_at, "total_tests": res.tests_total, "passed_tests": res.tests_passed},
-                  TEST_RUNS_SCHEMA)
-    if res.tests_passed < res.tests_total:
-        raise GateFailed(f"{res.tests_total - res.tests_passed} data tests failed")
+    return {n: spark.read.schema(df.schema).parquet(f"{root}/star/{n}") for n, df in star.items()}
 
-    # ---- publish
+
+def _publish(spark: SparkSession, star: dict[str, DataFrame], root: str, version: str, buckets: int | None,
+             res: RunResult) -> None:
+    """Bucketed copies under one version; names that users read move to it after the last is written."""
     for name, df in star.items():
-        res.published[name] = io.publish_bucketed(df, f"wh_{name}", PUBLISH_KEYS[name], publish_buckets,
-                                                  f"{root}/warehouse/{name}")
-    return res
+        res.published[name] = io.publish_bucketed(df, f"wh_{name}_{version}", PUBLISH_KEYS[name],
+                                                  f"{root}/warehouse/{version}/{name}", buckets)
+    for name in star:
+        spark.sql(f"CREATE OR REPLACE VIEW wh_{name} AS SELECT * FROM wh_{name}_{version}")
+    io.point_to(spark, f"{root}/warehouse_current", version)

@@ -17,7 +17,7 @@ from tiffin.functions.fmt import format_report
 from tiffin.functions.numeric import cents
 from tiffin.operators import dq, generate, model, profile, reviews, transform, validate
 from tiffin.operators.joins import lookup_join
-from tiffin.plans import health, kpi
+from tiffin.plans import health, kpi, round_trips
 from tiffin.session import cut_lineage, shared_dir
 from tiffin.sources import fixtures as fx
 
@@ -364,6 +364,14 @@ def q_latest_validation_run(spark, sf_dir):
     return health.latest(_validation_runs(Ctx(spark, sf_dir)))
 
 
+def _round_trip(fn, source):
+    """A query of ``round_trips`` over what ``source`` makes of the context."""
+    def q(spark, sf_dir):
+        made = source(Ctx(spark, sf_dir))
+        return fn(spark, *(made if isinstance(made, tuple) else (made,)))
+    return q
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # validation (V)
     **{f"validate_{e}": _validation(e) for e in validate.ENTITIES},
@@ -426,4 +434,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anchored_amounts": q_anchored_amounts,
     "derived_deliveries": q_derived_deliveries,
     "latest_validation_run": q_latest_validation_run,
+    # sources and sinks (S)
+    "csv_payments": _round_trip(round_trips.csv_payments, lambda c: (
+        fx.payments_dirty(c.t), validate.valid(c.tagged()["orders"]).select("order_id"))),
+    "appended_years": _round_trip(round_trips.appended_years, lambda c: fx.orders(c.t)),
+    "quarantine_sinks": _round_trip(round_trips.quarantine, lambda c: c.tagged()["orders"]),
+    "staged_orders": _round_trip(round_trips.staged_orders, lambda c: c.staging["orders"]),
+    "published_orders": _round_trip(round_trips.published_orders, lambda c: c.star["fact_orders"]),
+    "run_log": _round_trip(round_trips.run_log, lambda c: _validation_runs(c)),
+    "test_artifact": _round_trip(round_trips.test_artifact, lambda c: dq.run_tests(_written_star(c))),
 }

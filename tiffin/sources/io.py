@@ -7,9 +7,9 @@ are parallel (no ``coalesce(1)``, no driver collect).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Raw column lists of each entity (header order of the raw files).
 RAW_COLUMNS = {
@@ -26,23 +26,23 @@ RAW_COLUMNS = {
 }
 
 
-def string_schema(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
 def read_csv(spark: SparkSession, path: str, columns: list[str], seq: str = "seq") -> DataFrame:
-    """Header CSV, all-string explicit schema, multi-line quoted fields, ``""`` escapes.
+    """Header CSV as text columns, multi-line quoted fields, ``""`` escapes.
 
-    Adds ``seq`` = (file name, row offset) order so "first occurrence" is
-    well defined.  Multi-line CSV is not splittable: land it to parquet once
-    (``land``) and run everything else from there.
+    Columns are taken by the names in the file's header, whatever their
+    order; further ones are left out, a missing one is an error.  Adds ``seq``
+    = (file name, row offset) so that "first occurrence" is well defined.
+    Multi-line CSV is not splittable: land it to parquet once (``land``) and
+    run everything else from there.
     """
-    df = (spark.read.schema(string_schema(columns)).option("header", True).option("multiLine", True)
+    df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
           .option("escape", '"').option("quote", '"').csv(path))
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
     # one file = one partition for multi-line CSV: (file, in-partition id) is file order
-    return (df.withColumn("_file", F.input_file_name())
-            .withColumn(seq, F.struct(F.col("_file").alias("file"), F.monotonically_increasing_id().alias("pos")))
-            .drop("_file"))
+    return df.select(*[F.col(f"`{c}`") for c in columns],
+                     F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("pos")).alias(seq))
 
 
 def land(df: DataFrame, path: str) -> DataFrame:
@@ -56,16 +56,26 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_split(tagged: DataFrame, valid_path: str, rejected_path: str, reason_col: str = "reject_reason") -> None:
-    """Valid and quarantine sinks from one tagged frame (always both, never stale)."""
-    tagged.where(F.col(reason_col).isNull()).drop(reason_col).write.mode("overwrite").parquet(valid_path)
-    tagged.where(F.col(reason_col).isNotNull()).write.mode("overwrite").parquet(rejected_path)
+def write_split(tagged: DataFrame, tagged_path: str, valid_path: str, rejected_path: str,
+                reason_col: str = "reject_reason") -> tuple[int, int]:
+    """Valid and quarantine sinks from one evaluation of a tagged frame (always both, never stale).
+
+    Returns the numbers of valid and rejected rows, observed during the write.
+    """
+    seen = Observation()
+    bad = F.col(reason_col).isNotNull()
+    tagged.observe(seen, F.count_if(~bad).alias("valid"), F.count_if(bad).alias("rejected")) \
+        .write.mode("overwrite").parquet(tagged_path)
+    rows = tagged.sparkSession.read.schema(tagged.schema).parquet(tagged_path)
+    rows.where(~bad).drop(reason_col).write.mode("overwrite").parquet(valid_path)
+    rows.where(bad).write.mode("overwrite").parquet(rejected_path)
+    return int(seen.get["valid"]), int(seen.get["rejected"])
 
 
-def append_partition(df: DataFrame, path: str, partition_col: str) -> None:
+def append_partition(df: DataFrame, path: str, *partition_cols: str) -> None:
     """S3: add one day to a growing table — dynamic partition overwrite, so a re-run is idempotent."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+     .partitionBy(*partition_cols).parquet(path))
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -73,17 +83,31 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def publish_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> int:
-    """Publish a model bucketed + sorted by its key (co-located joins later).
+def publish_bucketed(df: DataFrame, table: str, key: str, path: str, buckets: int | None = None) -> int:
+    """Write a model bucketed + sorted by its key (co-located joins later).
 
+    ``buckets`` defaults to the session's number of shuffle partitions.
     Returns the number of rows written, observed during the write itself.
     """
-    from pyspark.sql import Observation
-    obs = Observation(f"rows_{table}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (observed.write.mode("overwrite").format("parquet").option("path", path)
-     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
-    return int(obs.get["rows"])
+    seen = Observation()
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(n, key).sortBy(key).saveAsTable(table))
+    return int(seen.get["rows"])
+
+
+def point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Make a complete set of tables the current one: a pointer row, appended after the last table is written."""
+    append_row(spark, path, {"version": version}, "version string")
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """The version that the latest pointer names; None before the first."""
+    try:
+        rows = spark.read.schema("version string").parquet(path)
+        return rows.select(F.max_by("version", F.col("_metadata.file_modification_time"))).first()[0]
+    except AnalysisException:
+        return None
 
 
 def append_row(spark: SparkSession, path: str, row: dict, schema: str) -> None:

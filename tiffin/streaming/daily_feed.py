@@ -1,21 +1,24 @@
 """Incremental daily ingestion with Structured Streaming (S3 + V, per day).
 
-The batch job receives one new day of raw files at a time.  Expressed as a
-stream over the landing folder, each new file set becomes one micro-batch
+The batch job receives new raw files at a time.  Expressed as a stream over
+the landing folder, each new file set becomes one micro-batch
 (``trigger(availableNow=True)`` processes whatever arrived and stops, so a
-scheduler can run it like a batch job).  Each micro-batch is validated
-against the *valid parent keys already published* and appended, partitioned
-by day, with dynamic partition overwrite — a replayed batch (after a crash,
-the checkpoint decides what is replayed) rewrites its own days instead of
-duplicating them.
+scheduler can run it like a batch job).  A micro-batch is validated against
+the parent keys already published and the orders stored by other batches, and
+written to partitions of its own, (order_date, batch_id): a day may arrive in
+several drops, and a replayed batch (after a crash, the checkpoint decides
+what is replayed) rewrites its own partitions instead of duplicating them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.operators import validate
+from tiffin.operators.joins import lookup_join
 from tiffin.sources import io
 
 
@@ -27,14 +30,25 @@ def ingest_orders(spark: SparkSession, landing: str, schema: str, restaurants_pa
     Returns the started query (``availableNow``; call ``awaitTermination``).
     """
     stream = spark.readStream.schema(schema).parquet(landing)
+    kinds = spark.createDataFrame([], schema).schema
+    stored = f"order_id {kinds['order_id'].dataType.simpleString()}, batch_id long"
+    sinks = [f"{out_root}/valid_orders", f"{out_root}/rejected_orders"]
+    for path in sinks:  # so that the first batch finds them
+        spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0).cast("long")).write.mode("ignore").parquet(path)
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
         restaurants = spark.read.parquet(restaurants_path).select("restaurant_id")
         customers = spark.read.parquet(customers_path).select("customer_id")
-        tagged = validate.validate_orders(df, restaurants, customers).persist()
-        io.append_partition(validate.valid(tagged), f"{out_root}/valid_orders", "order_date")
-        io.append_partition(validate.rejected(tagged), f"{out_root}/rejected_orders", "order_date")
-        tagged.unpersist()
+        before = reduce(DataFrame.union, [spark.read.schema(stored).parquet(p).select("order_id", "batch_id") for p in sinks])
+        before = (before.where(F.col("batch_id") != batch_id).select("order_id").distinct()
+                  .withColumn("_seen", F.lit(True)))
+        tagged = lookup_join(validate.validate_orders(df, restaurants, customers), before, ["order_id"], null_safe=True)
+        reason = F.coalesce("reject_reason", F.when(F.col("_seen"), validate.DUPLICATE_ORDER_ID))
+        tagged = tagged.withColumn("reject_reason", reason).withColumn("batch_id", F.lit(batch_id).cast("long")).drop("_seen")
+        tagged = io.land(tagged, f"{out_root}/batches/batch_{batch_id}")
+        for rows, path in zip((validate.valid(tagged), validate.rejected(tagged)), sinks):
+            io.append_partition(rows, path, "order_date", "batch_id")
 
     return (stream.writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint)
