@@ -35,8 +35,9 @@ def window_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
     text = text_or_empty(text_col)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("check"),
                        line_array(text).alias("lines"))
-    return (rows.select("doc_id", "check", F.posexplode(window_hashes(F.col("lines"), width)).alias("pos", "w"))
-            .select("doc_id", "check", "pos", "w.a", "w.b"))
+    # outer, as otherwise a filter on the array's size would hash everything twice
+    return (rows.select("doc_id", "check", F.posexplode_outer(window_hashes(F.col("lines"), width)).alias("pos", "w"))
+            .where(F.col("pos").isNotNull()).select("doc_id", "check", "pos", "w.a", "w.b"))
 
 
 def later_windows(windows: DataFrame) -> DataFrame:

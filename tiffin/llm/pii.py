@@ -37,20 +37,24 @@ _WORD = r"\p{Lu}[\p{L}'’\-]*\p{L}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = r"(?:" + "|".join(_TITLES_F + _TITLES_M + _TITLES_N) + r")\.?"
 SECRET_LABEL = r"(?i:password|passwd|pwd|token|secret|api[_\-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
+# Each begins with a look at its first character, which fails at once nearly everywhere.
+_START, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 PATTERNS = (
-    ("email", r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@(?:[\p{L}\p{N}\-]{1,63}+\.){1,8}\p{L}{2,24}"),
+    ("email", r"(?=[\p{L}\p{N}._%+\-])(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@(?:[\p{L}\p{N}\-]{1,63}+\.){1,8}\p{L}{2,24}"),
     ("secret", SECRET_LABEL + r"[^\s\"']{6,}"),
-    ("key", r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![\p{L}\p{N}])"),
-    ("hex", r"(?<![\p{L}\p{N}])[0-9a-f]{32,128}+(?![\p{L}\p{N}])"),
-    ("iban", r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"),
-    ("ip", r"(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)"),
-    ("ssn", r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"),
-    ("card", r"(?<![\p{L}\p{N}])(?:\d{13,19}+|\d{4}([ \-])\d{4}(?:[ \-]\d{4})[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\p{N}])"),
-    ("phone", r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}"
-              r"|\(\d{3}\) ?\d{3}[.\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\p{L}\p{N}])"),
-    ("name", r"(?<![\p{L}\p{N}])(?=\p{Lu})(?:" + _TITLE + r"(?: " + _WORD + r"){1,3}|(?:" + "|".join(_GIVEN_F + _GIVEN_M)
-             + r")(?: " + _WORD + r"){1,2})(?![\p{L}\p{N}])"),
+    ("key", r"(?=[Ags])" + _START + r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})" + _END),
+    ("hex", r"(?=[0-9a-f])" + _START + r"(?=[a-f]*\d)[0-9a-f]{32,128}+" + _END),
+    ("iban", r"(?=[A-Z])" + _START + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END),
+    ("ip", r"(?=\d)(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)"),
+    ("ssn", r"(?=\d)(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"),
+    ("card", r"(?=\d)" + _START + r"(?:\d{13,19}+|\d{4}([ \-])\d{4}(?:[ \-]\d{4})[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})" + _END),
+    ("phone", r"(?=[+(\d])" + _START + r"(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}"
+              r"|\(\d{3}\) ?\d{3}[.\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})" + _END),
+    ("name", r"(?=\p{Lu})" + _START + "(?:" + _TITLE + r"(?: " + _WORD + r"){1,3}|(?:" + "|".join(_GIVEN_F + _GIVEN_M)
+             + r")(?: " + _WORD + r"){1,2})" + _END),
 )
+#: Whatever is no name has one of these.
+MARKS, MARKED = r"[0-9@=:]", ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-")
 #: Alphabets whose letters are replaced within themselves.
 ALPHABETS = tuple("".join(map(chr, r)) for r in (
     range(ord("0"), ord("9") + 1), range(ord("a"), ord("z") + 1), range(ord("A"), ord("Z") + 1),
@@ -69,12 +73,19 @@ FAMILY_ENDINGS = {"latin": ("er", "er", "er"), "cyrillic": ("ова", "ов", "
 # -------------------------------------------------------------------------------------------------
 
 ENTITY = "|".join(f"(?:{p})" for _, p in PATTERNS)
+NAME = dict(PATTERNS)["name"]
 MAX_ROUNDS = 64
 
 
+def _let(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _chars(value: Column, f) -> Column:
     """``f(character, position from 0)`` of every character, joined."""
-    parts = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: f(value.substr(i, F.lit(1)), i - 1))
+    parts = F.transform(F.sequence(F.lit(1), F.length(value)),
+                        lambda i: _let(value.substr(i, F.lit(1)), lambda c: f(c, i - 1)))
     return F.when(F.length(value) > 0, F.array_join(parts, "")).otherwise(F.lit(""))
 
 
@@ -92,27 +103,27 @@ def _byte(stream: Column, i) -> Column:
 
 def reshape(value: Column, seed: Column) -> Column:
     """A keyed look-alike: each letter or digit by another of its alphabet, all else as it is."""
-    stream = _stream(seed, F.length(value))
-
-    def one(c, i):
-        v, out = _byte(stream, i), c
+    def one(stream, c, i):
+        out = c
         for a in ALPHABETS:
-            out = F.when(F.instr(F.lit(a), c) > 0, F.lit(a).substr(v % len(a) + 1, F.lit(1))).otherwise(out)
+            other = F.lit(a).substr(_byte(stream, i) % len(a) + 1, F.lit(1))
+            out = F.when(F.instr(F.lit(a), c) > 0, other).otherwise(out)
         return out
-    return _chars(value, one)
+    return _let(_stream(seed, F.length(value)), lambda stream: _chars(value, lambda c, i: one(stream, c, i)))
 
 
-def luhn_digit(digits: Column) -> Column:
-    """The check digit that completes a string of digits."""
-    n = F.length(digits)
-    total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda acc, i: acc + _doubled(
-        digits.substr(i, F.lit(1)).cast("int"), (n - i) % 2 == 0))
-    return ((10 - total % 10) % 10).cast("string")
+def with_check_digit(digits: Column) -> Column:
+    """A string of digits and the digit that makes it pass the card number check."""
+    def completed(d):
+        n = F.length(d)
 
-
-def _doubled(d: Column, twice: Column) -> Column:
-    two = d * 2
-    return F.when(twice, F.when(two > 9, two - 9).otherwise(two)).otherwise(d)
+        def counted(acc, i):
+            digit = d.substr(i, F.lit(1)).cast("int")
+            twice = F.when(digit > 4, digit * 2 - 9).otherwise(digit * 2)
+            return acc + F.when((n - i) % 2 == 0, twice).otherwise(digit)
+        total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), counted)
+        return F.concat(d, ((10 - total % 10) % 10).cast("string"))
+    return _let(digits, completed)
 
 
 def script_of(word: Column) -> Column:
@@ -122,50 +133,61 @@ def script_of(word: Column) -> Column:
 
 def _made_name(canonical: Column, gender: Column, seed: Column, attempt: int, endings: dict) -> Column:
     """Syllables of the name's script, more of them in later rounds, and the gender's ending."""
-    stream, out = _stream(seed, F.lit(64)), F.lit("")
     many = 2 + attempt // 2
-    for script, (consonants, vowels, given) in SYLLABLES.items():
-        c, v = F.array(*map(F.lit, consonants)), F.array(*map(F.lit, vowels))
-        body = F.concat(*[F.concat(F.get(c, _byte(stream, 2 * k) % len(consonants)),
-                                   F.get(v, _byte(stream, 2 * k + 1) % len(vowels))) for k in range(many)],
-                        F.get(c, _byte(stream, 62) % len(consonants)))
-        own = endings.get(script, given)
-        end = F.when(gender == "f", own[0]).when(gender == "m", own[1]).otherwise(own[2])
-        out = F.when(script_of(canonical) == script, F.concat(body, end)).otherwise(out)
-    return out
+
+    def spelled(stream):
+        out = F.lit("")
+        for script, (consonants, vowels, given) in SYLLABLES.items():
+            c, v = F.array(*map(F.lit, consonants)), F.array(*map(F.lit, vowels))
+            body = F.concat(*[F.concat(F.get(c, _byte(stream, 2 * k) % len(consonants)),
+                                       F.get(v, _byte(stream, 2 * k + 1) % len(vowels))) for k in range(many)],
+                            F.get(c, _byte(stream, 2 * many) % len(consonants)))
+            own = endings.get(script, given)
+            end = F.when(gender == "f", own[0]).when(gender == "m", own[1]).otherwise(own[2])
+            out = F.when(script_of(canonical) == script, F.concat(body, end)).otherwise(out)
+        return out
+    return _let(_stream(seed, F.lit(32 * (1 + many // 8))), spelled)
 
 
 def surrogate(kind: Column, canonical: Column, gender: Column, key: str, attempt: int) -> Column:
     """The candidate of a round for (kind, canonical, gender), in canonical form."""
     seed = F.concat_ws("|", F.lit(key), kind, canonical, F.lit(str(attempt)))
-    shaped = reshape(canonical, seed)
-    first = canonical.substr(F.lit(1), F.lit(1))
-    body = F.concat(first, shaped.substr(F.lit(2), F.length(canonical) - 2))
-    at = F.instr(canonical, "@")
-    host = canonical.substr(at + 1, F.length(canonical))
+    size, first = F.length(canonical), canonical.substr(F.lit(1), F.lit(1))
+    host = canonical.substr(F.instr(canonical, "@") + 1, size)
     top = F.regexp_extract(host, r"(\.\p{L}+)$", 1)
-    host_seed = F.concat_ws("|", F.lit(key), F.lit("host"), host)
-    email = F.concat(shaped.substr(F.lit(1), at),
-                     reshape(host.substr(F.lit(1), F.length(host) - F.length(top)), host_seed), top)
-    stream = _stream(seed, F.greatest(F.lit(64), F.length(canonical)))
-    octets = F.concat_ws(".", *[(_byte(stream, i) % 254 + 1).cast("string") for i in range(4)])
     prefix = F.regexp_extract(canonical, r"^(AKIA|gh[a-z]_|sk-)", 1)
-    return (F.when(kind == "email", email)
-            .when(kind.isin("secret", "hex") & canonical.rlike("^[0-9a-f]+$"),
-                  stream.substr(F.lit(1), F.length(canonical)))
-            .when(kind == "key", F.concat(prefix, shaped.substr(F.length(prefix) + 1, F.length(canonical))))
-            .when(kind == "iban", F.concat(canonical.substr(F.lit(1), F.lit(2)),
-                                           shaped.substr(F.lit(3), F.length(canonical))))
+
+    def tail(shaped: Column, start) -> Column:
+        return shaped.substr(start if isinstance(start, Column) else F.lit(start), size)
+    made = {
+        "email": lambda x: F.concat(x.substr(F.lit(1), F.instr(canonical, "@")), reshape(
+            host.substr(F.lit(1), F.length(host) - F.length(top)), F.concat_ws("|", F.lit(key), F.lit("host"), host)), top),
+        "key": lambda x: F.concat(prefix, tail(x, F.length(prefix) + 1)),
+        "iban": lambda x: F.concat(canonical.substr(F.lit(1), F.lit(2)), tail(x, 3)),
+        "card": lambda x: with_check_digit(F.concat(first, x.substr(F.lit(2), size - 2))),
+        "phone": lambda x: F.concat(first, tail(x, 2)),
+    }
+
+    def finished(x: Column) -> Column:
+        return reduce(lambda out, k: F.when(kind == k, made[k](x)).otherwise(out), made, x)
+    octets = _let(_stream(seed, F.lit(4)), lambda s: F.concat_ws(
+        ".", *[(_byte(s, i) % 254 + 1).cast("string") for i in range(4)]))
+    return (F.when(kind.isin("secret", "hex") & canonical.rlike("^[0-9a-f]+$"),
+                   _stream(seed, size).substr(F.lit(1), size))
             .when(kind == "ip", octets)
-            .when(kind == "card", F.concat(body, luhn_digit(body)))
-            .when(kind == "phone", F.concat(first, shaped.substr(F.lit(2), F.length(canonical))))
             .when(kind == "given", _made_name(canonical, gender, seed, attempt, {}))
             .when(kind == "family", _made_name(canonical, gender, seed, attempt, FAMILY_ENDINGS))
-            .otherwise(shaped))
+            .otherwise(_let(reshape(canonical, seed), finished)))
 
 
 # ---- detection ----------------------------------------------------------------------------------
 
+def has_entity(text: Column) -> Column:
+    """Whether a text has an entity: the long pattern runs only over texts with a mark that it needs."""
+    marked = reduce(lambda out, m: out | text.contains(m), MARKED, text.rlike(MARKS))
+    return (marked & text.rlike(ENTITY)) | text.rlike(NAME)
+
+
 def kind_of(entity: Column) -> Column:
     return reduce(lambda out, kp: F.when(entity.rlike(f"^(?:{kp[1]})$"), kp[0]).otherwise(out),
                   reversed(PATTERNS), F.lit(None).cast("string"))
@@ -188,10 +210,14 @@ def segments(hits: DataFrame) -> DataFrame:
     ``before`` is the unchanged text in front of the value; a name gives a
     row for each of its words, a text a last row without value.
     """
-    cut = hits.select("doc_id", "check", "copies", F.split("text", ENTITY, -1).alias("gaps"),
-                      F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)).alias("found"))
-    rows = cut.select("doc_id", "check", "copies", "found", F.posexplode("gaps").alias("at", "gap"))
-    rows = rows.select("doc_id", "check", "copies", "at", "gap", F.get("found", F.col("at")).alias("entity"))
+    # one pass of the long pattern: entities between marks made of the text's own hash, then gap, entity, gap ...
+    mark = F.concat(F.lit("\ue000"), F.hex("check"), F.lit("\ue001"))
+    cut = F.split(F.regexp_replace("text", F.lit(f"({ENTITY})"), F.concat(mark, F.lit("$1"), mark)), mark, -1)
+    pairs = _let(cut, lambda x: F.transform(F.sequence(F.lit(0), F.size(x) - 1, F.lit(2)), lambda i: F.struct(
+        F.get(x, i).alias("gap"), F.get(x, i + 1).alias("entity"))))
+    # outer, as otherwise a filter on the array's size would make it twice
+    rows = hits.select("doc_id", "check", "copies", F.posexplode_outer(pairs).alias("at", "pair"))
+    rows = rows.select("doc_id", "check", "copies", "at", "pair.gap", "pair.entity")
     rows = rows.withColumn("kind", kind_of(F.col("entity")))
     # a title stays, the last word after a title or a listed given name is the family name
     title = F.regexp_extract("entity", f"^({_TITLE} )", 1)
@@ -215,7 +241,7 @@ def segments(hits: DataFrame) -> DataFrame:
         F.when(secret, F.col("entity").substr(F.length(label) + 1, F.length("entity"))).otherwise(F.col("entity")).alias("value"),
         F.lit(None).cast("string").alias("gender")))
     parts = F.when(F.col("kind") == "name", F.transform(words, word)).otherwise(whole)
-    rows = rows.select("doc_id", "check", "copies", "at", F.posexplode(parts).alias("nth", "p"))
+    rows = rows.select("doc_id", "check", "copies", "at", F.posexplode_outer(parts).alias("nth", "p"))
     return rows.select("doc_id", "check", "copies", F.struct("at", "nth").alias("seq"),
                        "p.before", "p.kind", "p.value", "p.gender",
                        canonical_form(F.col("p.kind"), F.col("p.value")).alias("canonical"))
@@ -270,7 +296,7 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     """
     text = text_or_empty(text_col)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
-    has = F.col("text").rlike(ENTITY)
+    has = has_entity(F.col("text"))
     clean = rows.where(~has).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"),
                                     F.array().cast("array<string>").alias("kinds"))
     hits = (rows.where(has).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies"))
