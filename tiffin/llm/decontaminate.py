@@ -1,7 +1,7 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
 The index stores postings (term, document, position) of the training texts,
-dealt by term.  Test passages are windows of consecutive item words.  For
+dealt by term; a term with very many is split over several files.  Test passages are windows of consecutive item words.  For
 each window the two terms that are rarest in the corpus are looked up, their
 posting lists adjusted by the terms' offsets and intersected: both terms must
 meet on the same diagonal (document position minus item position) of the same
@@ -224,7 +224,7 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, id_co
     counts = term_counts(docs, hash_filter(terms.select("term")), id_col, text_col)
     wanted = staged(lookups(terms, counts, width), "bench-lookups")
     both = wanted.select("term_p").union(wanted.select("term_q"))
-    index = staged(postings(docs, hash_filter(both), id_col, text_col).repartition("term"), "bench-index")
+    index = staged(postings(docs, hash_filter(both), id_col, text_col).hint("rebalance", "term"), "bench-index")
     found = staged(diagonals(index, wanted), "bench-diagonals")
     found_docs = docs.sparkSession.sparkContext.broadcast(hash_filter(found.select("check")))
     texts = items.select(F.col(f"`{item_id_col}`").cast("string").alias("item_id"),
@@ -295,7 +295,7 @@ def proximity_matches(docs: DataFrame, phrases: DataFrame, within: int, id_col:
     # the rarest term first: documents without it hold no match
     rarest = (terms.join(counts, "term").groupBy("item")
               .agg(F.min_by("term", F.struct("n", "term")).alias("term")))
-    index = staged(postings(docs, hash_filter(terms.select("term")), id_col, text_col).repartition("term"), "near-index")
+    index = staged(postings(docs, hash_filter(terms.select("term")), id_col, text_col).hint("rebalance", "term"), "near-index")
     having = index.join(rarest, "term").select("doc_id", "check", "item").distinct()
     i, t = index.alias("i"), terms.alias("t")
     hits = i.join(t, "term").select("doc_id", "check", "item", "term", "pos")

@@ -121,3 +121,29 @@ SELECT w.doc_id, sha256(w.body) AS digest, k.name AS license,
        coalesce(array_to_string(n.names, ','), '') AS line_licenses, coalesce(n.n, 0) AS n_notice_lines
 FROM whole w LEFT JOIN known k ON w.body = k.body AND w.body <> '' LEFT JOIN notices n ON w.doc_id = n.doc_id
 """
+
+
+def op6(width: int) -> str:
+    def words(column: str) -> str:
+        return (f"regexp_extract_all(translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return f"""
+WITH items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, w, least({width}, len(w)) AS n
+  FROM (SELECT item_id, {words('text')} AS w FROM benchmark) WHERE len(w) > 0),
+item_windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[p + 1:p + n], ' ') AS body
+  FROM (SELECT *, unnest(range(len(w) - n + 1)) AS p FROM items)),
+docs AS (SELECT doc_id, {words('text')} AS w FROM documents),
+doc_windows AS (
+  SELECT doc_id, p, n, array_to_string(w[p + 1:p + n], ' ') AS body
+  FROM (SELECT doc_id, w, n, unnest(range(greatest(0, len(w) - n + 1))) AS p
+        FROM docs, (SELECT DISTINCT n FROM item_windows))),
+found AS (SELECT d.doc_id, d.p, d.n, i.item FROM doc_windows d JOIN item_windows i ON d.n = i.n AND d.body = i.body),
+hit AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS spot FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS ids FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(len(n.ids), 0) AS n_items,
+       sha256(coalesce(array_to_string(n.ids, ','), '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
+"""

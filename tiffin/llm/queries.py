@@ -83,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op3_licenses": oracle.op3(),
     "op4_mixing": oracle.op4(MIX_WEIGHTS, MIX_SHARE, MIX_CAP),
+    "op6_decontaminate": oracle.op6(decontaminate.WINDOW),
     "op8_linededup": oracle.OP8,
     "op9_urls": oracle.op9(URL_RULES),
     "op10_exact": oracle.OP10,

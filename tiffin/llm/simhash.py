@@ -195,7 +195,7 @@ def _meeting_links(members: DataFrame, radius: int) -> DataFrame:
           .select("choice", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("z")))
     met = at.groupBy("choice", "z").agg(F.min("fp").alias("b"))
     # each member with the smallest member at the same z: the aggregation joined back, both sides dealt by (choice, z)
-    return (at.join(met, ["choice", "z"]).where("fp <> b").select(F.col("fp").alias("a"), "b").distinct())
+    return (at.join(met.hint("merge"), ["choice", "z"]).where("fp <> b").select(F.col("fp").alias("a"), "b").distinct())
 
 
 def near_links(fps: DataFrame, radius: int = RADIUS, n_pivots: int = N_PIVOTS,
@@ -206,7 +206,8 @@ def near_links(fps: DataFrame, radius: int = RADIUS, n_pivots: int = N_PIVOTS,
     rows = bucket_rows(fps, radius)
     shared = (rows.groupBy(F.col("choice").alias("c"), F.col("key").alias("k"))
               .agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    members = staged(rows.join(shared, (F.col("choice") == F.col("c")) & (F.col("key") == F.col("k")))
+    # merge: Spark takes the exploded side for as small as the fingerprints it comes from
+    members = staged(rows.join(shared.hint("merge"), (F.col("choice") == F.col("c")) & (F.col("key") == F.col("k")))
                      .select("choice", "key", "fp", "n"), "simhash-members")
     small = (members.where(F.col("n") <= pair_limit).select("choice", "key", "fp")
              .repartition("choice", "key").sortWithinPartitions("choice", "key", "fp"))
