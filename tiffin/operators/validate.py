@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,25 +179,63 @@ def validate_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 # -------------------------------------------------------------------- reports
-def entity_report(tagged: DataFrame, entity: str, reason_col: str = REASON) -> DataFrame:
-    """V12 for one entity: valid, rejected, total, rate (0 when empty)."""
-    agg = tagged.agg(F.count_if(F.col(reason_col).isNull()).alias("valid"),
-                     F.count_if(F.col(reason_col).isNotNull()).alias("rejected"))
-    return agg.select(
-        F.lit(entity).alias("entity"), "valid", "rejected",
-        (F.col("valid") + F.col("rejected")).alias("total"),
-        F.coalesce(F.try_divide(F.col("rejected"), F.col("valid") + F.col("rejected")), F.lit(0.0))
-        .cast("double").alias("rejection_rate"),
-    )
+# Reports count outcomes, so they need no tagged rows: an entity's rows are counted by key and rule outcome first,
+# and only these counts meet the parents.  A frame of outcomes has (order_id or nothing, reject_reason, rows).
+ROWS = F.count(F.lit(1)).alias("rows")
+
+
+def tagged_outcomes(tagged: DataFrame, *by: str, reason_col: str = REASON) -> DataFrame:
+    """Outcomes of rows that are tagged already."""
+    return tagged.groupBy(*by, F.col(reason_col).alias(REASON)).agg(ROWS)
+
+
+def customer_outcomes(df: DataFrame) -> DataFrame:
+    """V2 as counts: of each id one row is valid, the others are duplicates."""
+    per_id = df.groupBy("customer_id").agg(ROWS)
+    named = F.col("customer_id").isNotNull()
+    outcome = F.when(~named, F.array(F.struct(F.lit(MISSING_CUSTOMER_ID).alias(REASON), "rows"))).otherwise(F.array(
+        F.struct(F.lit(None).cast("string").alias(REASON), F.lit(1).cast("long").alias("rows")),
+        F.struct(F.lit(DUPLICATE_CUSTOMER_ID).alias(REASON), (F.col("rows") - 1).alias("rows"))))
+    return (per_id.select(F.explode(outcome).alias("o")).select(f"o.{REASON}", "o.rows")
+            .where("rows > 0").groupBy(REASON).agg(F.sum("rows").alias("rows")))
+
+
+def child_outcomes(df: DataFrame, valid_orders: DataFrame, reason: str, condition: Column) -> DataFrame:
+    """V4-V6 as counts by order."""
+    counted = df.groupBy("order_id", F.coalesce(condition, F.lit(False)).alias("_bad")).agg(ROWS)
+    return _child(counted, valid_orders, reason, F.col("_bad")).drop("_bad")
 
 
-def rejection_report(tagged: dict[str, DataFrame]) -> DataFrame:
-    """One row per entity (union of one-row aggregates)."""
-    frames = [entity_report(tagged[name], name) for name in ENTITIES if name in tagged]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def outcomes(raw: dict[str, DataFrame], tagged_orders: DataFrame, valid_orders: DataFrame) -> dict[str, DataFrame]:
+    """Outcomes of all six entities; those of orders and their children by order_id."""
+    return {
+        "restaurants": tagged_outcomes(validate_restaurants(raw["restaurants"])),
+        "customers": customer_outcomes(raw["customers"]),
+        "orders": tagged_outcomes(tagged_orders, "order_id"),
+        "order_items": child_outcomes(raw["order_items"], valid_orders, NEGATIVE_ITEM_PRICE, number("item_price") < 0),
+        "payments": child_outcomes(raw["payments"], valid_orders, NON_POSITIVE_AMOUNT, number("amount") <= 0),
+        "deliveries": child_outcomes(raw["deliveries"], valid_orders, NON_POSITIVE_DELIVERY_TIME,
+                                     number("delivery_time_minutes") <= 0),
+    }
+
+
+def rejection_report(counts: dict[str, DataFrame]) -> DataFrame:
+    """(entity, valid, rejected, total, rejection_rate), one row per entity (rate 0 when empty)."""
+    good = F.col(REASON).isNull()
+    frames = [df.agg(F.coalesce(F.sum(F.when(good, F.col("rows"))), F.lit(0)).alias("valid"),
+                     F.coalesce(F.sum(F.when(~good, F.col("rows"))), F.lit(0)).alias("rejected"))
+              .select(F.lit(name).alias("entity"), "valid", "rejected") for name, df in counts.items()]
+    total = F.col("valid") + F.col("rejected")
+    return reduce(DataFrame.unionByName, frames).select(
+        "entity", "valid", "rejected", total.alias("total"),
+        F.coalesce(F.try_divide("rejected", total), F.lit(0.0)).cast("double").alias("rejection_rate"))
+
+
+def reason_histogram(counts: dict[str, DataFrame]) -> DataFrame:
+    """(entity, reject_reason, rows) over the quarantined rows."""
+    return reduce(DataFrame.unionByName, [
+        df.where(F.col(REASON).isNotNull()).groupBy(REASON).agg(F.sum("rows").alias("rows"))
+        .select(F.lit(name).alias("entity"), F.col(REASON).alias("reject_reason"), "rows") for name, df in counts.items()])
 
 
 def rejection_summary(report: DataFrame, threshold: float = REJECTION_RATE_THRESHOLD) -> DataFrame:
@@ -215,14 +254,3 @@ def rejection_summary(report: DataFrame, threshold: float = REJECTION_RATE_THRES
         F.coalesce(F.try_divide(F.col("total_rejected"), total), F.lit(0.0)).cast("double").alias("overall_rate"),
         (F.col("worst_rate") > F.lit(threshold)).alias("gate_failed"),
     )
-
-
-def reason_histogram(tagged: dict[str, DataFrame], reason_col: str = REASON) -> DataFrame:
-    """(entity, reason, rows) over the quarantined rows."""
-    frames = [rejected(df, reason_col).groupBy(reason_col).agg(F.count(F.lit(1)).alias("rows"))
-              .select(F.lit(name).alias("entity"), F.col(reason_col).alias("reject_reason"), "rows")
-              for name, df in ((n, tagged[n]) for n in ENTITIES if n in tagged)]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out

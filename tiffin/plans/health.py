@@ -96,29 +96,27 @@ def order_years(raw_orders: DataFrame) -> DataFrame:
             .groupBy("order_id").agg(F.year(F.min("order_date")).alias("y")))
 
 
-def validation_runs_by_year(tagged: dict[str, DataFrame], raw_orders: DataFrame,
+def validation_runs_by_year(counts: dict[str, DataFrame], raw_orders: DataFrame,
                             reason_col: str = "reject_reason") -> DataFrame:
     """A validation-run log derived from data: one run per order year, over all six entities.
 
-    Orders belong to their date's year, items, payments and deliveries to
-    their order's; rows without a year are part of the first run.
-    Restaurants and customers are master data and count in every run.  run_at
-    is 1 January of the following year.  (The pipeline appends real runs.)
+    ``counts`` are the outcomes of ``validate.outcomes``.  Orders, items,
+    payments and deliveries belong to the year of their order; rows without
+    a year are part of the first run.  Restaurants and customers are master
+    data and count in every run.  run_at is 1 January of the following year.
+    (The pipeline appends real runs.)
     """
-    sums = [F.count_if(F.col(reason_col).isNull()).alias("valid"),
-            F.count_if(F.col(reason_col).isNotNull()).alias("rejected")]
-    years = order_years(raw_orders)
-    dated = [tagged["orders"].groupBy(F.year("order_date").alias("y")).agg(*sums)]
-    for name in CHILDREN:
-        per_order = tagged[name].groupBy("order_id").agg(*sums)
-        dated.append(lookup_join(per_order, years, ["order_id"])
-                     .groupBy("y").agg(F.sum("valid").alias("valid"), F.sum("rejected").alias("rejected")))
+    good = F.col(reason_col).isNull()
+    sums = [F.coalesce(F.sum(F.when(good, F.col("rows"))), F.lit(0)).alias("valid"),
+            F.coalesce(F.sum(F.when(~good, F.col("rows"))), F.lit(0)).alias("rejected")]
+    per_order = reduce(DataFrame.unionByName, [counts[n].select("order_id", reason_col, "rows")
+                                               for n in ("orders", *CHILDREN)]).groupBy("order_id").agg(*sums)
     first = raw_orders.select(F.min(F.year("order_date"))).scalar()
-    runs = reduce(DataFrame.unionByName, dated).withColumn("y", F.coalesce(F.col("y"), first))
+    runs = lookup_join(per_order, order_years(raw_orders), ["order_id"]).withColumn("y", F.coalesce(F.col("y"), first))
     runs = runs.groupBy("y").agg(F.sum("valid").alias("valid"), F.sum("rejected").alias("rejected"))
-    masters = reduce(DataFrame.unionByName, [tagged[n].agg(*sums) for n in ("restaurants", "customers")])
-    good, bad = masters.select(F.sum("valid")).scalar(), masters.select(F.sum("rejected")).scalar()
-    runs = runs.select("y", (F.col("valid") + good).alias("total_valid"), (F.col("rejected") + bad).alias("total_rejected"))
+    masters = reduce(DataFrame.unionByName, [counts[n].agg(*sums) for n in ("restaurants", "customers")])
+    ok, bad = masters.select(F.sum("valid")).scalar(), masters.select(F.sum("rejected")).scalar()
+    runs = runs.select("y", (F.col("valid") + ok).alias("total_valid"), (F.col("rejected") + bad).alias("total_rejected"))
     return runs.select(_run_at(), "total_valid", "total_rejected",
                        (F.col("total_rejected") / (F.col("total_valid") + F.col("total_rejected"))).alias("rejection_rate"))
 

@@ -42,28 +42,26 @@ class Lazy(dict):
 
 
 def validate_all_lazy(raw) -> Lazy:
-    """The V11 cascade, building each entity's plan only when asked for."""
-    out: Lazy
+    """The V11 cascade, building each entity's plan only when asked for.
 
-    cache: dict[str, DataFrame] = {}
+    Valid keys that feed several validations are written once
+    (``valid_orders`` for the children).
+    """
+    out: Lazy
 
-    def vo():
-        # valid order keys feed three child validations: materialise once
-        if "vo" not in cache:
-            # (reliable checkpoint in the shared folder: the children plan against a
-            # materialised key set instead of re-analysing the whole order cascade)
-            cache["vo"] = cut_lineage(validate.valid(out["orders"]).select("order_id"))
-        return cache["vo"]
+    def orders():
+        return validate.validate_orders(
+            raw["orders"], cut_lineage(validate.valid(out["restaurants"]).select("restaurant_id")),
+            cut_lineage(validate.valid(out["customers"]).select("customer_id")))
     out = Lazy({
         "restaurants": lambda: validate.validate_restaurants(raw["restaurants"]),
         "customers": lambda: validate.validate_customers(raw["customers"]),
-        # parents enter V3 as materialised key sets (small; keeps the V3 plan short)
-        "orders": lambda: validate.validate_orders(
-            raw["orders"], cut_lineage(validate.valid(out["restaurants"]).select("restaurant_id")),
-            cut_lineage(validate.valid(out["customers"]).select("customer_id"))),
-        "order_items": lambda: validate.validate_order_items(raw["order_items"], vo()),
-        "payments": lambda: validate.validate_payments(raw["payments"], vo()),
-        "deliveries": lambda: validate.validate_deliveries(raw["deliveries"], vo()),
+        "orders": orders,
+        "written_orders": lambda: cut_lineage(out["orders"].select("order_id", "order_date", "reject_reason")),
+        "valid_orders": lambda: validate.valid(out["written_orders"]).select("order_id"),
+        "order_items": lambda: validate.validate_order_items(raw["order_items"], out["valid_orders"]),
+        "payments": lambda: validate.validate_payments(raw["payments"], out["valid_orders"]),
+        "deliveries": lambda: validate.validate_deliveries(raw["deliveries"], out["valid_orders"]),
     })
     return out
 
@@ -138,6 +136,12 @@ class Ctx:
         return self._tagged
 
 
+    def outcomes(self) -> dict[str, DataFrame]:
+        """Counts of validation outcomes of all entities (the orders are tagged and written once)."""
+        t = self.tagged()
+        return validate.outcomes(self.raw_inputs(), t["written_orders"], t["valid_orders"])
+
+
 # Output projections of the validation queries (keys + checked fields + reason).
 VALIDATION_COLUMNS = {
     "restaurants": ["restaurant_id", "url", "name", "votes", "reject_reason"],
@@ -194,15 +198,15 @@ def q_orders_per_band(spark, sf_dir):
 
 
 def q_quarantine_reasons(spark, sf_dir):
-    return validate.reason_histogram(Ctx(spark, sf_dir).tagged())
+    return validate.reason_histogram(Ctx(spark, sf_dir).outcomes())
 
 
 def q_rejection_report(spark, sf_dir):
-    return validate.rejection_report(Ctx(spark, sf_dir).tagged())
+    return validate.rejection_report(Ctx(spark, sf_dir).outcomes())
 
 
 def q_rejection_summary(spark, sf_dir):
-    return validate.rejection_summary(validate.rejection_report(Ctx(spark, sf_dir).tagged()))
+    return validate.rejection_summary(validate.rejection_report(Ctx(spark, sf_dir).outcomes()))
 
 
 def materialise(frames: dict[str, DataFrame], workers: int = 4) -> dict[str, DataFrame]:
@@ -268,7 +272,7 @@ def q_kpi_delivery(spark, sf_dir):
 
 
 def _validation_runs(c: Ctx) -> DataFrame:
-    return health.validation_runs_by_year(c.tagged(), c.raw_inputs()["orders"])
+    return health.validation_runs_by_year(c.outcomes(), c.raw_inputs()["orders"])
 
 
 def _test_runs(c: Ctx) -> DataFrame:
