@@ -31,7 +31,7 @@ EQUIVALENT = (
 )
 
 #: A copyright line: it begins with the mark (after comment signs) and is not a condition's sentence.
-COPYRIGHT_LINE = (r"(?m)^[\s*#/;\-]*(?:(?:copyright\s*(?:\(c\)|©|[\d<\[{])|(?:\(c\)|©)\s*[\d<\[{])[^\n]*"
+COPYRIGHT_LINE = (r"(?m)^[ \t*#/;\-]*(?:(?:copyright[ \t]*(?:\(c\)|©|[\d<\[{])|(?:\(c\)|©)[ \t]*[\d<\[{])[^\n]*"
                   r"|all rights reserved\.?[ \t]*)$")
 
 #: Known texts, (identifier, text).
@@ -104,19 +104,23 @@ specific language governing permissions and limitations under the License."""),
 )
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text column."""
+def canonical_lines(text: Column) -> Column:
+    """The canonical forms of a text's lines, in order; lines without a letter or digit are empty."""
     out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
     for spelling, same in EQUIVALENT:
-        if spelling != same:
-            out = F.replace(out, F.lit(spelling), F.lit(same))
-    return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
+        out = F.replace(out, F.lit(spelling), F.lit(same))
+    return F.transform(F.split(F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " "), "\n", -1), lambda x: F.trim(x))
+
+
+def joined(lines: Column) -> Column:
+    """The canonical form of the text whose canonical lines these are."""
+    return F.array_join(F.filter(lines, lambda x: x != ""), " ")
 
 
 def known_digests(spark: SparkSession, texts=KNOWN_TEXTS) -> DataFrame:
     """Digest table (digest, license) of known texts; equal texts count once."""
     frame = spark.createDataFrame(list(texts), "license string, known string")
-    return frame.groupBy(F.sha2(canonical(F.col("known")), 256).alias("known_digest")).agg(
+    return frame.groupBy(F.sha2(joined(canonical_lines(F.col("known"))), 256).alias("known_digest")).agg(
         F.min("license").alias("known_license"))
 
 
@@ -131,23 +135,23 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str =
     are not read.  ``known`` is a frame as ``known_digests`` gives it.
     """
     known = known_digests(docs.sparkSession) if known is None else known
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     # as a table of known size Spark sees whether it is small enough to broadcast
     known = staged(known.where(F.col("known_digest") != F.sha2(F.lit(""), 256)), "license-known")
-
-    def digest(text: Column) -> Column:  # never null, so no null check repeats the work below the join
-        return F.coalesce(F.sha2(canonical(text), 256), F.lit(""))
-    whole = rows.select("doc_id", digest(F.col("text")).alias("digest"), F.xxhash64("text").alias("check"))
-    lines = (rows.select("doc_id", F.xxhash64("text").alias("check"),
-                         F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-             .withColumn("line_digest", digest(F.col("line"))))
-    found = (lines.join(known, F.col("line_digest") == F.col("known_digest"))
-             .groupBy("doc_id", "check", "pos").agg(F.min("known_license").alias("l"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("check"), canonical_lines(F.col("text")).alias("lines"))
+    # texts are normalised in one pass; what goes on are digests
+    rows = staged(rows.select(
+        "doc_id", "check", F.sha2(joined(F.col("lines")), 256).alias("digest"),
+        F.transform(F.filter("lines", lambda x: x != ""), lambda x: F.unhex(F.sha2(x, 256))).alias("line_digests")),
+        "license-digests")
+    lines = rows.select("doc_id", "check", F.posexplode("line_digests").alias("pos", "line_digest"))
+    k = known.select(F.unhex("known_digest").alias("known_line"), F.col("known_license").alias("l"))
+    found = (lines.join(k, F.col("line_digest") == F.col("known_line"))
+             .groupBy("doc_id", "check", "pos").agg(F.min("l").alias("l"))
              .groupBy(F.col("doc_id").alias("of"), F.col("check").alias("of_check"))
              .agg(F.sort_array(F.collect_set("l")).alias("line_licenses"),
                   F.count(F.lit(1)).alias("n_notice_lines")))
-    found = staged(found, "license-lines")
-    whole = whole.join(known, F.col("digest") == F.col("known_digest"), "left")
+    whole = rows.join(known, F.col("digest") == F.col("known_digest"), "left")
     return whole.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of"))
                       & (F.col("check") == F.col("of_check")), "left").select(
         "doc_id", "digest", F.col("known_license").alias("license"),
