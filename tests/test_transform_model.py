@@ -154,3 +154,8 @@ def test_profile_without_the_columns(spark):
 def test_nan_is_missing(spark):
     from tiffin.functions.fmt import format_report
     assert format_report(spark.createDataFrame([(float("nan"),), (2.5,)], "x double")).collect()[0][0] == "—"
+
+
+def test_cuisines_keep_their_digits_and_lose_outer_spaces(spark):
+    df = spark.createDataFrame([(1, " 0 Zero ,1 One 1, ,2"), (2, None)], "restaurant_id long, cuisines string")
+    assert [r["cuisine"] for r in transform.restaurant_cuisines(df).collect()] == ["0 Zero", "1 One 1", "2"]

@@ -35,7 +35,7 @@ def restaurant_cuisines(df: DataFrame) -> DataFrame:
 
     Not de-duplicated: a cuisine listed twice yields two rows.
     """
-    listed = F.transform(F.split("cuisines", P.LIST_SPLIT_PATTERN), F.trim)
+    listed = F.transform(F.split("cuisines", P.LIST_SPLIT_PATTERN), lambda c: F.trim(c))
     return df.select(F.col("restaurant_id").cast("long").alias("restaurant_id"),
                      F.explode(F.filter(listed, lambda c: c != "")).alias("cuisine"))
 
