@@ -181,17 +181,20 @@ def validate_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 # -------------------------------------------------------------------- reports
 # Reports count outcomes, so they need no tagged rows: an entity's rows are counted by key and rule outcome first,
 # and only these counts meet the parents.  A frame of outcomes has (order_id or nothing, reject_reason, rows).
-ROWS = F.count(F.lit(1)).alias("rows")
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1)).alias("rows")
 
 
 def tagged_outcomes(tagged: DataFrame, *by: str, reason_col: str = REASON) -> DataFrame:
     """Outcomes of rows that are tagged already."""
-    return tagged.groupBy(*by, F.col(reason_col).alias(REASON)).agg(ROWS)
+    return tagged.groupBy(*by, F.col(reason_col).alias(REASON)).agg(_rows())
 
 
 def customer_outcomes(df: DataFrame) -> DataFrame:
     """V2 as counts: of each id one row is valid, the others are duplicates."""
-    per_id = df.groupBy("customer_id").agg(ROWS)
+    per_id = df.groupBy("customer_id").agg(_rows())
     named = F.col("customer_id").isNotNull()
     outcome = F.when(~named, F.array(F.struct(F.lit(MISSING_CUSTOMER_ID).alias(REASON), "rows"))).otherwise(F.array(
         F.struct(F.lit(None).cast("string").alias(REASON), F.lit(1).cast("long").alias("rows")),
@@ -202,7 +205,7 @@ def customer_outcomes(df: DataFrame) -> DataFrame:
 
 def child_outcomes(df: DataFrame, valid_orders: DataFrame, reason: str, condition: Column) -> DataFrame:
     """V4-V6 as counts by order."""
-    counted = df.groupBy("order_id", F.coalesce(condition, F.lit(False)).alias("_bad")).agg(ROWS)
+    counted = df.groupBy("order_id", F.coalesce(condition, F.lit(False)).alias("_bad")).agg(_rows())
     return _child(counted, valid_orders, reason, F.col("_bad")).drop("_bad")
 
 
