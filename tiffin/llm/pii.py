@@ -48,7 +48,7 @@ PATTERNS = (
     ("ip", r"(?=\d)(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)"),
     ("ssn", r"(?=\d)(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"),
     ("card", r"(?=\d)" + _START + r"(?:\d{13,19}+|\d{4}([ \-])\d{4}(?:[ \-]\d{4})[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})" + _END),
-    ("phone", r"(?=[+(\d])" + _START + r"(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}"
+    ("phone", r"(?=[+(\d])" + _START + r"(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,5}"
               r"|\(\d{3}\) ?\d{3}[.\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})" + _END),
     ("name", r"(?=\p{Lu})" + _START + "(?:" + _TITLE + r"(?: " + _WORD + r"){1,3}|(?:" + "|".join(_GIVEN_F + _GIVEN_M)
              + r")(?: " + _WORD + r"){1,2})" + _END),
@@ -304,7 +304,7 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     parts = staged(segments(hits), "pii-segments")
     made = assign_surrogates(parts.where(F.col("kind").isNotNull()).groupBy("kind", "canonical")
                              .agg(F.min("gender").alias("gender")), key)
-    out = parts.join(made, ["kind", "canonical"], "left").select(
+    out = parts.join(made.hint("merge"), ["kind", "canonical"], "left").select(
         "doc_id", "check", "copies", "seq", "kind",
         F.concat("before", F.coalesce(rendered(F.col("kind"), F.col("value"), F.col("surrogate")), F.lit(""))).alias("piece"))
     out = out.groupBy("doc_id", "check", "copies").agg(
