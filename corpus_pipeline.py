@@ -1,8 +1,14 @@
 """The corpus pipeline: five stages from raw documents to a mixed training set.
 
 Every stage reads what the stage before it kept.  A filtering stage returns
-its input's rows that stay, with all their columns; the last stage returns
-what the mix takes of each document.
+its input's rows that stay, with all their columns, whatever their names; the
+last stage returns what the mix takes of each document.
+
+Null and empty texts are documents without words: the classifier scores them
+by its bias, exact dedup keeps one of them, near dedup links them to other
+wordless ones, decontamination finds nothing in them, the mix takes 0 words.
+Rows are told apart by doc_id: near dedup and decontamination decide for all
+rows of a doc_id together, null being one.  Empty tables pass through.
 """
 
 from __future__ import annotations
