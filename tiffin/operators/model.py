@@ -120,6 +120,12 @@ def fact_orders(clean_orders: DataFrame, dim_rest: DataFrame) -> DataFrame:
                     "party_size", "order_total", "order_status")
 
 
+def unlocated_orders(clean_orders: DataFrame) -> DataFrame:
+    """F1 without the location key, for questions that don't ask for it: a projection, no lookup."""
+    return clean_orders.select("order_id", "customer_id", "restaurant_id", F.col("order_date").alias("date_id"),
+                               F.col("order_hour").alias("hour_id"), "party_size", "order_total", "order_status")
+
+
 def fact_order_items(items: DataFrame) -> DataFrame:
     """F2."""
     return items.select("order_item_id", "order_id", "item_name", "item_price")
