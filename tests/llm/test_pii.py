@@ -102,3 +102,13 @@ def test_edges(edge_docs, no_docs, spark):
     rows = pii.replace_entities(df, "k").collect()
     assert sorted(r.n_entities for r in rows) == [1, 20_000, 20_000, 20_000]
     assert len({w for r in rows for w in r.text.split()}) == 1
+
+
+def test_secrets_without_letters_and_digits(spark):
+    masked = ["password: ********", "Password:\n--------", "token=......", 'secret = "!@#$%^&*()"', "pwd=********* x"]
+    got = hidden(spark, [*masked, "password=********"])
+    for i, t in enumerate(masked):
+        label, secret = re.fullmatch(r"(\w+\W{0,3}?[=:]\s?\"?)(.*?)(?:\"| x)?", t, re.S).groups()
+        assert got[i].n_entities == 1 and got[i].text.startswith(label) and got[i].text != t
+        assert len(got[i].text) == len(t) and secret not in got[i].text and not re.search(r"[\"'\s\w]", got[i].text[len(label):][:len(secret)].replace("_", "-"))
+    assert got[0].text.split(" ")[1] == got[5].text.split("=", 1)[1]

@@ -63,6 +63,8 @@ ALPHABETS = tuple("".join(map(chr, r)) for r in (
     range(0xE0, 0xF7), range(0xF8, 0x100), range(0xC0, 0xD7), range(0xD8, 0xDF),
     range(0x5D0, 0x5EB), range(0x628, 0x63B), range(0x915, 0x93A), range(0x3042, 0x3094), range(0x30A2, 0x30F4),
     range(0xAC00, 0xACC0), range(0x4E00, 0x4EC0)))
+#: What a secret without any letter or digit is drawn from: no white space, no quotes.
+SYMBOLS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
 #: Syllables of names by script: consonants, vowels, endings for women, men and others.
 SYLLABLES = {
     "latin": ("b c d f g k l m n p r s t v".split(), "a e i o u".split(), ("a", "n", "e")),
@@ -101,6 +103,12 @@ def _byte(stream: Column, i) -> Column:
     return F.conv(stream.substr(at, F.lit(2)), 16, 10).cast("int")
 
 
+def symbols(value: Column, seed: Column) -> Column:
+    """Keyed symbols, one for each character."""
+    return _let(_stream(seed, F.length(value)), lambda stream: _chars(value, lambda c, i: F.lit(SYMBOLS).substr(
+        _byte(stream, i) % len(SYMBOLS) + 1, F.lit(1))))
+
+
 def reshape(value: Column, seed: Column) -> Column:
     """A keyed look-alike: each letter or digit by another of its alphabet, all else as it is."""
     def one(stream, c, i):
@@ -174,6 +182,7 @@ def surrogate(kind: Column, canonical: Column, gender: Column, key: str, attempt
         ".", *[(_byte(s, i) % 254 + 1).cast("string") for i in range(4)]))
     return (F.when(kind.isin("secret", "hex") & canonical.rlike("^[0-9a-f]+$"),
                    _stream(seed, size).substr(F.lit(1), size))
+            .when((kind == "secret") & ~canonical.rlike(r"[\p{L}\p{N}]"), symbols(canonical, seed))
             .when(kind == "ip", octets)
             .when(kind == "given", _made_name(canonical, gender, seed, attempt, {}))
             .when(kind == "family", _made_name(canonical, gender, seed, attempt, FAMILY_ENDINGS))
