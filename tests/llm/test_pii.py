@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import EDGE_ROWS
 from tiffin.llm import pii
 
@@ -112,3 +114,22 @@ def test_secrets_without_letters_and_digits(spark):
         assert got[i].n_entities == 1 and got[i].text.startswith(label) and got[i].text != t
         assert len(got[i].text) == len(t) and secret not in got[i].text and not re.search(r"[\"'\s\w]", got[i].text[len(label):][:len(secret)].replace("_", "-"))
     assert got[0].text.split(" ")[1] == got[5].text.split("=", 1)[1]
+
+
+def test_formats_short_of_values_are_widened(spark):
+    """More entities of a format than it has values that are no originals."""
+    given = [("email", f"{a}@x.org", None) for a in "abcdefghijklmnopqrstuvwxyz"] + [("email", "...@y.org", None)]
+    given += [("phone", f"1{i:03d}", None) for i in range(700)] + [("secret", "a*****", None), ("secret", "b*****", None)]
+    df = spark.createDataFrame(given, "kind string, canonical string, gender string")
+    rows = pii.assign_surrogates(df, "k").collect()
+    assert len({(r.kind, r.canonical) for r in rows}) == len({(r.kind, r.surrogate) for r in rows}) == len(rows) == len(given)
+    assert not {(r.kind, r.surrogate) for r in rows} & {g[:2] for g in given}
+    assert all(r.surrogate[0] == "1" for r in rows if r.kind == "phone")
+    assert max(len(r.surrogate) for r in rows if r.kind == "phone") > 4
+    long = spark.createDataFrame([("+1 (555) 123-4567", "155512345678")], "v string, m string")
+    assert long.select(pii.rendered(F.lit("phone"), F.col("v"), F.col("m"))).first()[0] == "+1 (555) 123-45678"
+
+
+def test_short_numbers_are_no_phones(spark):
+    got = hidden(spark, ["up by +1500 today", "+683 4002 is one", "+12 34 56 too few"])
+    assert [got[i].n_entities for i in range(3)] == [0, 1, 0] and "4002" not in got[1].text

@@ -7,7 +7,9 @@ script and case, the same separators; card numbers keep their check digit
 rule, names the gender and script.  Candidates that meet another entity's
 surrogate or any original in the corpus are drawn anew, round by round, until
 all differ; so distinct entities stay distinct, and an entity has the same
-surrogate wherever it occurs, however it is formatted.
+surrogate wherever it occurs, however it is formatted.  A format that is
+short of values is widened by more digits or letters for the entities that
+are left, so every corpus has an assignment.
 """
 
 from __future__ import annotations
@@ -48,7 +50,7 @@ PATTERNS = (
     ("ip", r"(?=\d)(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)"),
     ("ssn", r"(?=\d)(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"),
     ("card", r"(?=\d)" + _START + r"(?:\d{13,19}+|\d{4}([ \-])\d{4}(?:[ \-]\d{4})[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})" + _END),
-    ("phone", r"(?=[+(\d])" + _START + r"(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,5}"
+    ("phone", r"(?=[+(\d])" + _START + r"(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,5}(?<=" + r"\d[ .()\-]{0,2}" * 6 + r"\d)"
               r"|\(\d{3}\) ?\d{3}[.\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})" + _END),
     ("name", r"(?=\p{Lu})" + _START + "(?:" + _TITLE + r"(?: " + _WORD + r"){1,3}|(?:" + "|".join(_GIVEN_F + _GIVEN_M)
              + r")(?: " + _WORD + r"){1,2})" + _END),
@@ -76,6 +78,8 @@ FAMILY_ENDINGS = {"latin": ("er", "er", "er"), "cyrillic": ("ова", "ов", "
 
 ENTITY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 NAME = dict(PATTERNS)["name"]
+#: Rounds of draws in the format of the original; each later one widens the format by one more character.
+SHAPED_ROUNDS = 12
 MAX_ROUNDS = 64
 
 
@@ -157,10 +161,23 @@ def _made_name(canonical: Column, gender: Column, seed: Column, attempt: int, en
     return _let(_stream(seed, F.lit(32 * (1 + many // 8))), spelled)
 
 
+def widened(kind: Column, canonical: Column, attempt: int) -> Column:
+    """What a round's candidate is shaped like: the canonical form, in later rounds with more digits or letters."""
+    more = max(0, attempt - SHAPED_ROUNDS + 1)
+    if not more:
+        return canonical
+    at = F.instr(canonical, "@")
+    return (F.when(kind == "email", F.concat(canonical.substr(F.lit(1), at - 1), F.lit("a" * more),
+                                             canonical.substr(at, F.length(canonical))))
+            .when(kind.isin("secret", "key") & ~canonical.rlike("^[0-9a-f]+$"), F.concat(canonical, F.lit("a" * more)))
+            .otherwise(F.concat(canonical, F.lit("0" * more))))
+
+
 def surrogate(kind: Column, canonical: Column, gender: Column, key: str, attempt: int) -> Column:
     """The candidate of a round for (kind, canonical, gender), in canonical form."""
     seed = F.concat_ws("|", F.lit(key), kind, canonical, F.lit(str(attempt)))
-    size, first = F.length(canonical), canonical.substr(F.lit(1), F.lit(1))
+    wide, n_octets = widened(kind, canonical, attempt), 4 + max(0, attempt - SHAPED_ROUNDS + 1)
+    size, first = F.length(wide), canonical.substr(F.lit(1), F.lit(1))
     host = canonical.substr(F.instr(canonical, "@") + 1, size)
     top = F.regexp_extract(host, r"(\.\p{L}+)$", 1)
     prefix = F.regexp_extract(canonical, r"^(AKIA|gh[a-z]_|sk-)", 1)
@@ -168,7 +185,7 @@ def surrogate(kind: Column, canonical: Column, gender: Column, key: str, attempt
     def tail(shaped: Column, start) -> Column:
         return shaped.substr(start if isinstance(start, Column) else F.lit(start), size)
     made = {
-        "email": lambda x: F.concat(x.substr(F.lit(1), F.instr(canonical, "@")), reshape(
+        "email": lambda x: F.concat(x.substr(F.lit(1), F.instr(wide, "@")), reshape(
             host.substr(F.lit(1), F.length(host) - F.length(top)), F.concat_ws("|", F.lit(key), F.lit("host"), host)), top),
         "key": lambda x: F.concat(prefix, tail(x, F.length(prefix) + 1)),
         "iban": lambda x: F.concat(canonical.substr(F.lit(1), F.lit(2)), tail(x, 3)),
@@ -178,15 +195,15 @@ def surrogate(kind: Column, canonical: Column, gender: Column, key: str, attempt
 
     def finished(x: Column) -> Column:
         return reduce(lambda out, k: F.when(kind == k, made[k](x)).otherwise(out), made, x)
-    octets = _let(_stream(seed, F.lit(4)), lambda s: F.concat_ws(
-        ".", *[(_byte(s, i) % 254 + 1).cast("string") for i in range(4)]))
+    octets = _let(_stream(seed, F.lit(n_octets)), lambda s: F.concat_ws(
+        ".", *[(_byte(s, i) % 254 + 1).cast("string") for i in range(n_octets)]))
     return (F.when(kind.isin("secret", "hex") & canonical.rlike("^[0-9a-f]+$"),
                    _stream(seed, size).substr(F.lit(1), size))
-            .when((kind == "secret") & ~canonical.rlike(r"[\p{L}\p{N}]"), symbols(canonical, seed))
+            .when((kind == "secret") & ~canonical.rlike(r"[\p{L}\p{N}]"), symbols(wide, seed))
             .when(kind == "ip", octets)
             .when(kind == "given", _made_name(canonical, gender, seed, attempt, {}))
             .when(kind == "family", _made_name(canonical, gender, seed, attempt, FAMILY_ENDINGS))
-            .otherwise(_let(reshape(canonical, seed), finished)))
+            .otherwise(_let(reshape(wide, seed), finished)))
 
 
 # ---- detection ----------------------------------------------------------------------------------
@@ -262,7 +279,8 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, surrogate) of distinct (kind, canonical, gender), all surrogates distinct.
 
     A round keeps, of candidates that are no original and not yet given, the
-    one of the smallest canonical value for each; the others draw anew.
+    one of the smallest canonical value for each; the others draw anew, after
+    SHAPED_ROUNDS from ever wider formats.
     """
     originals = staged(entities, "pii-entities")
     pending, given = originals, None
@@ -279,11 +297,11 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
                          "pii-pending")
         if pending.isEmpty():
             return given
-    raise ValueError("a format has fewer values than the corpus has entities of it")
+    raise ValueError(f"entities without a surrogate after {MAX_ROUNDS} rounds of ever wider formats")
 
 
 def rendered(kind: Column, value: Column, made: Column) -> Column:
-    """A surrogate in the format of the value: its separators, or its case."""
+    """A surrogate in the format of the value: its separators, or its case; what is longer follows at the end."""
     def next_char(c, i):
         before = F.length(F.regexp_replace(value.substr(F.lit(1), i), "[^0-9A-Za-z]", ""))
         return F.when(c.rlike("[0-9A-Za-z]"), made.substr(before + 1, F.lit(1))).otherwise(c)
@@ -291,7 +309,9 @@ def rendered(kind: Column, value: Column, made: Column) -> Column:
              .when(F.upper(value.substr(F.lit(1), F.lit(1))) == value.substr(F.lit(1), F.lit(1)),
                    F.concat(F.upper(made.substr(F.lit(1), F.lit(1))), made.substr(F.lit(2), F.length(made))))
              .otherwise(made))
-    return (F.when(kind.isin("phone", "card", "ssn", "iban"), _chars(value, next_char))
+    n = F.length(F.regexp_replace(value, "[^0-9A-Za-z]", ""))
+    return (F.when(kind.isin("phone", "card", "ssn", "iban"),
+                   F.concat(_chars(value, next_char), made.substr(n + 1, F.length(made))))
             .when(kind.isin("given", "family"), cased).otherwise(made))
 
 
