@@ -116,8 +116,9 @@ def test_secrets_without_letters_and_digits(spark):
     assert got[0].text.split(" ")[1] == got[5].text.split("=", 1)[1]
 
 
-def test_formats_short_of_values_are_widened(spark):
+def test_formats_short_of_values_are_widened(spark, monkeypatch):
     """More entities of a format than it has values that are no originals."""
+    monkeypatch.setattr(pii, "SHAPED_ROUNDS", 2)
     given = [("email", f"{a}@x.org", None) for a in "abcdefghijklmnopqrstuvwxyz"] + [("email", "...@y.org", None)]
     given += [("phone", f"1{i:03d}", None) for i in range(700)] + [("secret", "a*****", None), ("secret", "b*****", None)]
     df = spark.createDataFrame(given, "kind string, canonical string, gender string")
@@ -133,3 +134,16 @@ def test_formats_short_of_values_are_widened(spark):
 def test_short_numbers_are_no_phones(spark):
     got = hidden(spark, ["up by +1500 today", "+683 4002 is one", "+12 34 56 too few"])
     assert [got[i].n_entities for i in range(3)] == [0, 1, 0] and "4002" not in got[1].text
+
+
+def test_letters_outside_the_alphabets(spark):
+    """Every letter that the alphabets lack is replaced, within its script where that has a list."""
+    locals_ = {"łšőž": "[à-ÿ]{4}", "龍鳳": r"[\u4e00-\u9fff]{2}", "힣훈": "[가-힣]{2}", "สมชาย": "[ก-ฮ]{5}", "έόύ": "[α-ω]{3}",
+               "ёђў": "[а-я]{3}", "يمنه": r"[\u0628-\u0648]{4}", "ऄॐ": r"[\u0915-\u0939]{2}", "ぁゔ": r"[\u3042-\u3093]{2}",
+               "ァヴ": r"[\u30a2-\u30f3]{2}", "ײ": "[א-ת]", "٣٤٥": r"[\u0660-\u0669]{3}", "ბᲐ": None, "அஆ": "[a-z]{2}"}
+    got = hidden(spark, [f"{x}@ex.org" for x in locals_] + ["password=" + "龍鳳龜" * 2])
+    for i, (x, kind) in enumerate(locals_.items()):
+        local = got[i].text.split("@")[0]
+        assert got[i].n_entities == 1 and (kind is None or re.fullmatch(kind, local))
+        assert local != x
+    assert re.fullmatch(r"password=[\u4e00-\u4ebf]{6}", got[len(locals_)].text)

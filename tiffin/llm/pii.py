@@ -42,7 +42,7 @@ SECRET_LABEL = r"(?i:password|passwd|pwd|token|secret|api[_\-]?key)\s{0,3}[=:]\s
 # Each begins with a look at its first character, which fails at once nearly everywhere.
 _START, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 PATTERNS = (
-    ("email", r"(?=[\p{L}\p{N}._%+\-])(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@(?:[\p{L}\p{N}\-]{1,63}+\.){1,8}\p{L}{2,24}"),
+    ("email", r"(?=[\p{L}\p{N}._%+\-])(?<![\p{L}\p{M}\p{N}._%+\-])[\p{L}\p{M}\p{N}._%+\-]{1,64}+@(?:[\p{L}\p{M}\p{N}\-]{1,63}+\.){1,8}\p{L}{2,24}"),
     ("secret", SECRET_LABEL + r"[^\s\"']{6,}"),
     ("key", r"(?=[Ags])" + _START + r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})" + _END),
     ("hex", r"(?=[0-9a-f])" + _START + r"(?=[a-f]*\d)[0-9a-f]{32,128}+" + _END),
@@ -65,6 +65,22 @@ ALPHABETS = tuple("".join(map(chr, r)) for r in (
     range(0xE0, 0xF7), range(0xF8, 0x100), range(0xC0, 0xD7), range(0xD8, 0xDF),
     range(0x5D0, 0x5EB), range(0x628, 0x63B), range(0x915, 0x93A), range(0x3042, 0x3094), range(0x30A2, 0x30F4),
     range(0xAC00, 0xACC0), range(0x4E00, 0x4EC0)))
+#: Every other letter or digit by its class: the first that fits names the letters that replace it.
+SCRIPTS = tuple((cls, "".join(chr(x) for r in ranges for x in r)) for cls, *ranges in (
+    (r"[\p{IsLatin}&&\p{Lu}]", range(0xC0, 0xD7), range(0xD8, 0xDF)),
+    (r"\p{IsLatin}", range(0xE0, 0xF7), range(0xF8, 0x100)),
+    (r"[\p{IsCyrillic}&&\p{Lu}]", range(0x410, 0x430)), (r"[\p{IsCyrillic}&&\p{L}]", range(0x430, 0x450)),
+    (r"[\p{IsGreek}&&\p{Lu}]", range(0x391, 0x3A2)), (r"[\p{IsGreek}&&\p{L}]", range(0x3B1, 0x3CA)),
+    (r"[\p{IsHebrew}&&\p{L}]", range(0x5D0, 0x5EB)),
+    (r"[\p{IsArabic}&&\p{L}]", range(0x628, 0x63B), range(0x641, 0x649)),
+    (r"[\p{IsDevanagari}&&\p{L}]", range(0x915, 0x93A)), (r"[\p{IsDevanagari}&&\p{M}]", range(0x93E, 0x943)),
+    (r"[\p{IsBengali}&&\p{L}]", range(0x995, 0x9A9)), (r"[\p{IsThai}&&\p{L}]", range(0xE01, 0xE2F)),
+    (r"[\p{IsThai}&&\p{M}]", range(0xE34, 0xE3A)), (r"[\p{IsArmenian}&&\p{Lu}]", range(0x531, 0x557)),
+    (r"[\p{IsArmenian}&&\p{L}]", range(0x561, 0x587)), (r"[\p{IsGeorgian}&&\p{L}]", range(0x10D0, 0x10F1)),
+    (r"\p{IsHiragana}", range(0x3042, 0x3094)), (r"\p{IsKatakana}", range(0x30A2, 0x30F4)),
+    (r"\p{IsHangul}", range(0xAC00, 0xACC0)), (r"\p{IsHan}", range(0x4E00, 0x4EC0)),
+    (r"[\p{IsArabic}&&\p{Nd}]", range(0x660, 0x66A)), (r"[\p{IsDevanagari}&&\p{Nd}]", range(0x966, 0x970)),
+    (r"\p{Lu}", range(0x41, 0x5B)), (r"\p{L}", range(0x61, 0x7B)), (r"\p{N}", range(0x30, 0x3A))))
 #: What a secret without any letter or digit is drawn from: no white space, no quotes.
 SYMBOLS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
 #: Syllables of names by script: consonants, vowels, endings for women, men and others.
@@ -114,9 +130,13 @@ def symbols(value: Column, seed: Column) -> Column:
 
 
 def reshape(value: Column, seed: Column) -> Column:
-    """A keyed look-alike: each letter or digit by another of its alphabet, all else as it is."""
+    """A keyed look-alike: each letter or digit by another of its alphabet or script, all else as it is."""
     def one(stream, c, i):
-        out = c
+        scripts = c
+        for cls, letters in reversed(SCRIPTS):
+            other = F.lit(letters).substr(_byte(stream, i) % len(letters) + 1, F.lit(1))
+            scripts = F.when(c.rlike(cls), other).otherwise(scripts)
+        out = F.when(c.rlike(r"[\p{L}\p{M}\p{N}]"), scripts).otherwise(c)
         for a in ALPHABETS:
             other = F.lit(a).substr(_byte(stream, i) % len(a) + 1, F.lit(1))
             out = F.when(F.instr(F.lit(a), c) > 0, other).otherwise(out)
