@@ -121,6 +121,7 @@ def test_formats_short_of_values_are_widened(spark, monkeypatch):
     monkeypatch.setattr(pii, "SHAPED_ROUNDS", 2)
     given = [("email", f"{a}@x.org", None) for a in "abcdefghijklmnopqrstuvwxyz"] + [("email", "...@y.org", None)]
     given += [("phone", f"1{i:03d}", None) for i in range(700)] + [("secret", "a*****", None), ("secret", "b*****", None)]
+    given += [("family", chr(x), None) for x in range(0x4E00, 0x4EC0)]
     df = spark.createDataFrame(given, "kind string, canonical string, gender string")
     rows = pii.assign_surrogates(df, "k").collect()
     assert len({(r.kind, r.canonical) for r in rows}) == len({(r.kind, r.surrogate) for r in rows}) == len(rows) == len(given)
@@ -147,3 +148,31 @@ def test_letters_outside_the_alphabets(spark):
         assert got[i].n_entities == 1 and (kind is None or re.fullmatch(kind, local))
         assert local != x
     assert re.fullmatch(r"password=[\u4e00-\u4ebf]{6}", got[len(locals_)].text)
+
+
+def test_labels_and_upper_case_keys(spark):
+    low = "0123456789abcdef0123456789abcdef"
+    got = hidden(spark, ['{"password": "hunter2x", "n": 1}', "{'api_key':'hunter2x'}", '{\\"token\\": \\"hunter2x\\"}', low, low.upper()])
+    for i, shell in enumerate(['{"password": "%s", "n": 1}', "{'api_key':'%s'}", '{\\"token\\": \\"%s\\"}']):
+        before, after = shell.split("%s")
+        assert got[i].n_entities == 1 and "hunter2x" not in got[i].text, got[i]
+        assert got[i].text.startswith(before) and got[i].text.endswith(after.lstrip("\\")), got[i]
+    assert got[4].text == got[3].text.upper() != low.upper() and got[3].text == got[3].text.lower()
+
+
+#: Mentions that stand in a context (found) and bare ones of unlisted given names (not found).
+IN_CONTEXT = [("Name: {}", "Priya Sharma"), ('{{"name": "{}"}}', "Oluwaseun Adeyemi"), ("Dear {},", "Priya"), ("Dear {},", "Ngozi Okafor"),
+              ("Best regards,\n{}", "Tuan Nguyen"), ("Sincerely,\n\n{}\n", "J. Kowalski"), ("Mit freundlichen Grüßen\n{}", "Jörg Weiß"),
+              ("姓名：{}", "王小明"), ("이름: {}", "김철수"), ("الاسم: {}", "محمد علي"), ("Full name: {}", "Zoë van Dyk".replace("van", "Van")),
+              ("Уважаемый {}!", "Арсен"), ("नाम: {}", "प्रिया शर्मा"), ("שם: {}", "נועה"), ("Dear Mr. {},", "Quux")]
+BARE = ["Priya Sharma called today", "we met Ngozi Okafor there", "昨天王小明来了", "어제 김철수 왔다"]
+
+
+def test_names_by_context(spark):
+    texts = [c.format(n) for c, n in IN_CONTEXT] + BARE + ["Dear Sir,", "Dear Customers,", "the file name: Readme", "Dear me"]
+    got = hidden(spark, texts)
+    for i, (c, name) in enumerate(IN_CONTEXT):
+        assert got[i].n_entities >= 1, texts[i]
+        assert not [w for w in name.split(" ") if len(w) > 2 and w in got[i].text], got[i]
+        assert got[i].text.startswith(c.format("|").split("|")[0]) and got[i].text.endswith(c.format("|").split("|")[1])
+    assert all(got[i].n_entities == 0 and got[i].text == texts[i] for i in range(len(IN_CONTEXT), len(texts)))

@@ -38,14 +38,29 @@ _GIVEN_M = ("Alexander", "Andrew", "Antonio", "Carlos", "Charles", "Christopher"
 _WORD = r"\p{Lu}[\p{L}'’\-]*\p{L}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = r"(?:" + "|".join(_TITLES_F + _TITLES_M + _TITLES_N) + r")\.?"
-SECRET_LABEL = r"(?i:password|passwd|pwd|token|secret|api[_\-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
+SECRET_LABEL = r"(?i:password|passwd|pwd|token|secret|api[_\-]?key)(?:\\?[\"'])?\s{0,3}[=:]\s{0,3}(?:\\?[\"'])?"
+# What stands before a name and tells it, whatever the name: a field's label, a salutation, the line above a signature.
+_FIELD = (r"(?<![\p{L}\p{N}] {0,2})(?:(?:[Ff]ull|[Ff]irst|[Ll]ast|[Ff]amily|[Gg]iven|[Cc]ustomer|[Cc]ontact|[Pp]atient|[Ee]mployee)"
+          r"[ _]?)?(?:[Nn]ame|NAME|Nombre|Apellidos?|Nom|Prénom|Vorname|Nachname|Имя|Фамилия|Όνομα|Signed by|Attn|姓名|이름|성명|الاسم"
+          r"|שם|नाम)(?:\\?[\"'])?[ \t]{0,3}[:：=][ \t]{0,3}(?:\\?[\"'])?")
+_SALUTATION = (r"(?:Dear|Liebe|Lieber|Chère|Cher|Estimada|Estimado|Querida|Querido|Уважаемая|Уважаемый|Дорогая|Дорогой"
+               r"|Αγαπητή|Αγαπητέ) (?!(?:Sir|Sirs|Madam|All|Team|Customer|Customers|Friend|Friends|Colleague|Colleagues|Reader"
+               r"|Readers|Hiring|Editor|Kolleg|Freund|Collègue|Ami|Client|Cliente|Amig|Коллег|Друг|Друзья)[\p{L}]{0,4}\b)")
+_CLOSING = (r"(?:Sincerely(?: yours)?|Yours (?:sincerely|truly|faithfully)|(?:(?:Best|Kind|Warm) )?[Rr]egards|Best wishes|Cheers"
+            r"|Mit freundlichen Grüßen|(?:Viele|Beste|Liebe) Grüße|Cordialement|Bien à vous|Atentamente|Un saludo|С уважением"
+            r"|Με εκτίμηση),?[ \t]{0,3}\r?\n\s{0,3}")
+_CONTEXT = f"(?:{_FIELD}|{_SALUTATION}|{_CLOSING})"
+# Scripts without case: words of a few letters.
+_PART = r"(?:" + _WORD + r"|\p{Lu}\.)"
+_UNCASED = r"(?:[\p{IsHan}]{2,4}|[\p{IsHangul}]{2,4}|[\p{IsHiragana}\p{IsKatakana}\p{IsHan}ー・]{2,12}" + "".join(
+    rf"|[\p{{Is{x}}}&&[\p{{L}}\p{{M}}]]{{2,20}}" for x in ("Arabic", "Hebrew", "Devanagari", "Bengali", "Thai", "Georgian")) + ")"
 # Each begins with a look at its first character, which fails at once nearly everywhere.
 _START, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 PATTERNS = (
     ("email", r"(?=[\p{L}\p{N}._%+\-])(?<![\p{L}\p{M}\p{N}._%+\-])[\p{L}\p{M}\p{N}._%+\-]{1,64}+@(?:[\p{L}\p{M}\p{N}\-]{1,63}+\.){1,8}\p{L}{2,24}"),
     ("secret", SECRET_LABEL + r"[^\s\"']{6,}"),
     ("key", r"(?=[Ags])" + _START + r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})" + _END),
-    ("hex", r"(?=[0-9a-f])" + _START + r"(?=[a-f]*\d)[0-9a-f]{32,128}+" + _END),
+    ("hex", r"(?=[0-9A-Fa-f])" + _START + r"(?=[A-Fa-f]*\d)[0-9A-Fa-f]{32,128}+" + _END),
     ("iban", r"(?=[A-Z])" + _START + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END),
     ("ip", r"(?=\d)(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)"),
     ("ssn", r"(?=\d)(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"),
@@ -53,7 +68,9 @@ PATTERNS = (
     ("phone", r"(?=[+(\d])" + _START + r"(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,5}(?<=" + r"\d[ .()\-]{0,2}" * 6 + r"\d)"
               r"|\(\d{3}\) ?\d{3}[.\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})" + _END),
     ("name", r"(?=\p{Lu})" + _START + "(?:" + _TITLE + r"(?: " + _WORD + r"){1,3}|(?:" + "|".join(_GIVEN_F + _GIVEN_M)
-             + r")(?: " + _WORD + r"){1,2})" + _END),
+             + r")(?: " + _WORD + r"){1,2})" + _END
+             + r"|(?=[\p{Lu}ncflgpe姓이성اשन])" + _START + _CONTEXT + r"(?:" + _TITLE + r" )?(?:" + _WORD + r"(?: " + _PART
+             + r"){0,3}|" + _PART + r"(?: " + _PART + r"){0,2} " + _WORD + "|" + _UNCASED + r"(?: " + _UNCASED + r"){0,3})(?![\p{L}\p{M}\p{N}])"),
 )
 #: Whatever is no name has one of these.
 MARKS, MARKED = r"[0-9@=:]", ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-")
@@ -160,7 +177,7 @@ def with_check_digit(digits: Column) -> Column:
 
 def script_of(word: Column) -> Column:
     return (F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek")
-            .otherwise("latin"))
+            .when(word.rlike(r"\p{IsLatin}"), "latin").otherwise("other"))
 
 
 def _made_name(canonical: Column, gender: Column, seed: Column, attempt: int, endings: dict) -> Column:
@@ -196,7 +213,7 @@ def widened(kind: Column, canonical: Column, attempt: int) -> Column:
 def surrogate(kind: Column, canonical: Column, gender: Column, key: str, attempt: int) -> Column:
     """The candidate of a round for (kind, canonical, gender), in canonical form."""
     seed = F.concat_ws("|", F.lit(key), kind, canonical, F.lit(str(attempt)))
-    wide, n_octets = widened(kind, canonical, attempt), 4 + max(0, attempt - SHAPED_ROUNDS + 1)
+    wide, more = widened(kind, canonical, attempt), max(0, attempt - SHAPED_ROUNDS + 1)
     size, first = F.length(wide), canonical.substr(F.lit(1), F.lit(1))
     host = canonical.substr(F.instr(canonical, "@") + 1, size)
     top = F.regexp_extract(host, r"(\.\p{L}+)$", 1)
@@ -215,12 +232,14 @@ def surrogate(kind: Column, canonical: Column, gender: Column, key: str, attempt
 
     def finished(x: Column) -> Column:
         return reduce(lambda out, k: F.when(kind == k, made[k](x)).otherwise(out), made, x)
-    octets = _let(_stream(seed, F.lit(n_octets)), lambda s: F.concat_ws(
-        ".", *[(_byte(s, i) % 254 + 1).cast("string") for i in range(n_octets)]))
+    octets = _let(_stream(seed, F.lit(4 + more)), lambda s: F.concat_ws(
+        ".", *[(_byte(s, i) % 254 + 1).cast("string") for i in range(4 + more)]))
     return (F.when(kind.isin("secret", "hex") & canonical.rlike("^[0-9a-f]+$"),
                    _stream(seed, size).substr(F.lit(1), size))
             .when((kind == "secret") & ~canonical.rlike(r"[\p{L}\p{N}]"), symbols(wide, seed))
             .when(kind == "ip", octets)
+            .when(kind.isin("given", "family") & (script_of(canonical) == "other"), reshape(F.concat(
+                canonical, F.repeat(first, F.lit(more))), seed))
             .when(kind == "given", _made_name(canonical, gender, seed, attempt, {}))
             .when(kind == "family", _made_name(canonical, gender, seed, attempt, FAMILY_ENDINGS))
             .otherwise(_let(reshape(wide, seed), finished)))
@@ -240,7 +259,7 @@ def kind_of(entity: Column) -> Column:
 
 
 def canonical_form(kind: Column, value: Column) -> Column:
-    return (F.when(kind.isin("email", "given", "family"), F.lower(value))
+    return (F.when(kind.isin("email", "given", "family", "hex"), F.lower(value))
             .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(value, r"\D", ""))
             .when(kind == "iban", F.replace(value, F.lit(" "), F.lit("")))
             .otherwise(value))
@@ -266,13 +285,16 @@ def segments(hits: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "check", "copies", "at", "pair.gap", "pair.entity")
     rows = rows.withColumn("kind", kind_of(F.col("entity")))
     # a title stays, the last word after a title or a listed given name is the family name
-    title = F.regexp_extract("entity", f"^({_TITLE} )", 1)
+    context = F.regexp_extract("entity", f"^({_CONTEXT})", 1)
+    title = F.concat(context, F.regexp_extract(F.col("entity").substr(F.length(context) + 1, F.length("entity")), f"^({_TITLE} )", 1))
     words = F.split(F.col("entity").substr(F.length(title) + 1, F.length("entity")), " ")
-    plain = F.rtrim(F.replace(title, F.lit("."), F.lit("")))
+    plain = F.rtrim(F.replace(title.substr(F.length(context) + 1, F.length(title)), F.lit("."), F.lit("")))
     by_title = F.when(plain.isin(*_TITLES_F), "f").when(plain.isin(*_TITLES_M), "m")
 
     def word(w, i):
-        is_given = (_listed(w, _GIVEN_F + _GIVEN_M) | (i < F.size(words) - 1)) & ~((i > 0) & (i == F.size(words) - 1))
+        # a context's only word without a title is taken as a given name
+        is_given = (_listed(w, _GIVEN_F + _GIVEN_M) | (i < F.size(words) - 1)
+                    | ((context != "") & (plain == ""))) & ~((i > 0) & (i == F.size(words) - 1))
         gender = (F.when(is_given & _listed(w, _GIVEN_F), "f").when(is_given & _listed(w, _GIVEN_M), "m")
                   .when(~is_given & w.rlike("(?:ова|ева|ина|ая)$"), "f").when(~is_given & w.rlike("(?:ов|ев|ин|ий)$"), "m")
                   .otherwise(by_title))
@@ -332,7 +354,8 @@ def rendered(kind: Column, value: Column, made: Column) -> Column:
     n = F.length(F.regexp_replace(value, "[^0-9A-Za-z]", ""))
     return (F.when(kind.isin("phone", "card", "ssn", "iban"),
                    F.concat(_chars(value, next_char), made.substr(n + 1, F.length(made))))
-            .when(kind.isin("given", "family"), cased).otherwise(made))
+            .when(kind.isin("given", "family"), cased)
+            .when((kind == "hex") & value.rlike("^[0-9A-F]*[A-F][0-9A-F]*$"), F.upper(made)).otherwise(made))
 
 
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
