@@ -10,6 +10,9 @@ line in an article is found too.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +37,7 @@ EQUIVALENT = (
 COPYRIGHT_LINE = (r"(?m)^[ \t*#/;\-]*(?:(?:copyright[ \t]*(?:\(c\)|©|[\d<\[{])|(?:\(c\)|©)[ \t]*[\d<\[{])[^\n]*"
                   r"|all rights reserved\.?[ \t]*)$")
 
-#: Known texts, (identifier, text).
-KNOWN_TEXTS = (
+_BODIES = (
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
 limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
@@ -92,6 +94,21 @@ http://www.apache.org/licenses/LICENSE-2.0
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on
 an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
 specific language governing permissions and limitations under the License."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are
+permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -102,6 +119,33 @@ specific language governing permissions and limitations under the License."""),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Licensed under CC0 1.0."),
 )
+#: Title lines that stand above a body in licence files.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License',
+                     "Simplified BSD License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License',
+                     "New BSD License", "BSD License"),
+    "Unlicense": ("The Unlicense",),
+}
+
+
+def _forms(bodies) -> list[tuple[str, str]]:
+    """Every body as it is; entire licences also without numbers of conditions, and under each of their titles."""
+    out = list(bodies)
+    for name, body in bodies:
+        if name in TITLES and "\n" in body:
+            plain = re.sub(r"(?m)^\d\. ", "", body)
+            out += [(name, plain)] * (plain != body)
+            out += [(name, f"{t}\n{b}") for t in TITLES[name] for b in dict.fromkeys((body, plain))]
+    return out
+
+
+#: Known texts, (identifier, text); long licences are files, named by identifier.
+KNOWN_TEXTS = (*_forms(_BODIES), *((p.name.removesuffix(".txt"), p.read_text(encoding="utf-8")) for p in sorted(
+    Path(__file__).with_name("known_licenses").glob("*.txt"))))
 
 
 def canonical_lines(text: Column) -> Column:
