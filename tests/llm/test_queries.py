@@ -5,7 +5,7 @@ import pytest
 
 from tiffin.llm import queries
 
-TABLES = ["documents", "pages", "benchmark", "labels"]
+TABLES = ["documents", "pages", "benchmark", "labels", "conversations"]
 
 
 def plain(v):

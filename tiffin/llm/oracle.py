@@ -147,3 +147,85 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(le
        sha256(coalesce(array_to_string(n.ids, ','), '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
 """
+
+
+def op11(conv_id: int, roles: list[str], text: str) -> str:
+    """The turns and their mask from the source; lengths by whether a text holds control strings or an escaping backslash."""
+    own = ", ".join(f"({conv_id}, {i}, {_quoted(r)}, {_quoted(text)})" for i, r in enumerate(roles))
+    return rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES {own}) AS t(conv_id, turn, role, text)),
+sized AS (
+  SELECT *, replace(replace(text, '### ', '##\# '), '</turn>', '<\/turn>') AS marked,
+         replace(replace(replace(text, '\', '\\'), '### ', '##\# '), '</turn>', '<\/turn>') AS doubled,
+         regexp_matches(text, '\\.', 's') AS escapes,
+         CASE WHEN role IN ('system', 'user', 'assistant') THEN length(role)
+              ELSE 1 + length(replace(replace(replace(replace(role, '\', '\\'), '### ', '##\# '), '</turn>', '<\/turn>'), ': ', ':\ ')) END AS head
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(14 + head + length(CASE WHEN escapes THEN doubled ELSE marked END))::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ["doc_id", "source", "lang", n_chars, "text"])) + ")"
+
+
+#: Unsigned CRC-32 of a decimal number, bit by bit: the divisor is a fixed value of the checksum.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+             lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+OP13 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+         CASE WHEN {_CRC32} % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS claim
+  FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+trees AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, [sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')) FOR i IN range((len(nodes) + 1) // 2)]
+  FROM trees WHERE len(nodes) > 1),
+subroots AS (
+  SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+  FROM trees WHERE len(nodes) = 1),
+tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY tree) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, [sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')) FOR i IN range((len(nodes) + 1) // 2)]
+  FROM tops WHERE len(nodes) > 1),
+roots AS (SELECT nodes[1] AS root, level AS above FROM tops WHERE len(nodes) = 1),
+steps AS (
+  SELECT p.lang, p.place, t.level, (p.place >> t.level) % 2 AS is_right, t.nodes[xor(p.place >> t.level, 1) + 1] AS sibling
+  FROM placed p JOIN trees t ON p.lang IS NOT DISTINCT FROM t.lang JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+  WHERE t.level < s.height
+  UNION ALL
+  SELECT p.lang, p.place, s.height + t.level, (s.tree >> t.level) % 2, t.nodes[xor(s.tree >> t.level, 1) + 1]
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang CROSS JOIN tops t CROSS JOIN roots r WHERE t.level < r.above),
+proofs AS (
+  SELECT lang, place, list({{'is_right': is_right, 'sibling': coalesce(sibling, '')}} ORDER BY level) AS proof
+  FROM steps GROUP BY lang, place),
+folds AS (
+  SELECT p.lang, p.place, 0 AS level, claim AS node, coalesce(proof, []) AS proof
+  FROM placed p LEFT JOIN proofs f ON p.lang IS NOT DISTINCT FROM f.lang AND p.place = f.place
+  UNION ALL
+  SELECT lang, place, level + 1, sha256(CASE WHEN proof[level + 1].is_right = 1 THEN proof[level + 1].sibling || node
+                                             ELSE node || proof[level + 1].sibling END), proof
+  FROM folds WHERE level < len(proof))
+SELECT p.doc_id, p.leaf, s.subroot, r.root,
+       sha256(coalesce(array_to_string([x.sibling FOR x IN f.proof], ''), '')) AS proof_sha256, f.node AS folded_root,
+       f.node = r.root AS verified
+FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang CROSS JOIN roots r
+JOIN folds f ON p.lang IS NOT DISTINCT FROM f.lang AND p.place = f.place AND f.level = len(f.proof)
+"""
