@@ -10,6 +10,8 @@ from tiffin.session import shared_dir
 #: A word by the whitespace contract: a run of anything but ASCII whitespace.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,6 +29,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session dealing Arrow batches of at most ``BATCH_BYTES`` (or one row) to Python.
+
+    Spark's default of 64 MB a batch is held several times over by each task;
+    a session that has another setting keeps it.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_CONF) == "67108864b":
+        conf.set(BATCH_CONF, BATCH_BYTES)
+    return df
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(f"`{col}`").cast("string"), F.lit(""))
 

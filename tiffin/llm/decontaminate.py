@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tiffin.llm import tokens
-from tiffin.llm.common import staged, text_or_empty
+from tiffin.llm.common import in_batches, staged, text_or_empty
 
 WINDOW = 10
 #: Bits of the filters sent to all tasks: 512 KB each, whatever the data.
@@ -77,7 +77,7 @@ def hash_filter(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({
                 "word": word[cut] if len(word) else word,
                 "bits": (np.bitwise_or.reduceat(bit, cut) if len(word) else bit).view(np.int64)})
-    rows = (hashes.mapInArrow(slots, "word long, bits long")
+    rows = (in_batches(hashes).mapInArrow(slots, "word long, bits long")
             .groupBy("word").agg(F.bit_or("bits").alias("bits")).collect())
     out = np.zeros(1 << (bits - 6), np.int64)
     for r in rows:
@@ -109,7 +109,7 @@ def term_counts(docs: DataFrame, wanted: np.ndarray | None, id_col: str = "doc_i
                 terms = terms[in_filter(share.value, terms)]
             term, n = np.unique(terms, return_counts=True)
             yield pa.RecordBatch.from_pydict({"term": term, "n": n.astype(np.int64)})
-    rows = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "term long, n long")
+    rows = in_batches(docs.select(text_or_empty(text_col).alias("text"))).mapInArrow(count, "term long, n long")
     return rows.groupBy("term").agg(F.sum("n").alias("n"))
 
 
@@ -132,7 +132,7 @@ def postings(docs: DataFrame, wanted: np.ndarray | None, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [pa.array(terms), batch.column(0).take(at), batch.column(1).take(at), pa.array(pos.astype(np.int32))],
                 names=["term", "doc_id", "check", "pos"])
-    return rows.mapInArrow(post, f"term long, doc_id {kind}, check long, pos int")
+    return in_batches(rows).mapInArrow(post, f"term long, doc_id {kind}, check long, pos int")
 
 
 # ---- test passages ------------------------------------------------------------------------------
@@ -148,7 +148,7 @@ def item_terms(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(pos.astype(np.int32)), pa.array(terms)],
                 names=["item_id", "item", "pos", "term"])
-    return rows.mapInArrow(part, "item_id string, item long, pos int, term long")
+    return in_batches(rows).mapInArrow(part, "item_id string, item long, pos int, term long")
 
 
 def window_anchors(counts: list[int], width: int) -> list[tuple[int, int]]:
@@ -181,7 +181,7 @@ def lookups(terms: DataFrame, counts: DataFrame, width: int) -> DataFrame:
                 zip(*out) if out else [[]] * 6,
                 [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()])],
                 names=["item", "item_id", "p", "q", "term_p", "term_q"])
-    return rows.mapInArrow(part, "item long, item_id string, p int, q int, term_p long, term_q long")
+    return in_batches(rows).mapInArrow(part, "item long, item_id string, p int, q int, term_p long, term_q long")
 
 
 def diagonals(index: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -251,7 +251,7 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, id_co
             text = pc.if_else(need, batch.column(2), pa.scalar(None, batch.column(2).type))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), text],
                                              names=["doc_id", "check", "n_words", "text"])
-    rows = rows.mapInArrow(counted, f"doc_id {kind}, check long, n_words long, text string")
+    rows = in_batches(rows).mapInArrow(counted, f"doc_id {kind}, check long, n_words long, text string")
     joined = rows.join(per_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("check") == F.col("c")), "left")
     joined = joined.select("doc_id", "n_words", F.when(F.col("found").isNotNull(), F.col("text")).alias("text"), "found")
     result = f"doc_id {kind}, n_words long, matches array<struct<item_id:string,start:int,end:int>>"
@@ -273,7 +273,7 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, id_co
                 out.append(matches)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, schema.field("matches").type)], schema=schema)
-    return joined.mapInArrow(compare, result)
+    return in_batches(joined).mapInArrow(compare, result)
 
 
 def _empty(spark: SparkSession, ddl: str) -> DataFrame:

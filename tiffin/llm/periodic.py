@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.llm import tokens
-from tiffin.llm.common import text_or_empty
+from tiffin.llm.common import in_batches, text_or_empty
 
 MIN_WORDS, MIN_POWER = 6, 4
 
@@ -311,4 +311,5 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 n, found, text = scan_batch(batch["text"])
                 yield pa.RecordBatch.from_arrays([batch["doc_id"], n, found, text],
                                                  ["doc_id", "n_words", "runs", "collapsed"])
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(scan, schema)
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return in_batches(rows).mapInArrow(scan, schema)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.llm import tokens
-from tiffin.llm.common import staged, text_or_empty
+from tiffin.llm.common import in_batches, staged, text_or_empty
 
 #: Documented bound of the training sample, in rows; 2**BITS features.
 MAX_TRAIN_ROWS = 6_000
@@ -184,7 +184,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     score by the bias; without any label every score is 0.5.  Other columns
     are not read.
     """
-    score = scorer(docs.sparkSession, fit(docs, labels, id_col, text_col, label_col, folds))
+    score = scorer(in_batches(docs).sparkSession, fit(docs, labels, id_col, text_col, label_col, folds))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), score(text_or_empty(text_col)).alias("score"))
     return rows.select("doc_id", (remainder(F.col("doc_id"), folds) == 0).alias("held_out"), "score",
                        (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -193,7 +193,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "quality", folds: int = 5, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
-    score = scorer(docs.sparkSession, fit(docs, labels, id_col, text_col, label_col, folds))
+    score = scorer(in_batches(docs).sparkSession, fit(docs, labels, id_col, text_col, label_col, folds))
     mark = "score"
     while mark in docs.columns:
         mark += "_"

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import staged
+from tiffin.llm.common import in_batches, staged
 from tiffin.llm.components import components
 
 HASH_SEED = 42
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)],
                                              schema=pa.schema([id_field, pa.field("fp", pa.int64())]))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(part, f"doc_id {kind}, fp long")
+    return in_batches(rows).mapInArrow(part, f"doc_id {kind}, fp long")
 
 
 def _arrow_type(rows: DataFrame, col: str):
@@ -211,7 +211,7 @@ def near_links(fps: DataFrame, radius: int = RADIUS, n_pivots: int = N_PIVOTS,
                      .select("choice", "key", "fp", "n"), "simhash-members")
     small = (members.where(F.col("n") <= pair_limit).select("choice", "key", "fp")
              .repartition("choice", "key").sortWithinPartitions("choice", "key", "fp"))
-    links = small.mapInArrow(lambda it: _links_of_sorted(it, radius, n_pivots), "a long, b long")
+    links = in_batches(small).mapInArrow(lambda it: _links_of_sorted(it, radius, n_pivots), "a long, b long")
     return links.union(_meeting_links(members.where(F.col("n") > pair_limit), radius))
 
 

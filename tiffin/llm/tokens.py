@@ -16,7 +16,7 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _S = np.uint64(32)
 
 #: A piece holds whole texts of about so many bytes (one text at least).
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -52,6 +52,7 @@ def pieces(texts: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[tuple[in
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + piece_bytes, "right")) - 1)
         yield row, end, data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
         row = end
+    pa.default_memory_pool().release_unused()  # workers live on between stages
 
 
 def token_spans(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
