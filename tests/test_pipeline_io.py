@@ -44,7 +44,7 @@ def test_pipeline_gate_trips_after_recording(spark):
     with pytest.raises(pipeline.GateFailed):
         pipeline.run(spark, raw, root, dt.datetime(2024, 1, 3))
     # quarantine and the health row exist, nothing was published
-    assert spark.read.parquet(f"{root}/rejected/orders").count() > 0
+    assert spark.read.parquet(f"{root}/validated/orders/outcome=rejected").count() > 0
     assert spark.read.parquet(f"{root}/meta/validation_runs").count() == 1
     assert not os.path.exists(f"{root}/warehouse")
     # the test-run row is written all the same

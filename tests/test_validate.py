@@ -94,3 +94,12 @@ def test_text_numbers_and_equal_seq(spark):
     assert got == {1: "non_positive_order_total", 2: None, 3: None, 4: None}
     same = spark.createDataFrame([(1, "a", 0), (1, "b", 0)], "customer_id long, name string, seq long")
     assert V.validate_customers(same).where("reject_reason = 'duplicate_customer_id'").count() == 1
+
+
+def test_report_and_tags_agree_on_rows_equal_throughout(spark):
+    df = spark.createDataFrame([(1, "a", 0), (1, "a", 0), (1, "a", 1), (2, "b", 2), (None, "c", 3), (None, "c", 3)],
+                               "customer_id long, name string, seq long")
+    tagged = V.tagged_outcomes(V.validate_customers(df)).collect()
+    counted = V.customer_outcomes(df).collect()
+    want = {None: 3, "duplicate_customer_id": 1, "missing_customer_id": 2}
+    assert {r.reject_reason: r["rows"] for r in tagged} == want == {r.reject_reason: r["rows"] for r in counted}

@@ -65,6 +65,11 @@ def number(col: str) -> Column:
     return F.col(col).try_cast("double")
 
 
+def row_place(df: DataFrame, seq: str = "seq") -> Column:
+    """What orders the rows of one key; equal for rows that are equal throughout."""
+    return F.struct(F.col(seq).alias("seq"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
 def duplicate_flag(df: DataFrame, key: str, seq: str = "seq", out: str = "_dup") -> DataFrame:
     """V7: TRUE for every occurrence of ``key`` after the first in ``seq`` order.
 
@@ -72,8 +77,7 @@ def duplicate_flag(df: DataFrame, key: str, seq: str = "seq", out: str = "_dup")
     ``seq`` are ordered by a hash of the whole row; rows equal throughout
     can't be told apart and share the flag.
     """
-    place = F.struct(F.col(seq).alias("seq"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
-    placed = df.withColumn("_place", place)
+    placed = df.withColumn("_place", row_place(df, seq))
     first = placed.groupBy(key).agg(F.min("_place").alias("_first"))
     return (lookup_join(placed, first, [key], null_safe=True)
             .withColumn(out, F.col("_place") > F.col("_first")).drop("_place", "_first"))
@@ -192,13 +196,14 @@ def tagged_outcomes(tagged: DataFrame, *by: str, reason_col: str = REASON) -> Da
     return tagged.groupBy(*by, F.col(reason_col).alias(REASON)).agg(_rows())
 
 
-def customer_outcomes(df: DataFrame) -> DataFrame:
-    """V2 as counts: of each id one row is valid, the others are duplicates."""
-    per_id = df.groupBy("customer_id").agg(_rows())
+def customer_outcomes(df: DataFrame, seq: str = "seq") -> DataFrame:
+    """V2 as counts: of each id the rows at the first place are valid, the others are duplicates."""
+    placed = df.groupBy("customer_id", row_place(df, seq).alias("_place")).agg(_rows())
+    per_id = placed.groupBy("customer_id").agg(F.sum("rows").alias("rows"), F.min_by("rows", "_place").alias("first"))
     named = F.col("customer_id").isNotNull()
     outcome = F.when(~named, F.array(F.struct(F.lit(MISSING_CUSTOMER_ID).alias(REASON), "rows"))).otherwise(F.array(
-        F.struct(F.lit(None).cast("string").alias(REASON), F.lit(1).cast("long").alias("rows")),
-        F.struct(F.lit(DUPLICATE_CUSTOMER_ID).alias(REASON), (F.col("rows") - 1).alias("rows"))))
+        F.struct(F.lit(None).cast("string").alias(REASON), F.col("first").alias("rows")),
+        F.struct(F.lit(DUPLICATE_CUSTOMER_ID).alias(REASON), (F.col("rows") - F.col("first")).alias("rows"))))
     return (per_id.select(F.explode(outcome).alias("o")).select(f"o.{REASON}", "o.rows")
             .where("rows > 0").groupBy(REASON).agg(F.sum("rows").alias("rows")))
 
@@ -223,8 +228,12 @@ def outcomes(raw: dict[str, DataFrame], tagged_orders: DataFrame, valid_orders:
 
 
 def rejection_report(counts: dict[str, DataFrame]) -> DataFrame:
-    """(entity, valid, rejected, total, rejection_rate), one row per entity (rate 0 when empty)."""
+    """(entity, valid, rejected, total, rejection_rate), one row per entity (rate 0 when empty).
+
+    Takes outcomes, or tagged rows, which are counted first.
+    """
     good = F.col(REASON).isNull()
+    counts = {name: df if "rows" in df.columns else tagged_outcomes(df) for name, df in counts.items()}
     frames = [df.agg(F.coalesce(F.sum(F.when(good, F.col("rows"))), F.lit(0)).alias("valid"),
                      F.coalesce(F.sum(F.when(~good, F.col("rows"))), F.lit(0)).alias("rejected"))
               .select(F.lit(name).alias("entity"), "valid", "rejected") for name, df in counts.items()]

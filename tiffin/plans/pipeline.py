@@ -48,23 +48,30 @@ class RunResult:
     tests_total: int = 0
     tests_passed: int = 0
     published: dict = field(default_factory=dict)
+    malformed: dict = field(default_factory=dict)
 
 
 def run_files(spark: SparkSession, directory: str, root: str | None, run_at: dt.datetime, **options) -> RunResult:
     """J1 from the raw files ``raw_<entity>.csv`` of a folder.
 
-    Each file is read once, by its header, and landed as parquet; restaurants
-    get their position in the file (from 0) as their id, which orders refer to.
+    Files are read by their own headers and landed as parquet.  Records that
+    don't fit their header go to ``malformed/<entity>`` with file and record
+    number, and are counted in the result; they are no part of the rates of
+    the gate.  Restaurants get their position in the file (from 0) as their
+    id, which orders refer to.
     """
     root = (root or shared_dir(spark, "tiffin-run")).rstrip("/")
-    raw = {}
+    raw, malformed = {}, {}
     for entity in validate.ENTITIES:
-        df = io.read_csv(spark, f"{directory.rstrip('/')}/raw_{entity}.csv", io.RAW_COLUMNS[entity])
-        raw[entity] = io.land(df, f"{root}/landed/{entity}")
+        raw[entity], bad, malformed[entity] = io.land_csv(
+            spark, f"{directory.rstrip('/')}/raw_{entity}.csv", io.RAW_COLUMNS[entity], f"{root}/landed/{entity}")
+        io.write_table(bad, f"{root}/malformed/{entity}")
     raw["restaurants"] = with_position(raw["restaurants"], ["seq"], "restaurant_id").withColumn(
         "restaurant_id", F.col("restaurant_id") - 1)
     raw["orders"] = raw["orders"].withColumn("restaurant_id", F.col("restaurant_id").try_cast("long"))
-    return run(spark, raw, root, run_at, **options)
+    res = run(spark, raw, root, run_at, **options)
+    res.malformed = malformed
+    return res
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], root: str | None, run_at: dt.datetime,
@@ -106,9 +113,8 @@ def _validate(spark: SparkSession, raw: dict[str, DataFrame], root: str, run_at:
     counts, valid = [], {}
 
     def split(name: str, tagged: DataFrame) -> DataFrame:
-        good, bad = io.write_split(tagged, f"{root}/tagged/{name}", f"{root}/valid/{name}", f"{root}/rejected/{name}")
+        valid[name], _, good, bad = io.write_split(tagged, f"{root}/validated/{name}")
         counts.append((name, good, bad, good + bad, bad / (good + bad) if good + bad else 0.0))
-        valid[name] = spark.read.schema(tagged.drop("reject_reason").schema).parquet(f"{root}/valid/{name}")
         return valid[name]
 
     r = split("restaurants", validate.validate_restaurants(raw["restaurants"]))

@@ -444,6 +444,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and sinks (S)
     "csv_payments": _round_trip(round_trips.csv_payments, lambda c: (
         fx.payments_dirty(c.t), validate.valid(c.tagged()["orders"]).select("order_id"))),
+    "csv_mixed_headers": _round_trip(round_trips.csv_mixed_headers, lambda c: fx.payments(c.t)),
+    "csv_malformed": _round_trip(round_trips.csv_malformed, lambda c: fx.payments(c.t)),
     "appended_years": _round_trip(round_trips.appended_years, lambda c: fx.orders(c.t)),
     "quarantine_sinks": _round_trip(round_trips.quarantine, lambda c: c.tagged()["orders"]),
     "staged_orders": _round_trip(round_trips.staged_orders, lambda c: c.staging["orders"]),

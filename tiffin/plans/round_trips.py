@@ -24,6 +24,45 @@ def csv_payments(spark: SparkSession, payments: DataFrame, valid_orders: DataFra
         F.col("amount").try_cast("double").alias("amount"), "reject_reason")
 
 
+def csv_mixed_headers(spark: SparkSession, payments: DataFrame) -> DataFrame:
+    """Payments in three layouts of one folder, read by each file's header.
+
+    Columns in the usual order; in reverse; one column less and one more,
+    whose values run over two lines.
+    """
+    path = shared_dir(spark, "layouts")
+    text = payments.select(*[F.col(c).cast("string").alias(c) for c in io.RAW_COLUMNS["payments"]])
+    part = [text.where(F.col("payment_id").cast("long") % 3 == i) for i in range(3)]
+    layouts = [part[0], part[1].select(*reversed(text.columns)),
+               part[2].drop("payment_status").withColumn("note", F.concat(F.lit('said "'), "payment_id", F.lit('",\nthen left')))]
+    for df in layouts:
+        df.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    got = io.read_csv(spark, path, io.RAW_COLUMNS["payments"], missing="null")
+    return got.select(F.col("payment_id").try_cast("long").alias("payment_id"), F.col("order_id").try_cast("long").alias("order_id"),
+                      "payment_method", F.col("amount").try_cast("double").alias("amount"), "payment_status")
+
+
+def csv_malformed(spark: SparkSession, payments: DataFrame) -> DataFrame:
+    """Payments of which some records are short, long or never closed: (outcome, records, payments, left)."""
+    path = shared_dir(spark, "malformed")
+    k = F.col("payment_id")
+    short = F.concat_ws(",", *[F.col(c).cast("string") for c in io.RAW_COLUMNS["payments"][:-1]])
+    line = F.concat_ws(",", short, F.when(k % 11 != 0, F.col("payment_status")), F.when(k % 13 == 0, F.lit("x")))
+    last = payments.select(F.max("payment_id")).scalar()
+    lines = payments.select(k, line.alias(",".join(io.RAW_COLUMNS["payments"])), short.alias("short"))
+    raw = lines.columns[1]
+    # a record as one field of a writer that knows neither separator nor quote
+    whole = {"header": True, "sep": "\x01", "quote": "\x00", "escapeQuotes": False}
+    lines.where(k != last).select(f"`{raw}`").write.mode("append").options(**whole).csv(path)
+    lines.where(k == last).select(F.concat("short", F.lit(',"open')).alias(raw)).write.mode("append").options(**whole).csv(path)
+    good, bad, n = io.land_csv(spark, path, io.RAW_COLUMNS["payments"], shared_dir(spark, "landed"))
+    total = F.coalesce(F.sum(F.col("payment_id").try_cast("long")), F.lit(0))
+    sides = [good.agg(F.count(F.lit(1)).alias("records"), total.alias("payments")).select(F.lit("fits").alias("outcome"), "records", "payments"),
+             bad.withColumn("payment_id", F.substring_index("raw_record", ",", 1)).groupBy(F.col("malformed").alias("outcome"))
+             .agg(F.count(F.lit(1)).alias("records"), total.alias("payments"))]
+    return sides[0].union(sides[1]).withColumn("quarantined", F.lit(n).cast("long"))
+
+
 def appended_years(spark: SparkSession, orders: DataFrame) -> DataFrame:
     """S3: every year's orders appended, half of the years a second time: (y, orders)."""
     path = shared_dir(spark, "days")
@@ -35,11 +74,10 @@ def appended_years(spark: SparkSession, orders: DataFrame) -> DataFrame:
 
 def quarantine(spark: SparkSession, tagged: DataFrame) -> DataFrame:
     """Rows of both sinks, and as observed while writing: (side, rows, observed)."""
-    paths = [shared_dir(spark, p) for p in ("tagged", "valid", "rejected")]
-    seen = io.write_split(tagged, *paths)
-    sides = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).select(
+    good, bad, *seen = io.write_split(tagged, shared_dir(spark, "split"))
+    sides = [df.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(side).alias("side"), "rows", F.lit(n).cast("long").alias("observed"))
-        for side, p, n in zip(("valid", "rejected"), paths[1:], seen)]
+        for side, df, n in zip((io.VALID, io.REJECTED), (good, bad), seen)]
     return sides[0].union(sides[1])
 
 

@@ -11,6 +11,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tiffin.sources.csv_files import MALFORMED, RAW, positions, read_csv, scan_csv  # noqa: F401  (S1, S2, S9)
+
+OUTCOME, VALID, REJECTED = "outcome", "valid", "rejected"
 # Raw column lists of each entity (header order of the raw files).
 RAW_COLUMNS = {
     "restaurants": ["url", "address", "name", "online_order", "book_table", "rate", "votes", "phone",
@@ -26,50 +29,59 @@ RAW_COLUMNS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str], seq: str = "seq") -> DataFrame:
-    """Header CSV as text columns, multi-line quoted fields, ``""`` escapes.
-
-    Columns are taken by the names in the file's header, whatever their
-    order; further ones are left out, a missing one is an error.  Adds ``seq``
-    = (file name, row offset) so that "first occurrence" is well defined.
-    Multi-line CSV is not splittable: land it to parquet once (``land``) and
-    run everything else from there.
-    """
-    df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
-          .option("escape", '"').option("quote", '"').csv(path))
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
-    # one file = one partition for multi-line CSV: (file, in-partition id) is file order
-    return df.select(*[F.col(f"`{c}`") for c in columns],
-                     F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("pos")).alias(seq))
-
-
 def land(df: DataFrame, path: str) -> DataFrame:
     """Write once to parquet and read back (cuts lineage, splittable, columnar)."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def land_csv(spark: SparkSession, path: str, columns: list[str], to: str, missing: str = "error",
+             na_tokens: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, int]:
+    """Land the CSV files at ``path``, in one pass and one write.
+
+    Returns the records that fit, the malformed ones with their file and
+    record number, and how many these are (observed during the write).
+    """
+    seen = Observation()
+    rows = scan_csv(spark, path, columns, missing=missing, na_tokens=na_tokens)
+    bad = F.col(MALFORMED).isNotNull()
+    rows.observe(seen, F.count_if(bad).alias("bad")).withColumn("fits", ~bad).write.mode("overwrite").partitionBy("fits").parquet(to)
+    rows = spark.read.schema(rows.withColumn("fits", ~bad).schema).parquet(to)
+    fit = rows.where("fits").drop("fits", MALFORMED, RAW)
+    return fit, positions(rows.where("NOT fits"), rows), int(seen.get["bad"])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Parallel CSV export; quotes doubled (RFC 4180), header per part."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_split(tagged: DataFrame, tagged_path: str, valid_path: str, rejected_path: str,
-                reason_col: str = "reject_reason") -> tuple[int, int]:
-    """Valid and quarantine sinks from one evaluation of a tagged frame (always both, never stale).
+def write_split(tagged: DataFrame, path: str, reason_col: str = "reject_reason") -> tuple[DataFrame, DataFrame, int, int]:
+    """Valid rows and quarantine as the two partitions of one sink, ``<path>/outcome=valid`` and ``=rejected``.
 
-    Returns the numbers of valid and rejected rows, observed during the write.
+    Rows are evaluated and written once.  Both partitions are there after
+    every write, empty ones too, so that a reader of one never meets rows of
+    an earlier run.  Returns both sides, the valid one without the reason, and
+    their numbers of rows, observed during the write.
     """
-    seen = Observation()
+    spark, seen = tagged.sparkSession, Observation()
     bad = F.col(reason_col).isNotNull()
-    tagged.observe(seen, F.count_if(~bad).alias("valid"), F.count_if(bad).alias("rejected")) \
-        .write.mode("overwrite").parquet(tagged_path)
-    rows = tagged.sparkSession.read.schema(tagged.schema).parquet(tagged_path)
-    rows.where(~bad).drop(reason_col).write.mode("overwrite").parquet(valid_path)
-    rows.where(bad).write.mode("overwrite").parquet(rejected_path)
-    return int(seen.get["valid"]), int(seen.get["rejected"])
+    (tagged.observe(seen, F.count_if(~bad).alias("valid"), F.count_if(bad).alias("rejected"))
+     .withColumn(OUTCOME, F.when(bad, REJECTED).otherwise(VALID))
+     .write.mode("overwrite").partitionBy(OUTCOME).parquet(path))
+    counts = int(seen.get["valid"]), int(seen.get["rejected"])
+    for outcome, n in zip((VALID, REJECTED), counts):
+        if not n:
+            tagged.limit(0).write.mode("overwrite").parquet(f"{path}/{OUTCOME}={outcome}")
+    return valid_side(spark, path, tagged.drop(reason_col).schema), rejected_side(spark, path, tagged.schema), *counts
+
+
+def valid_side(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    return (spark.read.schema(schema) if schema else spark.read).parquet(f"{path}/{OUTCOME}={VALID}")
+
+
+def rejected_side(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    return (spark.read.schema(schema) if schema else spark.read).parquet(f"{path}/{OUTCOME}={REJECTED}")
 
 
 def append_partition(df: DataFrame, path: str, *partition_cols: str) -> None:
