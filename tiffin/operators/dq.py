@@ -6,10 +6,11 @@
                                   -> failures = non-null child rows whose value is
                                      absent from the parent (NULL foreign keys pass)
 
-Each test is a one-row aggregate; all tests are a ``unionByName`` of those,
-so the whole suite is one DataFrame the caller collects once (37 rows).
-Relationship tests aggregate the child to distinct keys before the anti
-join, so a foreign key holding a third of the child rows is one row by then.
+All tests share one aggregation: every tested column of a model becomes
+(column, value) rows in one scan of it, counted by value.  Null and repeated
+values can be read off these counts, and relationships are one anti join of
+the counts with themselves, so that a foreign key holding a third of the child
+rows is one row by then.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tiffin.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -78,77 +82,99 @@ def star_tests() -> list[Test]:
     return tests
 
 
-def _key_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per distinct value (partial aggregation: a hot value costs one row per task)."""
-    return df.groupBy(*by, F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("rows"))
+def _known(tests: list[Test] | None, star: dict[str, DataFrame]) -> list[Test]:
+    tests = tests if tests is not None else star_tests()
+    return [t for t in tests if t.model in star and (t.to is None or t.to in star)]
 
 
-def _missing_parents(test: Test, star: dict[str, DataFrame], by: Sequence[str] = ()) -> DataFrame:
-    """Relationship violations as (by, _k, rows).
+def key_counts(star: dict[str, DataFrame], tests: list[Test], by: Sequence[str] = ()) -> DataFrame:
+    """(column, by, value, rows): how many rows hold each value of every column that a test reads.
 
-    The child is aggregated to distinct keys *before* the anti join, so both
-    join sides hold distinct keys and no key can be skewed.
+    One Expand and aggregation over each model, which is scanned once; a hot
+    value is one row per task.  ``column`` is ``model.column``.  Numbers and
+    dates are counted as numbers, and written out once they are counted.
     """
-    child = _key_counts(star[test.model], test.column, by).where(F.col("_k").isNotNull())
-    parent = star[test.to].select(F.col(test.field).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    return child.join(parent, "_k", "left_anti")
-
-
-def _violations(test: Test, star: dict[str, DataFrame], by: Sequence[str] = ()) -> DataFrame:
-    """Failing values of one test as (by, value, rows): NULL value for not_null."""
-    value = F.col("_k").cast("string").alias("value")
-    if test.kind == "relationships":
-        return _missing_parents(test, star, by).select(*by, value, "rows")
-    counts = _key_counts(star[test.model], test.column, by)
-    broken = F.col("_k").isNull() if test.kind == "not_null" else F.col("_k").isNotNull() & (F.col("rows") > 1)
-    return counts.where(broken).select(*by, value, "rows")
-
-
-def _row(name: str, kind: str, model: str, column: str, failures) -> list:
-    return [F.lit(name).alias("test_name"), F.lit(kind).alias("test_type"), F.lit(model).alias("model"),
-            F.lit(column).alias("column_name"), failures.cast("long").alias("failures")]
-
-
-def _pk_tests(model: str, column: str, star: dict[str, DataFrame], kinds: set[str]) -> list[DataFrame]:
-    """not_null and unique of one key from a single aggregation over the model."""
-    counts = _key_counts(star[model], column)
-    agg = counts.agg(F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("rows"))), F.lit(0)).alias("nn"),
-                     F.count_if(F.col("_k").isNotNull() & (F.col("rows") > 1)).alias("uq"))
+    needed: dict[str, set[str]] = {}
+    for t in tests:
+        needed.setdefault(t.model, set()).add(t.column)
+        if t.to is not None:
+            needed.setdefault(t.to, set()).add(t.field)
+    names = [(m, c) for m, columns in needed.items() for c in sorted(columns)]
+    kinds = [star[m].schema[c].dataType for m, c in names]
+    text = not all(isinstance(k, (T.IntegralType, T.DateType)) for k in kinds)
+
+    def counted(code: int, column: Column, kind: T.DataType) -> Column:
+        number = F.unix_date(column) if isinstance(kind, T.DateType) else column
+        plain = isinstance(kind, (T.IntegralType, T.DateType))
+        parts = [F.lit(code).alias("code"), (number if plain else F.lit(None)).cast("long").alias("number")]
+        return F.struct(*parts, *([(F.lit(None) if plain else column).cast("string").alias("text")] if text else []))
+    frames = []
+    for model in needed:
+        frames.append(star[model].select(*by, F.inline(F.array(*[
+            counted(i, F.col(f"`{c}`"), kinds[i]) for i, (m, c) in enumerate(names) if m == model]))))
+    keys = ["code", "number", "text"] if text else ["code", "number"]
+    counts = reduce(DataFrame.unionByName, frames).groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("rows"))
+    dates = [i for i, k in enumerate(kinds) if isinstance(k, T.DateType)]
+    number = F.when(F.col("code").isin(*dates), F.date_from_unix_date(F.col("number").cast("int")).cast("string")).otherwise(
+        F.col("number").cast("string")) if dates else F.col("number").cast("string")
+    value = F.coalesce("text", number) if text else number
+    return counts.select(F.get(F.array(*[F.lit(f"{m}.{c}") for m, c in names]), F.col("code")).alias("column"), *by,
+                         value.alias("value"), "rows")
+
+
+def _broken(counts: DataFrame, tests: list[Test], by: Sequence[str] = ()) -> DataFrame:
+    """(test_name, by, value, rows): the values that break a test, from ``key_counts``.
+
+    All foreign keys meet all keys in one anti join; both sides hold distinct
+    values, so no value is skewed.
+    """
+    def named(kind: str) -> Column:
+        pairs = [(f"{t.model}.{t.column}", t.name) for t in tests if t.kind == kind]
+        return F.create_map(*[F.lit(x) for p in pairs for x in p]) if pairs else F.create_map().cast("map<string,string>")
     out = []
-    for kind, col in (("not_null", "nn"), ("unique", "uq")):
-        if kind in kinds:
-            out.append(agg.select(*_row(Test(kind, model, column).name, kind, model, column, F.col(col))))
-    return out
+    for kind, breaks in (("not_null", F.col("value").isNull()), ("unique", F.col("value").isNotNull() & (F.col("rows") > 1))):
+        name = F.try_element_at(named(kind), F.col("column"))
+        out.append(counts.where(breaks).select(name.alias("test_name"), *by, "value", "rows").where("test_name IS NOT NULL"))
+    targets: dict[str, list[Test]] = {}
+    for t in tests:
+        if t.kind == "relationships":
+            targets.setdefault(f"{t.model}.{t.column}", []).append(t)
+    if targets:
+        found = F.lit(None).cast("array<struct<test_name:string,key:string>>")
+        for column, ts in targets.items():
+            found = F.when(F.col("column") == column, F.array(*[
+                F.struct(F.lit(t.name).alias("test_name"), F.lit(f"{t.to}.{t.field}").alias("key")) for t in ts])).otherwise(found)
+        child = counts.where(F.col("value").isNotNull() & F.col("column").isin(*targets)).select(
+            F.inline(found), *by, "value", "rows")
+        keys = sorted({f"{t.to}.{t.field}" for t in tests if t.to is not None})
+        parent = counts.where(F.col("value").isNotNull() & F.col("column").isin(*keys)).select(
+            F.col("column").alias("key"), F.col("value")).distinct()
+        out.append(child.join(parent, ["key", "value"], "left_anti").select("test_name", *by, "value", "rows"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def run_tests(star: dict[str, DataFrame], tests: list[Test] | None = None) -> DataFrame:
-    """(test_name, test_type, model, column_name, failures, status)."""
-    tests = tests if tests is not None else star_tests()
-    tests = [t for t in tests if t.model in star and (t.to is None or t.to in star)]
-    frames: list[DataFrame] = []
-    pk: dict[tuple[str, str], set[str]] = {}
-    for t in tests:
-        if t.kind in ("not_null", "unique"):
-            pk.setdefault((t.model, t.column), set()).add(t.kind)
-    for (m, c), kinds in pk.items():
-        frames += _pk_tests(m, c, star, kinds)
-    for t in tests:
-        if t.kind == "relationships":
-            agg = _missing_parents(t, star).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("f"))
-            frames.append(agg.select(*_row(t.name, t.kind, t.model, t.column, F.col("f"))))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+    """(test_name, test_type, model, column_name, failures, status).
+
+    Every model is read once, whatever the number of tests.  ``failures`` are
+    rows for not_null and relationships, repeated values for unique.
+    """
+    tests = _known(tests, star)
+    spark = next(iter(star.values())).sparkSession
+    listed = spark.createDataFrame([(t.name, t.kind, t.model, t.column) for t in tests],
+                                   "test_name string, test_type string, model string, column_name string")
+    broken = _broken(cut_lineage(key_counts(star, tests)), tests).groupBy("test_name").agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("values"))
+    failures = F.when(F.col("test_type") == "unique", F.col("values")).otherwise(F.col("rows"))
+    return listed.join(broken, "test_name", "left").select(
+        "test_name", "test_type", "model", "column_name", F.coalesce(failures, F.lit(0)).cast("long").alias("failures")).withColumn(
+        "status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
 
 
 def failing_rows(star: dict[str, DataFrame], tests: list[Test] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """(test_name, by, value, rows) for every failing value of every test, within each ``by`` group."""
-    tests = tests if tests is not None else star_tests()
-    tests = [t for t in tests if t.model in star and (t.to is None or t.to in star)]
-    frames = [_violations(t, star, by).select(F.lit(t.name).alias("test_name"), *by, "value",
-                                              F.col("rows").cast("long").alias("rows")) for t in tests]
-    return reduce(DataFrame.unionByName, frames)
+    tests = _known(tests, star)
+    return _broken(cut_lineage(key_counts(star, tests, by)), tests, by)
 
 
 def summarize(results: DataFrame) -> DataFrame:

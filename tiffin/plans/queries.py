@@ -450,6 +450,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_sinks": _round_trip(round_trips.quarantine, lambda c: c.tagged()["orders"]),
     "staged_orders": _round_trip(round_trips.staged_orders, lambda c: c.staging["orders"]),
     "published_orders": _round_trip(round_trips.published_orders, lambda c: c.star["fact_orders"]),
+    "bucketed_join": _round_trip(round_trips.bucketed_join, lambda c: (c.star["fact_orders"], c.star["fact_order_items"])),
     "run_log": _round_trip(round_trips.run_log, lambda c: _validation_runs(c)),
     "test_artifact": _round_trip(round_trips.test_artifact, lambda c: dq.run_tests(_written_star(c))),
 }
