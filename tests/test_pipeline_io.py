@@ -109,7 +109,7 @@ def test_streaming_daily_feed(spark):
     q = daily_feed.ingest_orders(spark, f"{root}/landing/*", schema, f"{root}/restaurants",
                                  f"{root}/customers", f"{root}/out", f"{root}/ckpt")
     q.awaitTermination(300)
-    c = daily_feed.daily_counts(spark, f"{root}/out").agg(F.sum("valid"), F.sum("rejected")).first()
+    c = daily_feed.daily_counts(spark, f"{root}/out", schema).agg(F.sum("valid"), F.sum("rejected")).first()
     assert c[0] + c[1] == orders.where(F.year("order_date").isin(years)).count()
 
 
@@ -128,9 +128,10 @@ def test_two_drops_of_one_day_keep_all_orders_and_later_copies_are_rejected(spar
         drop.write.parquet(f"{root}/landing/drop={i}")
         daily_feed.ingest_orders(spark, f"{root}/landing/*", schema, f"{root}/restaurants",
                                  f"{root}/customers", f"{root}/out", f"{root}/ckpt").awaitTermination(300)
-    valid = spark.read.parquet(f"{root}/out/valid_orders")
+    feed = daily_feed.Feed(spark, f"{root}/out", schema)
+    valid = feed.read(spark, "valid_orders")
     assert valid.count() == 26 == valid.select("order_id").distinct().count()
-    rejected = spark.read.parquet(f"{root}/out/rejected_orders").groupBy("reject_reason").count().collect()
+    rejected = feed.read(spark, "rejected_orders").groupBy("reject_reason").count().collect()
     assert [tuple(r) for r in rejected] == [("duplicate_order_id", 26)]
 
 

@@ -447,6 +447,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_mixed_headers": _round_trip(round_trips.csv_mixed_headers, lambda c: fx.payments(c.t)),
     "csv_malformed": _round_trip(round_trips.csv_malformed, lambda c: fx.payments(c.t)),
     "appended_years": _round_trip(round_trips.appended_years, lambda c: fx.orders(c.t)),
+    "compacted_years": _round_trip(round_trips.compacted_years, lambda c: fx.orders(c.t)),
+    "indexed_duplicates": _round_trip(round_trips.indexed_duplicates, lambda c: (
+        fx.orders_dirty(c.t), cut_lineage(validate.valid(c.tagged()["restaurants"]).select("restaurant_id")),
+        cut_lineage(validate.valid(c.tagged()["customers"]).select("customer_id")))),
     "quarantine_sinks": _round_trip(round_trips.quarantine, lambda c: c.tagged()["orders"]),
     "staged_orders": _round_trip(round_trips.staged_orders, lambda c: c.staging["orders"]),
     "published_orders": _round_trip(round_trips.published_orders, lambda c: c.star["fact_orders"]),

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tiffin.functions.numeric import money, money_sum
 from tiffin.operators import dq, validate
 from tiffin.session import shared_dir
-from tiffin.sources import io
+from tiffin.sources import growing, io
+from tiffin.streaming import daily_feed
 
 
 def csv_payments(spark: SparkSession, payments: DataFrame, valid_orders: DataFrame) -> DataFrame:
@@ -72,6 +73,31 @@ def appended_years(spark: SparkSession, orders: DataFrame) -> DataFrame:
     return spark.read.schema("order_id long, y int").parquet(path).groupBy("y").agg(F.count(F.lit(1)).alias("orders"))
 
 
+def compacted_years(spark: SparkSession, orders: DataFrame) -> DataFrame:
+    """S3: every year's orders in four batches, merged, and a fifth batch after that: (y, orders, folders, merged)."""
+    path, schema, key = shared_dir(spark, "growing"), "order_id long, y int", "y"
+    growing.create(spark, path, schema, key)
+    rows = orders.select("order_id", F.year("order_date").alias("y"))
+    for batch in range(4):
+        growing.append(rows.where(F.col("order_id") % 5 == batch), path, key, batch)
+    merged = growing.compact(spark, path, schema, key, max_folders=3)
+    growing.vacuum(spark, path, schema, key)
+    growing.append(rows.where(F.col("order_id") % 5 == 4), path, key, 4)
+    counts = growing.read(spark, path, schema, key).groupBy("y").agg(F.count(F.lit(1)).alias("orders"))
+    return counts.join(growing.folders(spark, path, schema, key), "y").withColumn("merged", F.lit(merged).cast("long"))
+
+
+def indexed_duplicates(spark: SparkSession, orders: DataFrame, restaurants: DataFrame, customers: DataFrame) -> DataFrame:
+    """S3, V7: orders with even ids in a first batch, all orders in a second: (batch_id, reject_reason, orders)."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in orders.schema.fields)
+    feed = daily_feed.Feed(spark, shared_dir(spark, "feed"), schema)
+    feed.create(spark)
+    for batch_id, rows in enumerate((orders.where("order_id % 2 = 0"), orders)):
+        feed.ingest(rows, batch_id, restaurants, customers)
+    stored = feed.read(spark, "valid_orders").unionByName(feed.read(spark, "rejected_orders"))
+    return stored.groupBy("batch_id", "reject_reason").agg(F.count(F.lit(1)).alias("orders"))
+
+
 def quarantine(spark: SparkSession, tagged: DataFrame) -> DataFrame:
     """Rows of both sinks, and as observed while writing: (side, rows, observed)."""
     good, bad, *seen = io.write_split(tagged, shared_dir(spark, "split"))

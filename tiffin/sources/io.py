@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tiffin.sources.csv_files import MALFORMED, RAW, positions, read_csv, scan_csv  # noqa: F401  (S1, S2, S9)
 
+POINTER = "nr long, version string"
 OUTCOME, VALID, REJECTED = "outcome", "valid", "rejected"
 # Raw column lists of each entity (header order of the raw files).
 RAW_COLUMNS = {
@@ -109,17 +110,24 @@ def publish_bucketed(df: DataFrame, table: str, key: str, path: str, buckets: in
 
 
 def point_to(spark: SparkSession, path: str, version: str) -> None:
-    """Make a complete set of tables the current one: a pointer row, appended after the last table is written."""
-    append_row(spark, path, {"version": version}, "version string")
+    """Make a complete set of tables the current one: a numbered pointer row, appended after the last table is written."""
+    last = _pointers(spark, path)
+    append_row(spark, path, {"nr": (last["nr"] if last else 0) + 1, "version": version}, POINTER)
 
 
 def current(spark: SparkSession, path: str) -> str | None:
-    """The version that the latest pointer names; None before the first."""
+    """The version that the last pointer names; None before the first."""
+    last = _pointers(spark, path)
+    return last["version"] if last else None
+
+
+def _pointers(spark: SparkSession, path: str):
+    """The pointer with the largest number (of two writers' with one number: the larger name)."""
     try:
-        rows = spark.read.schema("version string").parquet(path)
-        return rows.select(F.max_by("version", F.col("_metadata.file_modification_time"))).first()[0]
+        last = spark.read.schema(POINTER).parquet(path).select(F.max(F.struct("nr", "version")).alias("p")).first()
     except AnalysisException:
         return None
+    return last["p"]
 
 
 def append_row(spark: SparkSession, path: str, row: dict, schema: str) -> None:
