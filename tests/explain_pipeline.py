@@ -11,7 +11,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tiffin.plans import kpi, pipeline  # noqa: E402
 from tiffin.session import get_session  # noqa: E402
-from tiffin.sources import fixtures as fx  # noqa: E402
+from tiffin.sources import fixtures as fx, io  # noqa: E402
 
 
 def main(sf_dir: str) -> None:
@@ -22,7 +22,7 @@ def main(sf_dir: str) -> None:
            "deliveries": fx.deliveries(t)}
     root = tempfile.mkdtemp(prefix="tiffin-explain-")
     pipeline.run(spark, raw, root, dt.datetime(2024, 1, 1), reviews_raw=fx.reviews_raw(t))
-    star = {n: spark.read.parquet(f"{root}/star/{n}") for n in pipeline.PUBLISH_KEYS}
+    star = {n: spark.read.parquet(f"{root}/star/{io.current(spark, f'{root}/star_current')}/{n}") for n in pipeline.PUBLISH_KEYS}
     for name, df in [("revenue_trend", kpi.revenue_trend(star)), ("top_cuisines", kpi.top_cuisines(star)),
                      ("value_tiers", kpi.value_tiers(star))]:
         print(f"==== {name}")

@@ -183,6 +183,11 @@ def summarize(results: DataFrame) -> DataFrame:
                        F.count_if(F.col("status") == "pass").alias("passed_tests"))
 
 
+def gate(results: DataFrame) -> DataFrame:
+    """The summary, and whether it withholds the publish (any test failed)."""
+    return summarize(results).withColumn("gate_failed", F.col("passed_tests") < F.col("total_tests"))
+
+
 def summarize_json(path_df: DataFrame) -> DataFrame:
     """The same summary from a JSON test artefact ``{"results": [{"status": ...}]}``."""
     r = path_df.select(F.explode("results").alias("r"))

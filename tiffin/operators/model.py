@@ -148,15 +148,30 @@ def fact_reviews(parsed_reviews: DataFrame) -> DataFrame:
     return ids.select("review_id", "restaurant_id", "review_rating", "review_text")
 
 
+#: Models that other models look up, in their order.
+SHARED_DIMS = ("dim_location", "dim_cuisine", "dim_restaurant")
+
+
+def shared_dim(name: str, have: dict[str, DataFrame]) -> DataFrame:
+    """One of ``SHARED_DIMS`` from the staging frames and the ones before it."""
+    if name == "dim_location":
+        return dim_location(have["restaurants"])
+    if name == "dim_cuisine":
+        return dim_cuisine(have["restaurant_cuisines"])
+    return dim_restaurant(have["restaurants"], have["dim_location"])
+
+
 def build_star(staging: dict[str, DataFrame], spark: SparkSession) -> dict[str, DataFrame]:
     """all models in dependency order from the staging frames.
 
     ``staging`` keys: restaurants, restaurant_cuisines, customers, orders,
-    order_items, payments, deliveries, reviews (parsed rows).
+    order_items, payments, deliveries, reviews (parsed rows); and those of
+    ``SHARED_DIMS`` that are written already, which the others then read.
     """
-    loc = dim_location(staging["restaurants"])
-    cui = dim_cuisine(staging["restaurant_cuisines"])
-    rest = dim_restaurant(staging["restaurants"], loc)
+    dims = dict(staging)
+    for name in SHARED_DIMS:
+        dims.setdefault(name, shared_dim(name, dims))
+    loc, cui, rest = (dims[name] for name in SHARED_DIMS)
     star = {
         "dim_location": loc,
         "dim_cuisine": cui,

@@ -8,6 +8,7 @@ write it to the shared folder first.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -366,6 +367,29 @@ def q_derived_deliveries(spark, sf_dir):
     return d.select(F.col("order_id").alias("delivery_id"), "order_id", "delivery_time_minutes")
 
 
+def q_job_run(spark, sf_dir):
+    """The daily job over dirty inputs (but items with unique ids), its logical time the day after the last order."""
+    c = Ctx(spark, sf_dir)
+    raw = {e: c.raw_inputs()[e] for e in validate.ENTITIES} | {"order_items": fx.order_items(c.t)}
+    last = fx.orders(c.t).agg(F.max("order_date")).first()[0]
+    run_at = dt.datetime(last.year, last.month, last.day) + dt.timedelta(days=1)
+    return round_trips.job_run(spark, raw, fx.reviews_raw(c.t), run_at)
+
+
+def q_test_gate(spark, sf_dir):
+    """Tests of orders and of items with repeated ids, and whether they withhold the publish."""
+    c = Ctx(spark, sf_dir)
+    items = model.fact_order_items(transform.clean_order_items(fx.order_items_raw(c.t)))
+    return dq.gate(dq.run_tests({"fact_orders": c.star["fact_orders"], "fact_order_items": items}, [
+        t for t in dq.star_tests() if t.model == "fact_order_items" or (t.model, t.to) == ("fact_orders", None)]))
+
+
+def q_profile_guarded(spark, sf_dir):
+    """A column that the table lacks is left out of the samples."""
+    r = fx.restaurants_dirty(fx.loader(spark, sf_dir))
+    return profile.distinct_samples(r, {"rate": 20, "delivery fee": 20})
+
+
 def q_latest_validation_run(spark, sf_dir):
     """Q24: the latest run of the validation log."""
     return health.latest(_validation_runs(Ctx(spark, sf_dir)))
@@ -455,6 +479,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_orders": _round_trip(round_trips.staged_orders, lambda c: c.staging["orders"]),
     "published_orders": _round_trip(round_trips.published_orders, lambda c: c.star["fact_orders"]),
     "bucketed_join": _round_trip(round_trips.bucketed_join, lambda c: (c.star["fact_orders"], c.star["fact_order_items"])),
+    "job_run": q_job_run,
+    "test_gate": q_test_gate,
+    "profile_guarded": q_profile_guarded,
     "run_log": _round_trip(round_trips.run_log, lambda c: _validation_runs(c)),
     "test_artifact": _round_trip(round_trips.test_artifact, lambda c: dq.run_tests(_written_star(c))),
 }

@@ -31,7 +31,9 @@ def create(spark: SparkSession, path: str, schema: str, key: str) -> None:
 
 def append(df: DataFrame, path: str, key: str, batch_id: int) -> None:
     """Add the rows of a batch; adding it again replaces it."""
-    io.append_partition(df.withColumn("batch_id", F.lit(batch_id).cast("long")), f"{path}/data", key, "batch_id")
+    # dealt by key, so that a key is few files; adaptive execution splits a large one
+    rows = df.withColumn("batch_id", F.lit(batch_id).cast("long")).hint("rebalance", key)
+    io.append_partition(rows, f"{path}/data", key, "batch_id")
 
 
 def read(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
@@ -77,7 +79,6 @@ def compact(spark: SparkSession, path: str, schema: str, key: str, max_folders:
     version = int(before or 0) + 1
     rows = read(spark, path, schema, key).join(spread, F.col(key).eqNullSafe(F.col("_k")), "left_semi")
     rows = rows.withColumn("version", F.lit(version).cast("long"))
-    # dealt by key, so that a key is few files; adaptive execution splits a large one
     rows.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "version", key).parquet(f"{path}/merged")
     done = spark.read.schema(f"{schema}, batch_id long, version long").parquet(f"{path}/merged").where(F.col("version") == version)

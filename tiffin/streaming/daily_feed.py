@@ -25,20 +25,16 @@ from tiffin.operators.joins import lookup_join
 from tiffin.sources import growing, io
 
 SINKS = ("valid_orders", "rejected_orders")
-#: Hash buckets of the index of stored order ids.
+#: Hash buckets of the index of stored order ids; a feed keeps the number it began with.
 BUCKETS = 256
 DAY, BUCKET = "order_date", "bucket"
 
 
-def _bucket(order_id: Column) -> Column:
-    return F.pmod(F.xxhash64(order_id), F.lit(BUCKETS)).cast("int")
-
-
 class Feed:
     """The tables of a feed: valid and rejected orders by day, and the index of order ids by bucket."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: str):
-        self.root = root
+    def __init__(self, spark: SparkSession, root: str, schema: str, buckets: int = BUCKETS):
+        self.root, self.buckets = root, buckets
         kinds = spark.createDataFrame([], schema).schema
         rows = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds.fields)
         self.ids = (f"order_id {kinds['order_id'].dataType.simpleString()}, {BUCKET} int", BUCKET)
@@ -49,10 +45,13 @@ class Feed:
             growing.create(spark, f"{self.root}/{name}", *self.orders)
         growing.create(spark, f"{self.root}/order_ids", *self.ids)
 
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64("order_id"), F.lit(self.buckets)).cast("int")
+
     def seen(self, df: DataFrame, batch_id: int) -> DataFrame:
         """Ids of ``df`` that other batches stored (order_id), from the buckets that ``df`` touches."""
         spark = df.sparkSession
-        touched = [r[0] for r in df.select(_bucket(F.col("order_id"))).distinct().collect()]  # BUCKETS at most
+        touched = [r[0] for r in df.select(self.bucket()).distinct().collect()]  # one row a bucket
         stored = growing.read(spark, f"{self.root}/order_ids", *self.ids)
         return stored.where(F.col(BUCKET).isin(*touched) & (F.col("batch_id") != batch_id)).select("order_id").distinct()
 
@@ -66,7 +65,7 @@ class Feed:
         for name, rows in zip(SINKS, (tagged.where(~bad), tagged.where(bad))):
             growing.append(rows, f"{self.root}/{name}", DAY, batch_id)
         # last, so that a batch which fails half way has not marked its own ids
-        ids = tagged.select("order_id", _bucket(F.col("order_id")).alias(BUCKET)).distinct()
+        ids = tagged.select("order_id", self.bucket().alias(BUCKET)).distinct()
         growing.append(ids, f"{self.root}/order_ids", BUCKET, batch_id)
 
     def read(self, spark: SparkSession, sink: str) -> DataFrame:
