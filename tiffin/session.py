@@ -1,8 +1,9 @@
 """Session construction and the shared scratch location.
 
 The cluster names a shared folder in ``spark.checkpoint.dir``; lineage cuts
-and intermediate tables go there.  Only when that setting is absent (unit
-tests, a laptop) do we fall back to a fresh directory under /tmp.
+and intermediate tables go there.  Only where that setting is absent and all
+runs in one process (unit tests, a laptop) is a fresh directory under /tmp
+taken instead; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -52,6 +53,8 @@ def shared_dir(spark: SparkSession, sub: str | None = None) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if sc.master.split("[")[0] != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             base = tempfile.mkdtemp(prefix="tiffin-ckpt-")
             spark.conf.set("spark.checkpoint.dir", base)
         sc.setCheckpointDir(base)
