@@ -6,6 +6,10 @@ join and the many-to-many bridge fan-out work on one row per restaurant /
 partner / customer instead of one row per order.  Counting semantics are
 unchanged because every dimension is unique on its key.
 
+A star may hold the tables of ``daily_sums`` (order_sums, customer_sums,
+hour_sums, partner_sums, minute_sums, method_sums).  Where it does, a KPI
+merges these and reads no fact.
+
 Rounded figures use exact integer arithmetic (``round_ratio`` /
 ``money_avg``), so they do not depend on summation order.  Top-N lists carry
 a tie-breaker (the label, ascending) so the result is deterministic.
@@ -36,18 +40,28 @@ def _delivered(fo: DataFrame) -> DataFrame:
     return fo.where(F.col("order_status") == DELIVERED)
 
 
+def _merged(col: str) -> Column:
+    """The sum of partial counts; 0 without any."""
+    return F.coalesce(F.sum(col), F.lit(0)).cast("long")
+
+
 # ------------------------------------------------------- business overview
 def kpi_business(star: dict[str, DataFrame]) -> DataFrame:
     """Q1-Q4: delivered orders, revenue, average order value, active restaurants."""
-    fo = star["fact_orders"]
-    d = F.col("order_status") == DELIVERED
-    agg = fo.agg(
-        F.count_if(d).alias("total_orders"),
-        F.sum(F.when(d, cents("order_total"))).alias("_rev_cents"),
-        F.count_if(d & F.col("order_total").isNotNull()).alias("_n_rev"),
-        F.sum(F.when(d, F.col("order_total"))).cast("decimal(38,2)").alias("total_revenue"),
-        F.count_distinct("restaurant_id").alias("active_restaurants"),
-    )
+    if "order_sums" in star:
+        agg = star["order_sums"].agg(
+            _merged("delivered").alias("total_orders"), F.sum(cents("revenue")).alias("_rev_cents"),
+            _merged("valued").alias("_n_rev"), money_sum("revenue").alias("total_revenue"),
+            F.count_distinct("restaurant_id").alias("active_restaurants"))
+    else:
+        d = F.col("order_status") == DELIVERED
+        agg = star["fact_orders"].agg(
+            F.count_if(d).alias("total_orders"),
+            F.sum(F.when(d, cents("order_total"))).alias("_rev_cents"),
+            F.count_if(d & F.col("order_total").isNotNull()).alias("_n_rev"),
+            F.sum(F.when(d, F.col("order_total"))).cast("decimal(38,2)").alias("total_revenue"),
+            F.count_distinct("restaurant_id").alias("active_restaurants"),
+        )
     return agg.select(
         "total_orders",
         F.coalesce(F.col("total_revenue"), F.lit(0).cast("decimal(38,2)")).alias("total_revenue"),
@@ -58,12 +72,22 @@ def kpi_business(star: dict[str, DataFrame]) -> DataFrame:
 
 def revenue_trend(star: dict[str, DataFrame]) -> DataFrame:
     """Q5: delivered revenue per date."""
-    return (_delivered(star["fact_orders"]).groupBy(F.col("date_id").alias("order_date"))
-            .agg(money_sum("order_total").alias("revenue")).orderBy("order_date"))
+    if "order_sums" in star:
+        rows, value = star["order_sums"].where("delivered > 0"), "revenue"
+    else:
+        rows, value = _delivered(star["fact_orders"]), "order_total"
+    return (rows.groupBy(F.col("date_id").alias("order_date")).agg(money_sum(value).alias("revenue")).orderBy("order_date"))
 
 
-def _orders_per_restaurant(fo: DataFrame) -> DataFrame:
-    return fo.groupBy("restaurant_id").agg(F.count(F.lit(1)).alias("_orders"))
+def _per_restaurant(star: dict[str, DataFrame], delivered: bool = False) -> DataFrame:
+    """Per restaurant with (delivered) orders: ``_orders``, ``_valued`` with a total, ``_rev`` their revenue."""
+    if "order_sums" in star:
+        n = "delivered" if delivered else "orders"
+        return (star["order_sums"].where(F.col(n) > 0).groupBy("restaurant_id")
+                .agg(F.sum(n).alias("_orders"), F.sum("valued").alias("_valued"), money_sum("revenue").alias("_rev")))
+    fo = _delivered(star["fact_orders"]) if delivered else star["fact_orders"]
+    return fo.groupBy("restaurant_id").agg(F.count(F.lit(1)).alias("_orders"), F.count("order_total").alias("_valued"),
+                                           money_sum("order_total").alias("_rev"))
 
 
 def orders_by_area(star: dict[str, DataFrame], n: int = 10) -> DataFrame:
@@ -71,7 +95,7 @@ def orders_by_area(star: dict[str, DataFrame], n: int = 10) -> DataFrame:
 
     Orders of restaurants without a location drop out (inner joins).
     """
-    per_r = _orders_per_restaurant(star["fact_orders"])
+    per_r = _per_restaurant(star)
     rl = star["dim_restaurant"].select("restaurant_id", "location_id").where(F.col("location_id").isNotNull())
     j = lookup_join(per_r, rl, ["restaurant_id"], "inner")
     j = lookup_join(j, star["dim_location"], ["location_id"], "inner")
@@ -81,7 +105,7 @@ def orders_by_area(star: dict[str, DataFrame], n: int = 10) -> DataFrame:
 
 def top_cuisines(star: dict[str, DataFrame], n: int = 10) -> DataFrame:
     """Q7: orders by cuisine through the m:n bridge (an order counts once per cuisine)."""
-    per_r = _orders_per_restaurant(star["fact_orders"])
+    per_r = _per_restaurant(star)
     b = star["bridge_restaurant_cuisine"]
     j = per_r.join(b, "restaurant_id")          # fan-out on aggregated rows only
     j = lookup_join(j, star["dim_cuisine"], ["cuisine_id"], "inner")
@@ -94,8 +118,7 @@ def top_restaurants(star: dict[str, DataFrame], n: int = 10, by: str = "name") -
 
     ``by="id"`` ranks individual restaurants instead (names are not keys).
     """
-    per_r = (_delivered(star["fact_orders"]).groupBy("restaurant_id")
-             .agg(F.count(F.lit(1)).alias("_orders"), F.sum("order_total").alias("_rev")))
+    per_r = _per_restaurant(star, delivered=True)
     names = star["dim_restaurant"].select("restaurant_id", "restaurant_name")
     j = lookup_join(per_r, names, ["restaurant_id"], "inner")
     keys = [F.col("restaurant_name").alias("restaurant")] + ([F.col("restaurant_id")] if by == "id" else [])
@@ -130,8 +153,10 @@ def value_tiers(star: dict[str, DataFrame], tiers=DEFAULT_TIERS, with_share: boo
     Spend counts delivered orders only (the status filter sits in the join
     condition, so customers with only cancelled orders are "No orders").
     """
-    spend = (_delivered(star["fact_orders"]).groupBy("customer_id")
-             .agg(F.sum("order_total").alias("_spend")))
+    if "customer_sums" in star:
+        spend = star["customer_sums"].groupBy("customer_id").agg(F.sum("spend").alias("_spend"))
+    else:
+        spend = _delivered(star["fact_orders"]).groupBy("customer_id").agg(F.sum("order_total").alias("_spend"))
     per_c = (star["dim_customer"].select("customer_id").join(spend, "customer_id", "left")
              .withColumn("lifetime_spend", F.coalesce(F.col("_spend"), F.lit(0)).cast("decimal(38,2)")))
     ls = F.col("lifetime_spend")
@@ -151,7 +176,9 @@ def value_tiers(star: dict[str, DataFrame], tiers=DEFAULT_TIERS, with_share: boo
 
 def orders_by_payment_method(star: dict[str, DataFrame]) -> DataFrame:
     """Q14: payments per method, most used first."""
-    return (star["fact_payments"].groupBy("payment_method").agg(F.count(F.lit(1)).alias("orders"))
+    sums = "method_sums" in star
+    return (star["method_sums" if sums else "fact_payments"].groupBy("payment_method")
+            .agg((_merged("payments") if sums else F.count(F.lit(1))).alias("orders"))
             .orderBy(F.desc("orders"), F.asc("payment_method")))
 
 
@@ -164,11 +191,18 @@ def new_customers_by_day(star: dict[str, DataFrame], as_of: Column, window_days:
 # ------------------------------------------------------ delivery & operations
 def kpi_delivery(star: dict[str, DataFrame]) -> DataFrame:
     """Q16-Q19: avg minutes (1 dp), cancellation % (2 dp), avg rating (2 dp), on-time % (1 dp)."""
-    fd = star["fact_deliveries"].agg(
-        F.sum("delivery_time_minutes").alias("_min"), F.count("delivery_time_minutes").alias("_n_min"),
-        F.count_if(F.col("delivery_status") == DELIVERED).alias("_on_time"), F.count(F.lit(1)).alias("_n_del"))
-    fo = star["fact_orders"].agg(F.count_if(F.col("order_status") == CANCELLED).alias("_cancel"),
-                                 F.count(F.lit(1)).alias("_n_ord"))
+    if "partner_sums" in star:
+        fd = star["partner_sums"].agg(F.sum("minutes").alias("_min"), _merged("timed").alias("_n_min"),
+                                      _merged("on_time").alias("_on_time"), _merged("deliveries").alias("_n_del"))
+    else:
+        fd = star["fact_deliveries"].agg(
+            F.sum("delivery_time_minutes").alias("_min"), F.count("delivery_time_minutes").alias("_n_min"),
+            F.count_if(F.col("delivery_status") == DELIVERED).alias("_on_time"), F.count(F.lit(1)).alias("_n_del"))
+    if "order_sums" in star:
+        fo = star["order_sums"].agg(_merged("cancelled").alias("_cancel"), _merged("orders").alias("_n_ord"))
+    else:
+        fo = star["fact_orders"].agg(F.count_if(F.col("order_status") == CANCELLED).alias("_cancel"),
+                                     F.count(F.lit(1)).alias("_n_ord"))
     dr = star["dim_restaurant"].agg(F.sum(F.round(F.col("rating") * 10).cast("long")).alias("_r10"),
                                     F.count("rating").alias("_n_r"))
     # three one-row aggregates combined as scalars (no join of data-sized frames)
@@ -184,6 +218,8 @@ def kpi_delivery(star: dict[str, DataFrame]) -> DataFrame:
 
 def orders_by_hour(star: dict[str, DataFrame]) -> DataFrame:
     """Q20: orders per hour of day (hours without orders absent)."""
+    if "hour_sums" in star:
+        return star["hour_sums"].groupBy("hour_id").agg(_merged("orders").alias("orders")).orderBy("hour_id")
     return star["fact_orders"].groupBy("hour_id").agg(F.count(F.lit(1)).alias("orders")).orderBy("hour_id")
 
 
@@ -203,8 +239,9 @@ def delivery_time_buckets(star: dict[str, DataFrame]) -> DataFrame:
     "< 20 min" last).
     """
     label, order = delivery_bucket(F.col("delivery_time_minutes"))
-    return (star["fact_deliveries"].groupBy(label.alias("bucket"), order.alias("bucket_order"))
-            .agg(F.count(F.lit(1)).alias("deliveries")).orderBy("bucket_order"))
+    sums = "minute_sums" in star
+    return (star["minute_sums" if sums else "fact_deliveries"].groupBy(label.alias("bucket"), order.alias("bucket_order"))
+            .agg((_merged("deliveries") if sums else F.count(F.lit(1))).alias("deliveries")).orderBy("bucket_order"))
 
 
 def partner_leaderboard(star: dict[str, DataFrame], n: int = 10, by: str = "name") -> DataFrame:
@@ -212,9 +249,13 @@ def partner_leaderboard(star: dict[str, DataFrame], n: int = 10, by: str = "name
 
     ``by="id"`` ranks individual partners instead (two partners may share a name).
     """
-    per_p = (star["fact_deliveries"].groupBy("delivery_partner_id")
-             .agg(F.count(F.lit(1)).alias("_n"), F.sum("delivery_time_minutes").alias("_min"),
-                  F.count("delivery_time_minutes").alias("_n_min")))
+    if "partner_sums" in star:
+        per_p = star["partner_sums"].groupBy("delivery_partner_id").agg(
+            F.sum("deliveries").alias("_n"), F.sum("minutes").alias("_min"), F.sum("timed").alias("_n_min"))
+    else:
+        per_p = (star["fact_deliveries"].groupBy("delivery_partner_id")
+                 .agg(F.count(F.lit(1)).alias("_n"), F.sum("delivery_time_minutes").alias("_min"),
+                      F.count("delivery_time_minutes").alias("_n_min")))
     j = lookup_join(per_p, star["dim_delivery_partner"], ["delivery_partner_id"], "inner")
     keys = [F.col("delivery_partner_name").alias("partner")] + ([F.col("delivery_partner_id")] if by == "id" else [])
     agg = (j.groupBy(*keys)
@@ -226,9 +267,8 @@ def partner_leaderboard(star: dict[str, DataFrame], n: int = 10, by: str = "name
 
 def online_vs_offline(star: dict[str, DataFrame]) -> DataFrame:
     """Q23: delivered AOV (2 dp) and orders by the restaurant's online-order flag."""
-    per_r = (_delivered(star["fact_orders"]).groupBy("restaurant_id")
-             .agg(F.count(F.lit(1)).alias("_n"), F.sum(cents("order_total")).alias("_c"),
-                  F.count("order_total").alias("_n_tot")))
+    per_r = _per_restaurant(star, delivered=True).select(
+        "restaurant_id", F.col("_orders").alias("_n"), cents("_rev").alias("_c"), F.col("_valued").alias("_n_tot"))
     flags = star["dim_restaurant"].select("restaurant_id", "online_order_enabled")
     j = lookup_join(per_r, flags, ["restaurant_id"], "inner")
     agg = j.groupBy("online_order_enabled").agg(F.sum("_n").cast("long").alias("orders"),

@@ -178,6 +178,22 @@ def _kpi(fn, kpi_star: bool = False, **kw):
     return q
 
 
+# What a KPI reads beside sums: dimensions, no fact.
+KPI_DIMENSIONS = ("dim_restaurant", "dim_location", "dim_cuisine", "bridge_restaurant_cuisine", "dim_customer",
+                  "dim_delivery_partner")
+
+
+def _summed(fn, tables: tuple[str, ...], kpi_star: bool = False, **kw):
+    """A KPI answered from daily sums, without any fact."""
+    def q(spark, sf_dir):
+        c = Ctx(spark, sf_dir)
+        facts = c.kpi_star if kpi_star else c.star
+        s = Lazy({d: lambda d=d: facts[d] for d in KPI_DIMENSIONS})
+        s._b.update({t: lambda df=df: df for t, df in round_trips.summed(spark, facts, tables).items()})
+        return fn(s, **kw)
+    return q
+
+
 def q_rejected_reviews(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     return reviews.rejected_reviews(reviews.with_parsed(fx.reviews_raw(c.t)))
@@ -448,6 +464,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_time_buckets": _kpi(kpi.delivery_time_buckets, kpi_star=True),
     "partner_leaderboard": _kpi(kpi.partner_leaderboard, kpi_star=True),
     "online_vs_offline": _kpi(kpi.online_vs_offline),
+    # the same from daily sums that loads add to
+    "summed_kpi_business": _summed(kpi.kpi_business, ("order_sums",)),
+    "summed_revenue_trend": _summed(kpi.revenue_trend, ("order_sums",)),
+    "summed_orders_by_area": _summed(kpi.orders_by_area, ("order_sums",)),
+    "summed_top_cuisines": _summed(kpi.top_cuisines, ("order_sums",)),
+    "summed_top_restaurants": _summed(kpi.top_restaurants, ("order_sums",)),
+    "summed_online_vs_offline": _summed(kpi.online_vs_offline, ("order_sums",)),
+    "summed_value_tiers": _summed(kpi.value_tiers, ("customer_sums",), tiers=FIXTURE_TIERS),
+    "summed_orders_by_hour": _summed(kpi.orders_by_hour, ("hour_sums",)),
+    "summed_orders_by_payment_method": _summed(kpi.orders_by_payment_method, ("method_sums",)),
+    "summed_kpi_delivery": _summed(kpi.kpi_delivery, ("order_sums", "partner_sums"), kpi_star=True),
+    "summed_delivery_time_buckets": _summed(kpi.delivery_time_buckets, ("minute_sums",), kpi_star=True),
+    "summed_partner_leaderboard": _summed(kpi.partner_leaderboard, ("partner_sums",), kpi_star=True),
     # pipeline health (Q24-Q32)
     "health_kpis": q_health_kpis,
     "validation_trend": q_validation_trend,

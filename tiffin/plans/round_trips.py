@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tiffin.functions.numeric import money, money_sum
 from tiffin.operators import dq, validate
-from tiffin.plans import pipeline
+from tiffin.plans import daily_sums, pipeline
 from tiffin.session import shared_dir
 from tiffin.sources import growing, io
 from tiffin.streaming import daily_feed
@@ -159,6 +159,23 @@ def job_run(spark: SparkSession, raw: dict[str, DataFrame], reviews_raw: DataFra
         F.lit(res.published["fact_orders"]).cast("long").alias("written_orders"))
 
 
+def summed(spark: SparkSession, star: dict[str, DataFrame], tables: tuple[str, ...]) -> dict[str, DataFrame]:
+    """Sums of the facts in three loads: the second repeated, all days of the third late, and compacted before it."""
+    root, day = shared_dir(spark, "sums"), dt.date(2024, 1, 1)
+    daily_sums.create(spark, root, tables)
+    sources = {daily_sums.fact_of(t) for t in tables}
+    late, odd = F.col("order_id") % 9 == 0, F.col("order_id") % 2 == 1
+
+    def load(batch: int, which) -> None:
+        daily_sums.add(spark, root, batch, {f: star[f].where(which) for f in sources}, day, tables)
+    load(0, ~late & ~odd)
+    load(1, ~late & odd)
+    load(1, ~late & odd)
+    daily_sums.compact(spark, root, max_folders=1, tables=tables)
+    load(2, late)
+    return daily_sums.read(spark, root, tables)
+
+
 def run_log(spark: SparkSession, runs: DataFrame) -> DataFrame:
     """A log seeded once, seeded again in vain and appended to: (runs, rows, last_run)."""
     path = shared_dir(spark, "log")
