@@ -6,9 +6,9 @@ late, or rows of a day that was loaded before, are one more batch; a load that
 is repeated replaces its own.  All measures are counts and exact sums, so the
 order of the batches doesn't matter.
 
-What a KPI reads grows with days times restaurants (or hours, partners,
-minutes, methods), not with orders.  Customers are summed by month: few order
-twice a day, so a row a day would be no smaller than the order.
+What a KPI reads grows with days times restaurants (or with loads times hours,
+partners, minutes, methods), not with orders.  Customers have a row a load and
+year of order.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from tiffin.functions.numeric import money_sum
 from tiffin.plans.kpi import CANCELLED, DELIVERED
 from tiffin.sources import growing
 
-KEY = "month"
+KEY = "year"
 
 
 @dataclass(frozen=True)
@@ -78,21 +78,21 @@ def add(spark: SparkSession, root: str, batch_id: int, facts: dict[str, DataFram
         tables: Iterable[str] | None = None) -> None:
     """Add the sums of a load's rows of some facts; the same load again replaces its sums.
 
-    Sums of orders count for the month of the order; deliveries and payments,
-    which have no date, for that of ``loaded``.
+    Sums of orders are kept by the year of the order, those of deliveries and
+    payments, which have no date, by that of ``loaded``.
     """
     for name, t in _chosen(tables).items():
         if t.fact in facts:
             day = F.col("date_id") if t.fact == "fact_orders" else F.lit(loaded)
             by = [F.col(n).cast(ty).alias(n) for n, ty in t.by]
-            sums = (facts[t.fact].groupBy(*by, F.trunc(day, "month").alias(KEY))
+            sums = (facts[t.fact].groupBy(*by, F.trunc(day, "year").alias(KEY))
                     .agg(*[a.cast(ty).alias(n) for n, ty, a in t.measures]))
             growing.append(sums, f"{root}/{name}", KEY, batch_id)
 
 
-def compact(spark: SparkSession, root: str, max_folders: int = 8, tables: Iterable[str] | None = None) -> int:
-    """Bring months that are spread over many loads together; returns how many."""
-    return sum(growing.compact(spark, f"{root}/{n}", t.schema, KEY, max_folders) for n, t in _chosen(tables).items())
+def compact(spark: SparkSession, root: str, max_folders: int = 8) -> int:
+    """Bring years that are spread over many loads together; returns how many."""
+    return sum(growing.compact(spark, f"{root}/{n}", t.schema, KEY, max_folders) for n, t in _tables().items())
 
 
 def read(spark: SparkSession, root: str, tables: Iterable[str] | None = None) -> dict[str, DataFrame]:
