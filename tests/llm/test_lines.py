@@ -38,3 +38,16 @@ def test_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None, t), (1, t), (1, t), (1, t + "\nd"), (2, None)], "doc_id long, text string")
     got = sorted((str(r.doc_id), r.n_lines, r.n_removed) for r in lines.dedup_lines(df).collect())
     assert got == [("1", 3, 3), ("1", 3, 3), ("1", 4, 3), ("2", 1, 0), ("None", 3, 0)]
+
+
+def test_many_lines_in_proportion(spark):
+    """A hundred thousand lines a document: a search for every line would take minutes."""
+    import time
+    n = 100_000
+    body = "\n".join(f"line {i}" for i in range(n))
+    df = spark.createDataFrame([(1, body), (2, body + "\nlast"), (3, "first\n" + body)], "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: r for r in lines.dedup_lines(df).collect()}
+    assert time.time() - start < 60
+    assert [(got[i].n_lines, got[i].n_removed) for i in (1, 2, 3)] == [(n, 0), (n + 1, n), (n + 1, n)]
+    assert (got[1].text, got[2].text, got[3].text) == (body, "last", "first")

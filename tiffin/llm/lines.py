@@ -59,8 +59,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines end at a line feed and are compared as they are.  A document of
     fewer than ``width`` lines has no window and stays; null counts as empty
     (one empty line).  Rows that repeat both doc_id and text are one document
-    (each gets the same result); a null doc_id comes first.  Other columns
-    are not read.
+    (each gets the same result); a null doc_id comes first.  A very long text
+    costs time in proportion to its lines.  An empty table gives an empty
+    result.  Other columns are not read.
     """
     later = staged(later_windows(staged(window_table(docs, id_col, text_col, width), "line-windows")),
                    "line-later")
@@ -74,7 +75,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     covered = F.array_distinct(F.flatten(F.transform(
         "later", lambda p: F.sequence(p, p + F.lit(width - 1)))))
     got = got.withColumn("covered", F.when(F.col("later").isNotNull(), covered))
-    left = F.array_join(F.filter("lines", lambda x, i: ~F.array_contains(F.col("covered"), i)), "\n")
+    # positions left by one hash set, as a search for each line would be quadratic in a document's lines
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("covered"))
+    left = F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
     return got.select(
         "doc_id",
         F.when(F.col("covered").isNull(), F.col("text")).otherwise(left).alias("text"),
