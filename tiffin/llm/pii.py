@@ -376,10 +376,12 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     parts = staged(segments(hits), "pii-segments")
     made = assign_surrogates(parts.where(F.col("kind").isNotNull()).groupBy("kind", "canonical")
                              .agg(F.min("gender").alias("gender")), key)
-    out = parts.join(made.hint("merge"), ["kind", "canonical"], "left").select(
+    # the last stretch of a text has no entity: it stays out of the join, where all of them would have one key
+    named = parts.where(F.col("kind").isNotNull()).join(made.hint("merge"), ["kind", "canonical"], "left").select(
         "doc_id", "check", "copies", "seq", "kind",
         F.concat("before", F.coalesce(rendered(F.col("kind"), F.col("value"), F.col("surrogate")), F.lit(""))).alias("piece"))
-    out = out.groupBy("doc_id", "check", "copies").agg(
+    ends = parts.where(F.col("kind").isNull()).select(*named.columns[:-1], F.col("before").alias("piece"))
+    out = named.unionByName(ends).groupBy("doc_id", "check", "copies").agg(
         F.array_sort(F.collect_list(F.struct("seq", "piece"))).alias("pieces"),
         F.count("kind").alias("n_entities"), F.sort_array(F.collect_set("kind")).alias("kinds"))
     hidden = out.select("doc_id", F.array_join("pieces.piece", "").alias("text"), "n_entities", "kinds",
