@@ -71,3 +71,55 @@ def test_edges(edge_docs, no_docs):
     from pyspark.sql import functions as F
     nameless = langid.identify(edge_docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r.lang_pred for r in nameless} == {"und"}
+
+
+def test_blocks_are_the_windows_in_order():
+    rng = np.random.default_rng(3)
+    for sizes in ([0, 5, 64, 0, 129, 1], [0], [], [1000]):
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+        data = rng.integers(1, 256, int(offsets[-1])).astype(np.uint8)
+        whole = langid.windows(data, offsets)
+        for most in (1, 2, 7):
+            blocks = list(langid.window_blocks(data, offsets, most))
+            assert all(b[0].shape[1] <= most for b in blocks)
+            for k, axis in enumerate((1, 1, 0)):
+                parts = [b[k] for b in blocks]
+                assert np.array_equal(np.concatenate(parts, axis) if parts else whole[k], whole[k])
+
+
+def test_very_long_text_takes_memory_of_a_block():
+    import tracemalloc
+    net, texts = langid.Network(["a", "b"]), pa.array(["ab cd " * 2_000_000])
+    tracemalloc.start()
+    got = net.documents(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got.sum(), 1, atol=1e-3)
+    assert peak < 250e6  # of a text of 12 MB; the windows of all of it took as much alone
+
+
+def gate(x):
+    return min(1, max(0, x / 4 + 0.5)) if np.isscalar(x) else np.array([gate(float(v)) for v in x])
+
+
+def test_forward_pass_against_one_byte_at_a_time():
+    """The whole-text probabilities from the textbook recurrence, in plain loops."""
+    net, text = langid.Network(["a", "b", "c"], units=4), "naïve café " * 9
+
+    def states(p, seen):
+        h, out = np.zeros(4), []
+        for b in seen:
+            z, r = (gate(p[f"E{g}"][b] + h @ p[f"U{g}"]) for g in "zr")
+            n = np.tanh(p["En"][b] + r * (h @ p["Un"]))
+            h = (1 - z) * n + z * h
+            out.append(h)
+        return out
+    data, total = text.encode(), np.zeros(3)
+    for i in range(0, len(data), langid.SPAN):
+        own = list(data[i:i + langid.SPAN])
+        padded = own + [0] * (langid.SPAN - len(own))
+        ahead, back = states(net.forward, padded), states(net.backward, padded[::-1])[::-1]
+        for k in range(len(own)):
+            e = np.exp(np.concatenate((ahead[k], back[k])) @ net.out["W"] + net.out["b"])
+            total += e / e.sum()
+    assert np.allclose(net.documents(pa.array([text]))[0], total / len(data), atol=1e-4)

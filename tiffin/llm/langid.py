@@ -174,31 +174,39 @@ class Network:
         """Mean position probabilities (rows, languages) of whole texts; zeros for empty ones."""
         out = np.zeros((len(texts), len(self.languages)))
         for first, end, data, offsets in tokens.pieces(texts, PIECE):
-            x, real, row = windows(data, offsets)
-            # very long texts go through in blocks of windows
-            for i in range(0, x.shape[1], 8 * PIECE // SPAN):
-                part = slice(i, i + 8 * PIECE // SPAN)
-                p = self.positions(x[:, part])
-                p *= real[:, part, None]
+            # a very long text goes through in blocks of windows, made one after the other
+            for x, real, row in window_blocks(data, offsets, 2 * PIECE // SPAN):
+                p = self.positions(x)
+                p *= real[:, :, None]
                 sums = p.sum(axis=0)
                 for k in range(out.shape[1]):
-                    out[first:end, k] += np.bincount(row[part], sums[:, k], end - first)
+                    out[first:end, k] += np.bincount(row, sums[:, k], end - first)
             out[first:end] /= np.maximum(1, np.diff(offsets))[:, None]
         return out
 
 
+def window_blocks(data: np.ndarray, offsets: np.ndarray, most: int,
+                  span: int = SPAN) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of at most ``most`` windows: bytes (span, windows) padded by 0, which are real, each window's row.
+
+    A block takes memory for its own windows alone, however long a text is.
+    """
+    until = np.cumsum(-(-np.diff(offsets) // span))
+    for a in range(0, int(until[-1]) if len(until) else 0, most):
+        number = np.arange(a, min(a + most, int(until[-1])))
+        row = np.searchsorted(until, number, side="right")
+        # counted from the end of the row's windows, as `until` holds their ends
+        before = until[row] + (-np.diff(offsets)[row] // span)
+        start = offsets[row] + (number - before) * span
+        real = np.arange(span)[:, None] < np.minimum(span, offsets[row + 1] - start)[None, :]
+        at = np.minimum(start[None, :] + np.arange(span)[:, None], len(data) - 1)
+        yield np.where(real, data[at], 0).astype(np.intp), real, row
+
+
 def windows(data: np.ndarray, offsets: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes (span, windows) padded by 0, which of them are real, and each window's row."""
-    size = np.diff(offsets)
-    per_row = -(-size // span)
-    row = np.repeat(np.arange(len(size)), per_row)
-    nth = np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
-    start = offsets[row] + nth * span
-    left = np.minimum(span, offsets[row + 1] - start)
-    at = start[None, :] + np.arange(span)[:, None]
-    real = np.arange(span)[:, None] < left[None, :]
-    padded = np.concatenate((data, np.zeros(span, np.uint8)))
-    return np.where(real, padded[at], 0).astype(np.intp), real, row
+    """All windows as one block."""
+    return next(window_blocks(data, offsets, max(1, len(data) + len(offsets)), span),
+                (np.zeros((span, 0), np.intp), np.zeros((span, 0), bool), np.zeros(0, np.intp)))
 
 
 # ---- on Spark -----------------------------------------------------------------------------------
