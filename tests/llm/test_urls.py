@@ -40,3 +40,38 @@ def test_counts():
 
 def test_empty(spark):
     assert urls.judge_urls(spark.createDataFrame([], "page_id long, url string"), URL_RULES).count() == 0
+
+
+HIDDEN = [
+    ("https://a.net/%70orn", "block"), ("https://a.net/%50%4FRN%2fx", "block"), ("https://a.net/%2570orn", "allow"),
+    ("https://a.net/%zzporn", "allow"), ("https://a.net/x%20porn%20y", "block"), ("https://a.net/%e9porn", "allow"),
+    ("https://pornhub.net/", "block"), ("https://my%70orn.net/", "block"), ("https://xporny.net/", "allow"),
+    ("https://a.net/pornhub", "allow"), ("https://mcasino-vip.net/", "allow"), ("https://mcasino-bonus.net/", "block"),
+    ("https://casinojackpot.net/", "block"), ("https://spamhaus.net/", "allow"), ("https://adulthood.net/", "allow"),
+    ("https://casino-casinos.net/casino", "allow"), ("https://a.net/apuestas/gratis", "block"),
+    ("https://a.net/paris-sportifs?bonus", "block"), ("%", "allow"), ("https://a.net/%", "allow"), (None, "allow"),
+]
+
+
+def test_escapes_hosts_and_languages(spark):
+    df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(HIDDEN)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(df, URL_RULES).collect()}
+    assert {HIDDEN[i][0]: v for i, v in got.items()} == dict(HIDDEN)
+
+
+def test_cases_against_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from tiffin.llm import oracle
+    rows = [(i, c[0]) for i, c in enumerate(CASES + HIDDEN)]
+    got = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES)
+    pages = pd.DataFrame(rows, columns=["page_id", "url"])  # noqa: F841
+    want = duckdb.sql(oracle.op9(URL_RULES)).fetchall()
+    assert sorted(tuple(r) for r in got.select("page_id", "host", "path", "rule", "verdict").collect()) == sorted(want)
+
+
+def test_terms_in_hosts_are_listed():
+    assert set(urls.IN_HOST) <= set(urls.STRICT) | set(urls.SOFT)
+    terms = urls.automaton(("bad",), ("so",), ("bad",))
+    assert urls.term_counts("x://bad.badly.net/so", terms, "bad.badly.net") == (2, 1, 1, 1)

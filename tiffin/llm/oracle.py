@@ -84,18 +84,30 @@ def op9(rules: list[tuple[str, str, str]]) -> str:
         cases["verdict"].append(fits + _quoted(verdict))
 
     def hits(terms):
-        return " + ".join(rf"regexp_matches(u, '(^|[^\p{{L}}\p{{N}}]){t}([^\p{{L}}\p{{N}}]|$)')::INT" for t in terms)
+        free, out = r"[^\p{L}\p{N}]", []
+        for t in terms:
+            found = f"regexp_matches(u, '(^|{free}){t}({free}|$)')"
+            if t in urls.IN_HOST:
+                found = f"({found} OR regexp_matches(h, '(^|{free}){t}|{t}({free}|$)'))"
+            out.append(f"{found}::INT")
+        return " + ".join(out)
+
+    def readable(column):
+        one = "CASE WHEN length(x) = 3 THEN lower(decode(unhex(substr(x, 2)))) ELSE x END"
+        return (f"array_to_string(list_transform(regexp_extract_all(lower({column}), '%[2-7][0-9a-f]|.', 0, 's'), "
+                f"lambda x: {one}), '')")
     return rf"""
 WITH parts AS (
-  SELECT page_id, lower(coalesce(url, '')) AS u,
+  SELECT page_id, coalesce(url, '') AS url,
          translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
-  FROM pages)
+  FROM pages),
+words AS (SELECT page_id, host, path, {readable('url')} AS u, {readable('host')} AS h FROM parts)
 SELECT page_id, host, path, CASE {' '.join(cases['rule'])} END AS rule,
        CASE {' '.join(cases['verdict'])}
             WHEN {hits(urls.STRICT)} >= 1 OR {hits(urls.SOFT)} >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
-FROM parts
+FROM words
 """
 
 
