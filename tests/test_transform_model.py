@@ -123,6 +123,27 @@ def test_weights_steer_the_choice(spark):
     assert set(n) == {1, 2} and abs(n[2] - 6_000) < 200
 
 
+def test_weighted_choice_with_a_heavy_parent_against_bisection(spark):
+    """A parent with a third of all weight meets more ranges than one array lists; two have none between them."""
+    from bisect import bisect_right
+    weights = {i: 0.25 for i in range(30_000)} | {30_000: 3_750.0, 30_001: 0.0, 30_002: 0.25}
+    parents = spark.createDataFrame(list(weights.items()), "p long, w double")
+    children = spark.range(3_000).select(F.when(F.col("id") != 7, F.col("id")).alias("c"))
+    got = {r["c"]: r["p"] for r in generate.weighted_assignment(parents, children, "p", "w", "c").collect()}
+    begins, owner, total = [], [], 0
+    for k in sorted(weights):
+        if weights[k]:
+            begins.append(total)
+            owner.append(k)
+            total += int(weights[k] * generate.WEIGHT_SCALE)
+    point = {c: c * generate.POINT_FACTOR % generate.POINT_MODULUS * total // generate.POINT_MODULUS
+             for c in range(3_000) if c != 7}
+    assert got == {c: owner[bisect_right(begins, at) - 1] for c, at in point.items()}
+    assert generate.RANGES_AT_ONCE < 30_000 / 3
+    nobody = spark.createDataFrame([(1, 0.0)], "p long, w double")
+    assert generate.weighted_assignment(nobody, children, "p", "w", "c").count() == 0
+
+
 def test_exact_arithmetic(spark):
     from tiffin.functions.numeric import idiv, money_avg, round_ratio
     row = spark.range(1).select(

@@ -1,8 +1,8 @@
 """Deterministic data operators from the order simulator.
 
 The simulator itself is not rebuilt; its reusable cores are: imputation with
-global statistics, popularity weights, weighted choice of a parent (an as-of
-lookup over sorted draw points), anchored amounts, residual allocation that
+global statistics, popularity weights, weighted choice of a parent (a range
+join of draw points), anchored amounts, residual allocation that
 makes lines sum exactly to a total, and status-filtered children.  Weights,
 sums and draw points are integers, so nothing depends on partitioning.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tiffin.functions.numeric import cents, idiv
 from tiffin.operators.joins import lookup_join
-from tiffin.operators.ordered import EXACT, exact_median, last_before, with_prefix_sum
+from tiffin.operators.ordered import EXACT, exact_median, with_prefix_sum
 from tiffin.session import cut_lineage
 
 # Fixed values of the draw: points modulo a prime 2^61 - 1, and the multiplier that spreads the keys.
@@ -22,6 +22,8 @@ POINT_MODULUS = (1 << 61) - 1
 POINT_FACTOR = 1_181_783_497_276_652_981
 #: Weights are taken to so many parts of one.
 WEIGHT_SCALE = 1_000_000
+#: Ranges of points that one array lists.
+RANGES_AT_ONCE = 4096
 
 
 def draw_point(key: Column, total: Column) -> Column:
@@ -53,22 +55,33 @@ def weighted_assignment(parents: DataFrame, children: DataFrame, parent_key: str
                         child_key: str) -> DataFrame:
     """Give each child one parent with probability proportional to weight.
 
-    A parent begins where the weights before it end (exact integer prefix
-    sums); a child draws a point below the total.  Beginnings and points are
-    sorted together, and a child takes the last parent that begins at or
-    before its point: every child once, in one sort.
+    A parent owns the stretch of points from where the weights before it end
+    (exact integer prefix sums) on; a child draws a point below the total.
+    Points are dealt into as many equal ranges as there are parents, and a
+    parent goes to each range that its stretch meets, so parents take at most
+    twice their rows.  Drawn points are spread evenly, so no range is hot on
+    the children's side, and a child is shuffled once, neither sorted globally
+    nor written.
     """
     units = F.round(F.col(weight).cast("double") * WEIGHT_SCALE).cast(EXACT)
     p = parents.select(F.col(parent_key).alias("_pk"), units.alias("_w")).where(F.col("_w") > 0)
     cum = with_prefix_sum(p, ["_pk"], "_w", "_end")
-    total = cum.select(F.max("_end")).scalar()
-    begins = cum.select((F.col("_end") - F.col("_w")).alias("_at"), F.lit(0).alias("_kind"),
-                        F.lit(None).cast(children.schema[child_key].dataType).alias(child_key), "_pk")
-    points = children.select(draw_point(F.col(child_key), total).alias("_at"), F.lit(1).alias("_kind"), child_key,
-                             F.lit(None).cast(parents.schema[parent_key].dataType).alias("_pk"))
-    found = last_before(begins.union(points), ["_at", "_kind", child_key], "_pk", "_found")
-    return found.where((F.col("_kind") == 1) & F.col("_found").isNotNull()).select(
-        child_key, F.col("_found").alias(parent_key))
+    # one row: as values in the plan they are worked out once, and not by a subquery at each use
+    end, n = cum.agg(F.max("_end"), F.count(F.lit(1))).first()
+    total, ranges = (F.lit(int(x or 0)).cast("decimal(19,0)") for x in (end, n))
+
+    def range_of(point: Column) -> Column:
+        return idiv(point.cast("decimal(19,0)") * ranges, total).cast("long")
+    owned = cum.select("_pk", (F.col("_end") - F.col("_w")).alias("_from"), "_end",
+                       range_of(F.col("_end") - F.col("_w")).alias("_first"), range_of(F.col("_end") - 1).alias("_last"))
+    # in two steps, as a heavy parent's stretch meets any number of ranges
+    owned = owned.withColumn("_start", F.explode(F.sequence("_first", "_last", F.lit(RANGES_AT_ONCE).cast("long"))))
+    owned = owned.select("_pk", "_from", "_end", F.explode(F.sequence(
+        "_start", F.least(F.col("_last"), F.col("_start") + (RANGES_AT_ONCE - 1)))).alias("_range"))
+    points = children.select(child_key, draw_point(F.col(child_key), total).alias("_at"))
+    points = points.withColumn("_range", range_of(F.col("_at")))
+    found = points.join(owned, (points["_range"] == owned["_range"]) & (F.col("_from") <= F.col("_at")) & (F.col("_at") < F.col("_end")))
+    return found.select(points[child_key], F.col("_pk").alias(parent_key))
 
 
 def anchored_amount_cents(cost: Column, party_size: Column, key: Column) -> Column:

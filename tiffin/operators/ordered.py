@@ -62,19 +62,6 @@ def with_prefix_sum(df: DataFrame, order: Sequence[Column | str], value: str, ou
             .drop("_pid", "_lpos", "_off", "_cum"))
 
 
-def last_before(df: DataFrame, order: Sequence[Column | str], value: str, out_col: str) -> DataFrame:
-    """The latest non-null ``value`` at or before each row in ``order`` (an as-of lookup over sorted events)."""
-    local = sorted_partitions(df, order)
-    within = Window.partitionBy("_pid").orderBy("_lpos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = local.groupBy("_pid").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_lpos"))).alias("v"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select("_pid", F.last("v", ignorenulls=True).over(w).alias("_carry"))
-    return (local.withColumn("_own", F.last(value, ignorenulls=True).over(within))
-            .join(F.broadcast(carried), "_pid")
-            .withColumn(out_col, F.coalesce("_own", "_carry"))
-            .drop("_pid", "_lpos", "_own", "_carry"))
-
-
 def exact_median(df: DataFrame, value: str) -> DataFrame:
     """One-row frame with the exact (interpolated) median of the non-null values.
 
