@@ -367,11 +367,12 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     surrogates for the same corpus.
     """
     text = text_or_empty(text_col)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
-    has = has_entity(F.col("text"))
-    clean = rows.where(~has).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"),
-                                    F.array().cast("array<string>").alias("kinds"))
-    hits = (rows.where(has).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies"))
+    # the long pattern runs once a text: both branches read its verdict, written with the text
+    rows = staged(docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
+                  .withColumn("has", has_entity(F.col("text"))), "pii-texts")
+    clean = rows.where(~F.col("has")).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"),
+                                             F.array().cast("array<string>").alias("kinds"))
+    hits = (rows.where("has").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies"))
             .withColumn("check", F.xxhash64("text")))
     parts = staged(segments(hits), "pii-segments")
     made = assign_surrogates(parts.where(F.col("kind").isNotNull()).groupBy("kind", "canonical")
