@@ -143,23 +143,33 @@ def _child(df: DataFrame, valid_orders: DataFrame, reason: str, cond: Column) ->
     return tag(d, [Rule(reason, cond), Rule(ORPHAN_ORDER_ID, F.col("_orphan_o"))], "first").drop("_orphan_o")
 
 
+def child_rule(entity: str) -> tuple[str, Column]:
+    """The rule of a child of orders that needs no parent: (reason, condition)."""
+    if entity == "order_items":
+        return NEGATIVE_ITEM_PRICE, number("item_price") < 0
+    if entity == "payments":
+        return NON_POSITIVE_AMOUNT, number("amount") <= 0
+    return NON_POSITIVE_DELIVERY_TIME, number("delivery_time_minutes") <= 0
+
+
 def validate_order_items(df: DataFrame, valid_orders: DataFrame) -> DataFrame:
     """V4: negative_item_price (< 0; zero allowed), orphan_order_id."""
-    return _child(df, valid_orders, NEGATIVE_ITEM_PRICE, number("item_price") < 0)
+    return _child(df, valid_orders, *child_rule("order_items"))
 
 
 def validate_payments(df: DataFrame, valid_orders: DataFrame) -> DataFrame:
     """V5: non_positive_amount, orphan_order_id."""
-    return _child(df, valid_orders, NON_POSITIVE_AMOUNT, number("amount") <= 0)
+    return _child(df, valid_orders, *child_rule("payments"))
 
 
 def validate_deliveries(df: DataFrame, valid_orders: DataFrame) -> DataFrame:
     """V6: non_positive_delivery_time, orphan_order_id."""
-    return _child(df, valid_orders, NON_POSITIVE_DELIVERY_TIME, number("delivery_time_minutes") <= 0)
+    return _child(df, valid_orders, *child_rule("deliveries"))
 
 
 # -------------------------------------------------------------------- cascade
 ENTITIES = ("restaurants", "customers", "orders", "order_items", "payments", "deliveries")
+CHILDREN = ("order_items", "payments", "deliveries")
 
 
 def validate_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -184,7 +194,8 @@ def validate_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 # -------------------------------------------------------------------- reports
 # Reports count outcomes, so they need no tagged rows: an entity's rows are counted by key and rule outcome first,
-# and only these counts meet the parents.  A frame of outcomes has (order_id or nothing, reject_reason, rows).
+# and only these counts meet the parents.  A frame of outcomes has (order_id or nothing, reject_reason, rows).  Run logs
+# want no reasons: they take the rows of orders and children by order.
 
 
 def _rows() -> Column:
@@ -214,17 +225,40 @@ def child_outcomes(df: DataFrame, valid_orders: DataFrame, reason: str, conditio
     return _child(counted, valid_orders, reason, F.col("_bad")).drop("_bad")
 
 
+def master_outcomes(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Outcomes of restaurants and customers."""
+    return {"restaurants": tagged_outcomes(validate_restaurants(raw["restaurants"])),
+            "customers": customer_outcomes(raw["customers"])}
+
+
 def outcomes(raw: dict[str, DataFrame], tagged_orders: DataFrame, valid_orders: DataFrame) -> dict[str, DataFrame]:
-    """Outcomes of all six entities; those of orders and their children by order_id."""
-    return {
-        "restaurants": tagged_outcomes(validate_restaurants(raw["restaurants"])),
-        "customers": customer_outcomes(raw["customers"]),
-        "orders": tagged_outcomes(tagged_orders, "order_id"),
-        "order_items": child_outcomes(raw["order_items"], valid_orders, NEGATIVE_ITEM_PRICE, number("item_price") < 0),
-        "payments": child_outcomes(raw["payments"], valid_orders, NON_POSITIVE_AMOUNT, number("amount") <= 0),
-        "deliveries": child_outcomes(raw["deliveries"], valid_orders, NON_POSITIVE_DELIVERY_TIME,
-                                     number("delivery_time_minutes") <= 0),
-    }
+    """Outcomes of all six entities; those of the children of orders by order_id."""
+    return {**master_outcomes(raw), "orders": tagged_outcomes(tagged_orders),
+            **{n: child_outcomes(raw[n], valid_orders, *child_rule(n)) for n in CHILDREN}}
+
+
+def order_outcomes(raw: dict[str, DataFrame], tagged_orders: DataFrame, reason_col: str = REASON) -> DataFrame:
+    """V3-V6 as (order_id, first_date, valid, rejected): the rows of an order and of its children, one row per order.
+
+    ``tagged_orders`` has order_id, order_date and the reason.  Orders and
+    children meet by order_id in one aggregation, partial per task, without a
+    join or a sort.  A child that breaks no rule of its own is valid if its
+    order has a valid row; without an order_id it is an orphan.
+    """
+    date = tagged_orders.schema["order_date"].dataType
+    frames = [tagged_orders.select("order_id", F.col("order_date").alias("_date"), F.lit(True).alias("_order"),
+                                   F.col(reason_col).isNull().alias("_good"))]
+    for n in CHILDREN:
+        bad = F.coalesce(child_rule(n)[1], F.lit(False))
+        frames.append(raw[n].select("order_id", F.lit(None).cast(date).alias("_date"), F.lit(False).alias("_order"),
+                                    (~bad).alias("_good")))
+    order, good = F.col("_order"), F.col("_good")
+    per_order = reduce(DataFrame.unionByName, frames).groupBy("order_id").agg(
+        F.min("_date").alias("first_date"), F.count_if(order & good).alias("_valid"), F.count_if(order & ~good).alias("_rejected"),
+        F.count_if(~order & good).alias("_passed"), F.count_if(~order & ~good).alias("_failed"))
+    kept = F.when(F.col("order_id").isNotNull() & (F.col("_valid") > 0), F.col("_passed")).otherwise(F.lit(0))
+    return per_order.select("order_id", "first_date", (F.col("_valid") + kept).alias("valid"),
+                            (F.col("_rejected") + F.col("_failed") + F.col("_passed") - kept).alias("rejected"))
 
 
 def rejection_report(counts: dict[str, DataFrame]) -> DataFrame:

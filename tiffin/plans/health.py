@@ -83,9 +83,6 @@ def recent_runs(runs: DataFrame, n: int = 8) -> DataFrame:
 
 
 # ------------------------------------------------------------- run logs
-CHILDREN = ("order_items", "payments", "deliveries")
-
-
 def _run_at() -> Column:
     return F.make_timestamp_ntz(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("run_at")
 
@@ -96,25 +93,25 @@ def order_years(raw_orders: DataFrame) -> DataFrame:
             .groupBy("order_id").agg(F.year(F.min("order_date")).alias("y")))
 
 
-def validation_runs_by_year(counts: dict[str, DataFrame], raw_orders: DataFrame,
+def validation_runs_by_year(masters: dict[str, DataFrame], by_order: DataFrame, raw_orders: DataFrame,
                             reason_col: str = "reject_reason") -> DataFrame:
     """A validation-run log derived from data: one run per order year, over all six entities.
 
-    ``counts`` are the outcomes of ``validate.outcomes``.  Orders, items,
-    payments and deliveries belong to the year of their order; rows without
-    a year are part of the first run.  Restaurants and customers are master
-    data and count in every run.  run_at is 1 January of the following year.
-    (The pipeline appends real runs.)
+    ``masters`` are the outcomes of ``validate.master_outcomes``, ``by_order``
+    those of ``validate.order_outcomes``.  Orders, items, payments and
+    deliveries belong to the year of their order; rows without a year are part
+    of the first run.  Restaurants and customers are master data and count in
+    every run.  run_at is 1 January of the following year.  (The pipeline
+    appends real runs.)
     """
     good = F.col(reason_col).isNull()
     sums = [F.coalesce(F.sum(F.when(good, F.col("rows"))), F.lit(0)).alias("valid"),
             F.coalesce(F.sum(F.when(~good, F.col("rows"))), F.lit(0)).alias("rejected")]
-    per_order = reduce(DataFrame.unionByName, [counts[n].select("order_id", reason_col, "rows")
-                                               for n in ("orders", *CHILDREN)]).groupBy("order_id").agg(*sums)
     first = raw_orders.select(F.min(F.year("order_date"))).scalar()
-    runs = lookup_join(per_order, order_years(raw_orders), ["order_id"]).withColumn("y", F.coalesce(F.col("y"), first))
-    runs = runs.groupBy("y").agg(F.sum("valid").alias("valid"), F.sum("rejected").alias("rejected"))
-    masters = reduce(DataFrame.unionByName, [counts[n].agg(*sums) for n in ("restaurants", "customers")])
+    own = F.when(F.col("order_id").isNotNull(), F.year("first_date"))
+    runs = by_order.groupBy(F.coalesce(own, first).alias("y")).agg(
+        F.sum("valid").alias("valid"), F.sum("rejected").alias("rejected"))
+    masters = reduce(DataFrame.unionByName, [df.agg(*sums) for df in masters.values()])
     ok, bad = masters.select(F.sum("valid")).scalar(), masters.select(F.sum("rejected")).scalar()
     runs = runs.select("y", (F.col("valid") + ok).alias("total_valid"), (F.col("rejected") + bad).alias("total_rejected"))
     return runs.select(_run_at(), "total_valid", "total_rejected",

@@ -139,7 +139,6 @@ class Ctx:
             self._tagged = validate_all_lazy(raw)
         return self._tagged
 
-
     def outcomes(self) -> dict[str, DataFrame]:
         """Counts of validation outcomes of all entities (the orders are tagged and written once)."""
         t = self.tagged()
@@ -292,7 +291,9 @@ def q_kpi_delivery(spark, sf_dir):
 
 
 def _validation_runs(c: Ctx) -> DataFrame:
-    return health.validation_runs_by_year(c.outcomes(), c.raw_inputs()["orders"])
+    raw = c.raw_inputs()
+    return health.validation_runs_by_year(validate.master_outcomes(raw), validate.order_outcomes(raw, c.tagged()["written_orders"]),
+                                          raw["orders"])
 
 
 def _test_runs(c: Ctx) -> DataFrame:
