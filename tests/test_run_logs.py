@@ -1,9 +1,12 @@
-"""Run logs by order year: counted by order without a join."""
+"""Run logs by order year: counted by order without a join, in small shuffle partitions."""
 
 import datetime as dt
 
+from tests.conftest import SF001
 from tiffin.operators import validate as V
 from tiffin.plans import health
+from tiffin.plans.queries import Ctx
+from tiffin.session import PARTITION_BYTES, PARTITION_CONF
 
 
 def day(y):
@@ -53,3 +56,13 @@ def test_run_log_without_rows(spark):
     none = V.order_outcomes({n: df.limit(0) for n, df in raw.items()}, tagged.limit(0))
     masters = {"restaurants": spark.createDataFrame([(None, 7)], "reject_reason string, rows long")}
     assert health.validation_runs_by_year(masters, none, raw["orders"].limit(0)).count() == 0
+
+
+def test_partitions_of_a_session_at_sparks_default(spark):
+    own = spark.newSession()
+    own.conf.unset(PARTITION_CONF)
+    Ctx(own, SF001)
+    assert own.conf.get(PARTITION_CONF) == PARTITION_BYTES
+    own.conf.set(PARTITION_CONF, "32m")
+    Ctx(own, SF001)
+    assert own.conf.get(PARTITION_CONF) == "32m"

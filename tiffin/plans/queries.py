@@ -19,7 +19,7 @@ from tiffin.functions.numeric import cents
 from tiffin.operators import dq, generate, model, profile, reviews, transform, validate
 from tiffin.operators.joins import lookup_join
 from tiffin.plans import health, kpi, round_trips
-from tiffin.session import cut_lineage, shared_dir
+from tiffin.session import cut_lineage, in_partitions, shared_dir
 from tiffin.sources import fixtures as fx
 
 # Fixture parameter: tier thresholds scaled to the fixture's order totals.
@@ -69,7 +69,7 @@ def validate_all_lazy(raw) -> Lazy:
 
 class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+        self.spark = in_partitions(spark)
         base = fx.loader(spark, sf_dir)
         tables: dict[str, DataFrame] = {}
 
